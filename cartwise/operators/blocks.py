@@ -1,42 +1,42 @@
-"""Feature blocks as expressions over a measure table (K1 to K7 of the inventory)."""
+"""Feature blocks as expressions over a measure table: column name -> SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from cartwise.functions.scalars import days_until, log_ratio, safe_rate, total
-from cartwise.operators.measures import days_in, history_columns, seen_in
+from cartwise.operators.measures import days_in, history_days, seen_in
 from cartwise.operators.windows import WindowSpec
 
-Block = dict[str, Column]
+Block = dict[str, str]
 
 # Values for keys without the event: fixed values.
 NO_GAP, NO_ORDER, NO_RECENT = 60, 75, 60
 
+BOTH_SEEN = "(browse_first IS NOT NULL AND order_last IS NOT NULL)"
+BROWSE_TO_ORDER = "datediff(order_last, browse_first)"
+
 
 def conversion(prefix: str, kind: str, scope: str, rate: str) -> Block:
     """Log ratios of order to browse, order to follow, comment to order, and the share of orders."""
-    browse, order, follow, comment = (F.col(f"{kind}{code}_{scope}") for code in (1, 2, 3, 4))
+    browse, order, follow, comment = (f"{kind}{code}_{scope}" for code in (1, 2, 3, 4))
     return {
         f"{prefix}type_1_ratio": log_ratio(order, browse),
         f"{prefix}type_3_ratio": log_ratio(order, follow),
         f"{prefix}type_2_ratio": log_ratio(comment, order),
-        rate: safe_rate(order, browse + order + follow + comment),
+        rate: safe_rate(order, f"{browse} + {order} + {follow} + {comment}"),
     }
 
 
 def code_counts(prefix: str, kind: str, codes: Iterable[int], ranges: Iterable[int]) -> Block:
     """Counts by action code and n-day range."""
     ranges = list(ranges)
-    return {f"{prefix}_b{c}_count_in_{n}": F.col(f"{kind}{c}_{n}") for c in codes for n in ranges}
+    return {f"{prefix}_b{c}_count_in_{n}": f"{kind}{c}_{n}" for c in codes for n in ranges}
 
 
-def range_total(kind: str, n: int, cart: bool = False) -> Column:
+def range_total(kind: str, n: int, cart: bool = False) -> str:
     """All actions of codes 1 to 4, and 5 with ``cart``, in the last n days."""
-    return total([F.col(f"{kind}{c}_{n}") for c in ((1, 2, 3, 4, 5) if cart else (1, 2, 3, 4))])
+    return total(f"{kind}{c}_{n}" for c in ((1, 2, 3, 4, 5) if cart else (1, 2, 3, 4)))
 
 
 def range_counts(prefix: str, kind: str, ranges: Iterable[int], cart_ranges: Iterable[int] = ()) -> Block:
@@ -44,51 +44,55 @@ def range_counts(prefix: str, kind: str, ranges: Iterable[int], cart_ranges: Ite
     return {f"{prefix}_b_count_in_{n}": range_total(kind, n, n in cart_ranges) for n in ranges}
 
 
-def rank_counts(prefix: str, cart: bool) -> dict[str, Column]:
+def rank_counts(prefix: str, cart: bool) -> Block:
     """Counts to be ranked inside the user; null where the key has no row in the range."""
     return {
-        f"{prefix}_b_count_rank_in_{n}_in_u": F.when(seen_in(n), range_total("n", n, cart and n == 1))
+        f"{prefix}_b_count_rank_in_{n}_in_u": f"if({seen_in(n)}, {range_total('n', n, cart and n == 1)}, NULL)"
         for n in (1, 3, 5, 7)
     }
 
 
-def order_days(spec: WindowSpec) -> Column:
-    return days_in(history_columns(spec, "order"))
-
-
 def order_rhythm(spec: WindowSpec, days: str, gap: str, last: str) -> Block:
-    """Order days, mean gap between order rows, days from the last order to both ends of the label range."""
-    first_day, last_day = F.col("order_first"), F.col("order_last")
-    mean_gap = F.datediff(last_day, first_day) / (F.col("n2_hist") - 1)
+    """Order days, mean gap between order rows, days from the last order to both ends of the label range.
+
+    The gaps between consecutive rows add up to last - first, so their mean needs no sort.
+    """
+    mean_gap = "datediff(order_last, order_first) / (n2_hist - 1)"
     return {
-        days: order_days(spec),
-        gap: F.when(last_day > first_day, mean_gap).otherwise(float(NO_GAP)),
-        f"{last}_start": F.coalesce(days_until(spec.label_start, last_day), F.lit(NO_ORDER)),
-        f"{last}_end": F.coalesce(days_until(spec.label_end, last_day), F.lit(NO_ORDER)),
+        days: history_days(spec, "order"),
+        gap: f"if(order_last > order_first, {mean_gap}, {float(NO_GAP)}D)",
+        f"{last}_start": f"coalesce({days_until(spec.label_start, 'order_last')}, {NO_ORDER})",
+        f"{last}_end": f"coalesce({days_until(spec.label_end, 'order_last')}, {NO_ORDER})",
     }
 
 
 def recency(prefix: str, spec: WindowSpec, codes: Iterable[int]) -> Block:
     """Days from the last action of each code in the candidate days to the label start."""
     return {
-        f"{prefix}_b{c}_last_day": F.coalesce(days_until(spec.label_start, F.col(f"recent_{c}")), F.lit(NO_RECENT))
+        f"{prefix}_b{c}_last_day": f"coalesce({days_until(spec.label_start, f'recent_{c}')}, {NO_RECENT})"
         for c in codes
     }
 
 
-def browsed_and_ordered() -> Column:
-    return F.col("browse_first").isNotNull() & F.col("order_last").isNotNull()
+def last_browse(spec: WindowSpec, to_start: str, to_end: str) -> Block:
+    """Days from the last browse in the candidate days to both ends of the label range."""
+    return {
+        to_start: f"coalesce({days_until(spec.label_start, 'recent_1')}, {NO_RECENT})",
+        to_end: f"coalesce({days_until(spec.label_end, 'recent_1')}, {NO_RECENT})",
+    }
 
 
-def browse_to_order(spec: WindowSpec, days: str, diff: str) -> Block:
+def browse_to_order(spec: WindowSpec, diff: str) -> Block:
     """Days from the first browse to the last order per order day; negative if the browse came later."""
-    lag = F.datediff(F.col("order_last"), F.col("browse_first"))
-    return {
-        days: F.when(browsed_and_ordered(), order_days(spec)).otherwise(0),
-        diff: F.when(browsed_and_ordered(), lag / order_days(spec)).otherwise(float(NO_RECENT)),
-    }
+    per_day = f"{BROWSE_TO_ORDER} / {history_days(spec, 'order')}"
+    return {diff: f"if({BOTH_SEEN}, {per_day}, {float(NO_RECENT)}D)"}
+
+
+def order_days_after_browse(spec: WindowSpec, name: str) -> Block:
+    """Order days of keys that were also browsed."""
+    return {name: f"if({BOTH_SEEN}, {history_days(spec, 'order')}, 0L)"}
 
 
 def active_days(name: str) -> Block:
     """Distinct active days among the candidate days."""
-    return {name: days_in(["cand_days"])}
+    return {name: days_in("cand_days")}

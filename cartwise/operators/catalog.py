@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.functions.scalars import lit
 from cartwise.operators.log import history_rows
 from cartwise.operators.windows import WindowSpec
 
@@ -16,20 +17,20 @@ COMMENT_COLUMNS = ("comments", "good_comments", "bad_comments")
 
 def distinct_counts(products: DataFrame, keys: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """Distinct values per key: output name -> counted column."""
-    return products.groupBy(*keys).agg(*[F.count_distinct(c).alias(name) for name, c in columns.items()])
+    return products.groupBy(*keys).agg(*[F.expr(f"count(DISTINCT {c}) AS {name}") for name, c in columns.items()])
 
 
 def launch_buckets(products: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     """Products per launch bucket and key: a pivot over a fixed vocabulary, in one pass."""
     return products.groupBy(*keys).agg(
-        *[F.count_if(F.col("market_tm") == b).alias(f"{prefix}_market_tm_{b}") for b in MARKET_BUCKETS]
+        *[F.expr(f"count_if(market_tm = {b}) AS {prefix}_market_tm_{b}") for b in MARKET_BUCKETS]
     )
 
 
 def comment_totals(comments: DataFrame, spec: WindowSpec) -> DataFrame:
     """Comment counts per product over the candidate days."""
-    inside = comments.where(F.col("dt").between(F.lit(spec.start), F.lit(spec.end)))
-    return inside.groupBy("sku_id").agg(*[F.sum(c).alias(c) for c in COMMENT_COLUMNS])
+    inside = comments.where(f"dt BETWEEN {lit(spec.start)} AND {lit(spec.end)}")
+    return inside.groupBy("sku_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in COMMENT_COLUMNS])
 
 
 def comment_sums(
@@ -43,5 +44,5 @@ def comment_sums(
     weights = history_rows(log, spec).groupBy("sku_id", *keys).agg(F.sum("n").alias("n"))
     weighted = weights.join(comment_totals(comments, spec), "sku_id")
     return weighted.groupBy(*keys).agg(
-        *[F.sum(F.col("n") * F.col(c)).alias(f"{prefix}_{c}") for c in COMMENT_COLUMNS]
+        *[F.expr(f"sum(n * {c}) AS {prefix}_{c}") for c in COMMENT_COLUMNS]
     )

@@ -48,21 +48,21 @@ def clean_users(users: DataFrame, bounds: Sequence[dt.date] = USER_REG_BOUNDS) -
     coded = [c for c in USER_MODE_COLUMNS if c in users.columns]
     users = users.withColumn("age", F.col("age").cast("double"))
     users = impute(users, mode=["user_reg_tm", *coded], median=["age"])
-    return users.withColumn("user_reg_time", date_bucket(F.col("user_reg_tm"), bounds))
+    return users.withColumn("user_reg_time", F.expr(date_bucket("user_reg_tm", bounds)))
 
 
 def clean_shops(shops: DataFrame, bounds: Sequence[dt.date] = SHOP_REG_BOUNDS) -> DataFrame:
     """Opening day filled and bucketed; days before the first bound keep a null bucket."""
     shops = truncate_to_day(shops, "shop_reg_tm")
     shops = impute(shops, mode=["shop_reg_tm"])
-    return shops.withColumn("shop_reg_time", date_bucket(F.col("shop_reg_tm"), bounds, open_start=False))
+    return shops.withColumn("shop_reg_time", F.expr(date_bucket("shop_reg_tm", bounds, open_start=False)))
 
 
 def clean_products(products: DataFrame, bounds: Sequence[dt.date] = MARKET_BOUNDS) -> DataFrame:
     """Launch day filled and bucketed."""
     products = truncate_to_day(products, "market_time")
     products = impute(products, mode=["market_time"])
-    return products.withColumn("market_tm", date_bucket(F.col("market_time"), bounds))
+    return products.withColumn("market_tm", F.expr(date_bucket("market_time", bounds)))
 
 
 def clean_tables(

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwise.functions.scalars import days_until, lit
 from cartwise.operators.joins import broadcast_if_small
 from cartwise.operators.windows import WindowSpec
 
@@ -32,18 +33,18 @@ def with_history(actions: DataFrame, spec: WindowSpec) -> WindowSpec:
     """The window with its history starting at the first day of the log."""
     if spec.history_start is not None:
         return spec
-    first = actions.where(F.col("action_time") <= F.lit(spec.end)).agg(F.min("action_time")).first()[0]
+    first = actions.where(f"action_time <= {lit(spec.end)}").agg(F.min("action_time")).first()[0]
     return replace(spec, history_start=first or spec.start)
 
 
 def candidate_rows(log: DataFrame, spec: WindowSpec) -> DataFrame:
     """Rows of the candidate days."""
-    return log.where(F.col("action_time").between(F.lit(spec.start), F.lit(spec.end)))
+    return log.where(f"action_time BETWEEN {lit(spec.start)} AND {lit(spec.end)}")
 
 
 def history_rows(log: DataFrame, spec: WindowSpec) -> DataFrame:
     """Rows up to the window end, with ``age`` = days before it. Nothing later can leak into a feature."""
-    rows = log.where(F.col("action_time") <= F.lit(spec.end))
+    days = f"action_time <= {lit(spec.end)}"
     if spec.history_start is not None:
-        rows = rows.where(F.col("action_time") >= F.lit(spec.history_start))
-    return rows.withColumn("age", F.datediff(F.lit(spec.end), F.col("action_time")))
+        days += f" AND action_time >= {lit(spec.history_start)}"
+    return log.where(days).selectExpr("*", f"{days_until(spec.end, 'action_time')} AS age")

@@ -10,13 +10,14 @@ Names: ``n2_7`` order rows in the last 7 days, ``d2_7`` the same without repeats
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.scalars import day_bit, total
+from cartwise.functions.scalars import total
 from cartwise.operators.log import history_rows
 from cartwise.operators.windows import RECENT_DAYS, WindowSpec
 from cartwise.sources.schemas import BROWSE, CART, ORDER
@@ -28,102 +29,100 @@ UCS = ("user_id", "cate", "shop_id")
 @dataclass(frozen=True)
 class Measure:
     name: str
-    value: Column
-    merge: str  # the aggregate function that combines two partial values
-
-
-def _is(code: int) -> Column:
-    return F.col("type") == code
-
-
-def _rows(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0).cast("long")))
+    sql: str  # aggregate over the counted log
+    merge: str  # aggregate that combines two partial values
 
 
 def history_words(spec: WindowSpec) -> int:
     return -(-spec.history_days // WORD)
 
 
-def measures(spec: WindowSpec) -> list[Measure]:
-    age = F.col("age")
+def _day_set(inside: str, first: int = 0) -> str:
+    """Bit set of the days for which ``inside`` holds; bit k stands for ``first + k`` days before the end."""
+    return f"bit_or(if({inside}, shiftleft(1L, age - {first}), 0L))"
+
+
+@lru_cache(maxsize=64)
+def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     found: list[Measure] = []
 
-    def add(name: str, value: Column, merge: str) -> None:
-        found.append(Measure(name, value, merge))
+    def add(name: str, sql: str, merge: str) -> None:
+        found.append(Measure(name, sql, merge))
 
     # Raw counts, by action code and range.
     for n in RECENT_DAYS:
         for code in (1, 2, 3, 4):
-            add(f"n{code}_{n}", _rows(_is(code) & (age < n)), "sum")
-    add(f"n{CART}_1", _rows(_is(CART) & (age < 1)), "sum")
+            add(f"n{code}_{n}", f"sum(if(type = {code} AND age < {n}, n, 0L))", "sum")
+    add(f"n{CART}_1", f"sum(if(type = {CART} AND age < 1, n, 0L))", "sum")
     for code in (1, 2, 3, 4):
-        add(f"n{code}_hist", _rows(_is(code)), "sum")
+        add(f"n{code}_hist", f"sum(if(type = {code}, n, 0L))", "sum")
 
     # Counts of distinct actions.
-    scopes: dict[str, tuple[Column, Iterable[int]]] = {
-        "1": (age < 1, (1, 5)),
-        "3": (age < 3, (1, 2, 3, 4)),
-        "5": (age < 5, (1, 2, 3, 4)),
-        "7": (age < 7, (1, 2, 3, 4)),
-        "cand": (age < spec.days, (1, 2, 3, 4, 5)),
-        "hist": (F.lit(True), (1, 2, 3, 4)),
+    cand = f"age < {spec.days}"
+    scopes = {
+        "1": ("age < 1", (1, 5)),
+        "3": ("age < 3", (1, 2, 3, 4)),
+        "5": ("age < 5", (1, 2, 3, 4)),
+        "7": ("age < 7", (1, 2, 3, 4)),
+        "cand": (cand, (1, 2, 3, 4, 5)),
+        "hist": ("true", (1, 2, 3, 4)),
     }
     for scope, (inside, codes) in scopes.items():
         for code in codes:
-            add(f"d{code}_{scope}", F.count_if(_is(code) & inside), "sum")
-    add("d_cand", F.count_if(age < spec.days), "sum")
+            add(f"d{code}_{scope}", f"count_if(type = {code} AND {inside})", "sum")
+    add("d_cand", f"count_if({cand})", "sum")
 
     # First and last days.
-    day = F.col("action_time")
-    add("browse_first", F.min(F.when(_is(BROWSE), day)), "min")
-    add("order_first", F.min(F.when(_is(ORDER), day)), "min")
-    add("order_last", F.max(F.when(_is(ORDER), day)), "max")
+    add("browse_first", f"min(if(type = {BROWSE}, action_time, NULL))", "min")
+    add("order_first", f"min(if(type = {ORDER}, action_time, NULL))", "min")
+    add("order_last", f"max(if(type = {ORDER}, action_time, NULL))", "max")
     for code in (1, 2, 3, 5):
-        add(f"recent_{code}", F.max(F.when(_is(code) & (age < spec.days), day)), "max")
+        add(f"recent_{code}", f"max(if(type = {code} AND {cand}, action_time, NULL))", "max")
 
     # Day sets.
-    none = F.lit(0).cast("long")
-    add("cand_days", F.bit_or(F.when(age < spec.days, day_bit(age)).otherwise(none)), "bit_or")
+    add("cand_days", _day_set(cand), "bit_or")
     for k in range(history_words(spec)):
-        word = age.between(k * WORD, k * WORD + WORD - 1)
-        add(f"hist_days_{k}", F.bit_or(F.when(word, day_bit(age, k * WORD)).otherwise(none)), "bit_or")
-        add(
-            f"order_days_{k}",
-            F.bit_or(F.when(word & _is(ORDER), day_bit(age, k * WORD)).otherwise(none)),
-            "bit_or",
-        )
-    return found
+        first = k * WORD
+        word = f"age BETWEEN {first} AND {first + WORD - 1}"
+        add(f"hist_days_{k}", _day_set(word, first), "bit_or")
+        add(f"order_days_{k}", _day_set(f"{word} AND type = {ORDER}", first), "bit_or")
+    return tuple(found)
 
 
 def measure_log(log: DataFrame, spec: WindowSpec, keys: Sequence[str] = UCS) -> DataFrame:
     """All measures of the counted log, per key, over the rows up to the window end."""
     if spec.days > WORD:
         raise ValueError(f"the candidate range may span at most {WORD} days")
-    return history_rows(log, spec).groupBy(*keys).agg(*[m.value.alias(m.name) for m in measures(spec)])
+    aggs = [F.expr(f"{m.sql} AS {m.name}") for m in measures(spec)]
+    return history_rows(log, spec).groupBy(*keys).agg(*aggs)
 
 
-def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: Column) -> DataFrame:
+def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str) -> DataFrame:
     """Merge a measure table onto a subset of its keys; ``extra`` adds aggregates over the finer rows."""
-    merged = [getattr(F, m.merge)(m.name).alias(m.name) for m in measures(spec)]
-    return finer.groupBy(*keys).agg(*merged, *extra)
+    merged = [F.expr(f"{m.merge}({m.name}) AS {m.name}") for m in measures(spec)]
+    return finer.groupBy(*keys).agg(*merged, *[F.expr(e) for e in extra])
 
 
 def spine(table: DataFrame) -> DataFrame:
     """Keys with any action in the candidate days."""
-    return table.where(F.col("cand_days") != 0)
+    return table.where("cand_days != 0")
+
+
+def recent_mask(n: int) -> str:
+    """The candidate day set cut to the last n days."""
+    return f"(cand_days & {(1 << n) - 1}L)"
 
 
-def seen_in(n: int) -> Column:
+def seen_in(n: int) -> str:
     """True for a key with any action in the last n days."""
-    return F.col("cand_days").bitwiseAND(F.lit((1 << n) - 1).cast("long")) != 0
+    return f"({recent_mask(n)} != 0)"
 
 
-def days_in(words: Sequence[str], last: int | None = None) -> Column:
-    """Number of distinct days in the named bit sets, or in the last few days of the first."""
-    if last is not None:
-        return F.bit_count(F.col(words[0]).bitwiseAND(F.lit((1 << last) - 1).cast("long"))).cast("long")
-    return total([F.bit_count(w).cast("long") for w in words])
+def days_in(*words: str) -> str:
+    """Number of distinct days in the given bit sets."""
+    return total(f"bigint(bit_count({w}))" for w in words)
 
 
-def history_columns(spec: WindowSpec, name: str) -> list[str]:
-    return [f"{name}_days_{k}" for k in range(history_words(spec))]
+def history_days(spec: WindowSpec, name: str) -> str:
+    """Number of distinct days of a history day set, ``hist`` or ``order``."""
+    return days_in(*[f"{name}_days_{k}" for k in range(history_words(spec))])

@@ -4,37 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cartwise.functions.scalars import named
+
 ABSENT_RANK = 1000  # rank of a key without any row in the range: fixed value
 MAX_GROUP_ROWS = 2_000_000
 
 
 def dense_rank_in_parent(
-    df: DataFrame, parent: Sequence[str], counts: Mapping[str, Column], group_rows: int | None = None
+    df: DataFrame, parent: Sequence[str], counts: Mapping[str, str], group_rows: int | None = None
 ) -> DataFrame:
-    """Add one descending dense rank per entry of ``counts`` (output name -> count, null = not ranked).
+    """Add one descending dense rank per entry of ``counts`` (output name -> count as SQL, null = not ranked).
 
     ``group_rows`` is a proven upper bound on the rows of one parent, such as the number of (category, shop)
     pairs in the catalogue. Within the limit, one shuffle on the parent serves all ranks. Without a bound,
     or beyond the limit, only the *distinct* counts of a parent are sorted together and the ranks are joined
-    back: k distinct counts need at least k(k+1)/2 actions, so even a parent that holds a third of a
-    10^12-row log has under 10^6 of them.
+    back: k distinct counts need about k(k-1)/2 actions, so even a parent that holds a third of a
+    10^12-row log has about 10^6 of them.
     """
+    by = ", ".join(parent)
     if group_rows is not None and group_rows <= MAX_GROUP_ROWS:
-        return df.withColumns({
-            name: F.when(
-                count.isNotNull(), F.dense_rank().over(W.partitionBy(*parent).orderBy(count.desc_nulls_last()))
-            ).otherwise(ABSENT_RANK)
+        return df.selectExpr("*", *named({
+            name: f"if({count} IS NULL, {ABSENT_RANK}, "
+                  f"dense_rank() OVER (PARTITION BY {by} ORDER BY {count} DESC NULLS LAST))"
             for name, count in counts.items()
-        })
+        }))
     for name, count in counts.items():
         value = f"_{name}_count"
-        df = df.withColumn(value, count)
-        levels = df.where(F.col(value).isNotNull()).select(*parent, value).distinct()
-        ranked = levels.withColumn(name, F.dense_rank().over(W.partitionBy(*parent).orderBy(F.desc(value))))
+        df = df.selectExpr("*", f"{count} AS {value}")
+        levels = df.where(f"{value} IS NOT NULL").select(*parent, value).distinct()
+        ranked = levels.selectExpr("*", f"dense_rank() OVER (PARTITION BY {by} ORDER BY {value} DESC) AS {name}")
         df = df.join(ranked, [*parent, value], "left").fillna({name: ABSENT_RANK}).drop(value)
     return df
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from cartwise.functions.scalars import named
 from cartwise.operators.joins import broadcast_if_small
 from cartwise.operators.measures import UCS
 from cartwise.plans.families import KEYS
@@ -64,10 +64,9 @@ def assemble(candidates: DataFrame, families: Mapping[str, DataFrame]) -> DataFr
 
 def with_differences(df: DataFrame) -> DataFrame:
     """Count in a longer range minus the count in a shorter one."""
-    return df.withColumns({
-        f"{name}_{long}_{short}_diff": F.col(f"{name}_{long}") - F.col(f"{name}_{short}")
-        for name, long, short in DIFFERENCES
-    })
+    return df.selectExpr("*", *named({
+        f"{name}_{long}_{short}_diff": f"{name}_{long} - {name}_{short}" for name, long, short in DIFFERENCES
+    }))
 
 
 def drop_weak(df: DataFrame) -> DataFrame:

@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.scalars import safe_rate
+from cartwise.functions.scalars import f1, named, safe_rate
 from cartwise.operators.measures import UCS
 
 
-def _f1(precision: Column, recall: Column) -> Column:
-    both = precision + recall
-    return F.when(both > 0, 2 * precision * recall / both).otherwise(0.0)
-
-
 def two_level(
     predicted: DataFrame, truth: DataFrame, cate_weight: float = 0.5, shop_weight: float = 0.5
 ) -> DataFrame:
@@ -31,21 +26,19 @@ def two_level(
         F.max("p").alias("pair_p"), F.max("t").alias("pair_t"),
         F.sum("p").alias("p"), F.sum("t").alias("t"), F.sum(F.col("p") * F.col("t")).alias("hit"),
     )
-    def total(c):
-        return F.coalesce(F.sum(c), F.lit(0).cast("long"))
-
-    counts = pairs.agg(
-        total("pair_p").alias("cate_predicted"), total("pair_t").alias("cate_actual"),
-        total(F.col("pair_p") * F.col("pair_t")).alias("cate_hits"),
-        total("p").alias("shop_predicted"), total("t").alias("shop_actual"), total("hit").alias("shop_hits"),
-    )
-    for level in ("cate", "shop"):
-        hits = F.col(f"{level}_hits")
-        counts = counts.withColumns({
-            f"{level}_precision": safe_rate(hits, F.col(f"{level}_predicted")),
-            f"{level}_recall": safe_rate(hits, F.col(f"{level}_actual")),
-        }).withColumn(f"{level}_f1", _f1(F.col(f"{level}_precision"), F.col(f"{level}_recall")))
-    return counts.withColumn("score", cate_weight * F.col("cate_f1") + shop_weight * F.col("shop_f1"))
+    sums = {
+        "cate_predicted": "pair_p", "cate_actual": "pair_t", "cate_hits": "pair_p * pair_t",
+        "shop_predicted": "p", "shop_actual": "t", "shop_hits": "hit",
+    }
+    counts = pairs.agg(*[F.expr(f"coalesce(sum({sql}), 0L) AS {name}") for name, sql in sums.items()])
+    rates = counts.selectExpr("*", *named({
+        f"{level}_{rate}": safe_rate(f"{level}_hits", f"{level}_{of}")
+        for level in ("cate", "shop") for rate, of in (("precision", "predicted"), ("recall", "actual"))
+    }))
+    scored = rates.selectExpr("*", *named({
+        f"{level}_f1": f1(f"{level}_precision", f"{level}_recall") for level in ("cate", "shop")
+    }))
+    return scored.selectExpr("*", f"{float(cate_weight)}D * cate_f1 + {float(shop_weight)}D * shop_f1 AS score")
 
 
 def threshold_sweep(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame:
@@ -53,20 +46,16 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame
 
     One pass with two conditional sums per threshold.
     """
-    hit = F.col("label") == 1
-    aggs = [F.count_if(hit).alias("_actual")]
+    aggs = ["count_if(label = 1) AS _actual"]
+    rows = []
     for i, bound in enumerate(thresholds):
-        chosen = F.col("prob") >= bound
-        aggs += [F.count_if(chosen).alias(f"_size_{i}"), F.count_if(chosen & hit).alias(f"_hits_{i}")]
-    rows = F.array(*[
-        F.struct(
-            F.lit(float(bound)).alias("threshold"), F.col(f"_size_{i}").alias("predicted"),
-            F.col(f"_hits_{i}").alias("hits"), F.col("_actual").alias("actual"),
+        chosen = f"prob >= {float(bound)}D"
+        aggs += [f"count_if({chosen}) AS _size_{i}", f"count_if({chosen} AND label = 1) AS _hits_{i}"]
+        rows.append(
+            f"struct({float(bound)}D AS threshold, _size_{i} AS predicted, _hits_{i} AS hits, _actual AS actual)"
         )
-        for i, bound in enumerate(thresholds)
-    ])
-    swept = scored.agg(*aggs).select(F.inline(rows)).withColumns({
-        "precision": safe_rate(F.col("hits"), F.col("predicted")),
-        "recall": safe_rate(F.col("hits"), F.col("actual")),
-    })
-    return swept.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
+    swept = scored.agg(*[F.expr(a) for a in aggs]).selectExpr(f"inline(array({', '.join(rows)}))")
+    rated = swept.selectExpr("*", *named({
+        "precision": safe_rate("hits", "predicted"), "recall": safe_rate("hits", "actual"),
+    }))
+    return rated.selectExpr("*", *named({"f1": f1("precision", "recall")}))

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.functions.scalars import at_least, one_hot
+from cartwise.functions.scalars import at_least, lit, named, one_hot, total
 from cartwise.operators import blocks as B
 from cartwise.operators import catalog
 from cartwise.operators.joins import left_lookup
 from cartwise.operators.log import counted_log, with_history
 from cartwise.operators.measures import (
-    UCS, days_in, history_columns, measure_log, roll_up, seen_in, spine,
+    UCS, days_in, history_days, measure_log, recent_mask, roll_up, seen_in, spine,
 )
 from cartwise.operators.ranks import dense_rank_in_parent
 from cartwise.operators.windows import WindowSpec
@@ -34,57 +34,54 @@ def _as_is(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-@dataclass(frozen=True)
 class Inputs:
-    """What every family reads: the measure tables, the log and the dimensions of one window.
+    """What every family of one window reads: the counted log, its measure tables and the dimensions.
 
-    ``cart`` selects the variant with the cart action and without the 10-day range.
+    Everything is built on first use. ``keep`` may write each measure table and return the written copy, so
+    that all seven families share one pass over the log; the default leaves everything lazy, which suits a
+    single family. ``cart`` selects the variant with the cart action and without the 10-day range.
     """
 
-    spec: WindowSpec
-    cart: bool
-    log: DataFrame
-    ucs: DataFrame
-    uc: DataFrame
-    us: DataFrame
-    tables: Tables
-    vocabulary: dict[str, Sequence]
-    pairs: int | None  # number of (category, shop) pairs in the catalogue
+    def __init__(
+        self,
+        tables: Tables,
+        window: WindowSpec,
+        vocabulary: dict[str, Sequence],
+        cart: bool = False,
+        keep: Keep = _as_is,
+        log: DataFrame | None = None,
+    ):
+        self.tables, self.vocabulary, self.cart, self.keep = tables, vocabulary, cart, keep
+        self._window, self._log = window, log
 
     @property
     def ranges(self) -> tuple[int, ...]:
         return (1, 3, 5, 7) if self.cart else (1, 3, 5, 7, 10)
 
+    @cached_property
+    def spec(self) -> WindowSpec:
+        return with_history(self.tables.actions, self._window)
 
-def catalogue_pairs(products: DataFrame) -> int:
-    """Upper bound on the keys one user (or shop) can have: the pairs the catalogue offers."""
-    return products.select(*CS).distinct().count()
+    @cached_property
+    def log(self) -> DataFrame:
+        return counted_log(self.tables.actions, self.tables.products) if self._log is None else self._log
 
+    @cached_property
+    def ucs(self) -> DataFrame:
+        return self.keep("measures_ucs", measure_log(self.log, self.spec))
 
-def prepare(
-    tables: Tables,
-    spec: WindowSpec,
-    vocabulary: dict[str, Sequence],
-    cart: bool = False,
-    keep: Keep = _as_is,
-    log: DataFrame | None = None,
-    pairs: int | None = None,
-) -> Inputs:
-    """Build the measure tables of a window.
+    @cached_property
+    def uc(self) -> DataFrame:
+        return self.keep("measures_uc", roll_up(self.ucs, self.spec, UC))
 
-    ``keep`` may write each table and return the written copy; all seven families then share one pass
-    over the log. The default leaves everything lazy, which suits a single family.
-    """
-    spec = with_history(tables.actions, spec)
-    log = counted_log(tables.actions, tables.products) if log is None else log
-    ucs = keep("measures_ucs", measure_log(log, spec))
-    return Inputs(
-        spec=spec, cart=cart, log=log, ucs=ucs,
-        uc=keep("measures_uc", roll_up(ucs, spec, UC)),
-        us=keep("measures_us", roll_up(ucs, spec, US)),
-        tables=tables, vocabulary=vocabulary,
-        pairs=catalogue_pairs(tables.products) if pairs is None else pairs,
-    )
+    @cached_property
+    def us(self) -> DataFrame:
+        return self.keep("measures_us", roll_up(self.ucs, self.spec, US))
+
+    @cached_property
+    def pairs(self) -> int:
+        """Upper bound on the keys one user (or shop) can have: the pairs the catalogue offers."""
+        return self.tables.products.select(*CS).distinct().count()
 
 
 def fit_vocabulary(users: DataFrame, max_levels: int = 1000) -> dict[str, list]:
@@ -98,28 +95,25 @@ def fit_vocabulary(users: DataFrame, max_levels: int = 1000) -> dict[str, list]:
     return found
 
 
-# ---- one block = output column -> expression over the measure table --------------------------------
+# ---- blocks over the measure tables ----------------------------------------------------------------
 
 
 def user_blocks(x: Inputs) -> dict[str, B.Block]:
     return {
         "order_rhythm": B.order_rhythm(x.spec, "ac_nunique", "u_jiange_mean", "u_b2_last_day"),
         "activity": {
-            "u_cate_counts": F.col("cates"),
-            "u_shop_counts": F.col("shops"),
-            "u_active_days_in_all": days_in(history_columns(x.spec, "hist")),
+            "u_cate_counts": "cates",
+            "u_shop_counts": "shops",
+            "u_active_days_in_all": history_days(x.spec, "hist"),
             "u_b_count_in_7": B.range_total("n", 7),
-            "u_b1_count_in_7": F.col("n1_7"),
-            "u_b2_count_in_7": F.col("n2_7"),
-            "u_active_days_in_7": days_in(["cand_days"], last=7),
+            "u_b1_count_in_7": "n1_7",
+            "u_b2_count_in_7": "n2_7",
+            "u_active_days_in_7": days_in(recent_mask(7)),
         },
     }
 
 
 def ucs_blocks(x: Inputs) -> dict[str, B.Block]:
-    last = F.col("recent_1")
-    to_start = B.recency("ucs", x.spec, [1])["ucs_b1_last_day"]
-    to_end = F.coalesce(B.days_until(x.spec.label_end, last), F.lit(B.NO_RECENT))
     rhythm = B.order_rhythm(x.spec, "ucs_ac_nunique", "ucs_jiange_mean", "ucs_b2_last_day")
     one_day = B.code_counts("ucs", "n", (1, 2, 5) if x.cart else (1, 2), [1])
     return {
@@ -128,11 +122,11 @@ def ucs_blocks(x: Inputs) -> dict[str, B.Block]:
         "type_counts": {**one_day, **B.code_counts("ucs", "n", (1, 2, 3, 4), x.ranges[1:])},
         "browse_to_order": {
             "ucs_ac_nunique": rhythm["ucs_ac_nunique"],
-            "ucs_b2_diff_day": B.browse_to_order(x.spec, "_", "ucs_b2_diff_day")["ucs_b2_diff_day"],
+            **B.browse_to_order(x.spec, "ucs_b2_diff_day"),
         },
-        "last_browse": {"ucs_b1_last_min_day": to_start, "ucs_b1_last_max_day": to_end},
+        "last_browse": B.last_browse(x.spec, "ucs_b1_last_min_day", "ucs_b1_last_max_day"),
         "active_days": B.active_days("ucs_active_days"),
-        "rank_in_user": {name: F.col(name) for name in B.rank_counts("ucs", x.cart)},
+        "rank_in_user": {name: name for name in B.rank_counts("ucs", x.cart)},
         "order_rhythm": rhythm,
     }
 
@@ -141,7 +135,7 @@ def _crowd_blocks(x: Inputs, p: str, scope: str) -> dict[str, B.Block]:
     """Blocks that categories and shops share."""
     return {
         "conversion": B.conversion(f"{p}_", "d", scope, f"{p}_b2_rate"),
-        "user_counts": {f"{p}_u_count_in_{n}": F.col(f"users_{n}") for n in USER_RANGES[p]},
+        "user_counts": {f"{p}_u_count_in_{n}": f"users_{n}" for n in USER_RANGES[p]},
         "type_counts": {
             **B.code_counts(p, "d", [5 if x.cart else 1], [1]),
             **B.code_counts(p, "d", (1, 2, 3, 4), (3, 5, 7)),
@@ -151,18 +145,17 @@ def _crowd_blocks(x: Inputs, p: str, scope: str) -> dict[str, B.Block]:
 
 
 def cate_blocks(x: Inputs) -> dict[str, B.Block]:
-    return {**_crowd_blocks(x, "c", "hist"), "orders": {"c_b2_count": F.col("n2_hist")}}
+    return {**_crowd_blocks(x, "c", "hist"), "orders": {"c_b2_count": "n2_hist"}}
 
 
 def shop_blocks(x: Inputs) -> dict[str, B.Block]:
-    both, orders = B.browsed_and_ordered(), F.col("d2_hist")
-    lag = F.datediff(F.col("order_last"), F.col("browse_first"))
+    delay = B.BROWSE_TO_ORDER
     return {
         **_crowd_blocks(x, "s", "cand"),
         "browse_to_order": {
-            "s_b_count": F.when(both, orders).otherwise(0),
-            "s_b2_diff_all_day": F.when(both, lag).otherwise(0),
-            "s_b2_diff_day": F.when(both, lag / orders).otherwise(0.0),
+            "s_b_count": f"if({B.BOTH_SEEN}, d2_hist, 0L)",
+            "s_b2_diff_all_day": f"if({B.BOTH_SEEN}, {delay}, 0)",
+            "s_b2_diff_day": f"if({B.BOTH_SEEN}, {delay} / d2_hist, 0D)",
         },
     }
 
@@ -171,8 +164,11 @@ def _user_pair_blocks(x: Inputs, p: str) -> dict[str, B.Block]:
     """Blocks that (user, category) and (user, shop) share."""
     return {
         "recency": B.recency(p, x.spec, (1, 2, 5) if x.cart else (1, 2, 3)),
-        "browse_to_order": B.browse_to_order(x.spec, f"{p}_ac_nunique", f"{p}_b2_diff_day"),
-        "rank_in_user": {name: F.col(name) for name in B.rank_counts(p, x.cart)},
+        "browse_to_order": {
+            **B.order_days_after_browse(x.spec, f"{p}_ac_nunique"),
+            **B.browse_to_order(x.spec, f"{p}_b2_diff_day"),
+        },
+        "rank_in_user": {name: name for name in B.rank_counts(p, x.cart)},
         "conversion": B.conversion(f"{p}_", "d", "hist", f"{p}_b2_rate"),
         "active_days": B.active_days(f"{p}_active_days"),
     }
@@ -200,13 +196,11 @@ def user_shop_blocks(x: Inputs) -> dict[str, B.Block]:
 
 
 def cate_shop_blocks(x: Inputs) -> dict[str, B.Block]:
-    ranks = ("cs_u_rank_in_s", "cs_b_rank_in_s", "cs_b2_rank_in_s")
-    row_rank, action_rank, order_rank = ({name: F.col(name)} for name in ranks)
     return {
-        "row_rank": row_rank,
-        "orders": {"cs_b2_count": F.col("d2_hist")},
-        "action_rank": action_rank,
-        "order_rank": order_rank,
+        "row_rank": {"cs_u_rank_in_s": "cs_u_rank_in_s"},
+        "orders": {"cs_b2_count": "d2_hist"},
+        "action_rank": {"cs_b_rank_in_s": "cs_b_rank_in_s"},
+        "order_rank": {"cs_b2_rank_in_s": "cs_b2_rank_in_s"},
         "conversion": B.conversion("cs_", "d", "hist", "cs_b2_rate"),
         "active_days": B.active_days("cs_active_days"),
     }
@@ -215,12 +209,12 @@ def cate_shop_blocks(x: Inputs) -> dict[str, B.Block]:
 # ---- measure table of each family ------------------------------------------------------------------
 
 
-def _seen(*ranges: int) -> list[Column]:
-    return [F.count_if(seen_in(n)).alias(f"users_{n}") for n in ranges]
+def _seen(*ranges: int) -> list[str]:
+    return [f"count_if({seen_in(n)}) AS users_{n}" for n in ranges]
 
 
 def _user_rows(x: Inputs) -> DataFrame:
-    users = roll_up(x.uc, x.spec, ["user_id"], F.count("*").alias("cates"))
+    users = roll_up(x.uc, x.spec, ["user_id"], "count(*) AS cates")
     shops = x.us.groupBy("user_id").agg(F.count("*").alias("shops"))
     return spine(users).join(shops, "user_id")
 
@@ -240,9 +234,9 @@ def _ranked(rows: DataFrame, x: Inputs, prefix: str) -> DataFrame:
 def _cate_shop_rows(x: Inputs) -> DataFrame:
     codes = (1, 2, 3, 4, 5) if x.cart else (1, 2, 3, 4)
     counts = {
-        "cs_u_rank_in_s": F.col("d_cand"),
-        "cs_b_rank_in_s": B.total([F.col(f"d{c}_cand") for c in codes]),
-        "cs_b2_rank_in_s": F.col("d2_cand"),
+        "cs_u_rank_in_s": "d_cand",
+        "cs_b_rank_in_s": total(f"d{c}_cand" for c in codes),
+        "cs_b2_rank_in_s": "d2_cand",
     }
     return dense_rank_in_parent(spine(roll_up(x.ucs, x.spec, CS)), ["shop_id"], counts, x.pairs)
 
@@ -276,25 +270,24 @@ def user_profile(x: Inputs) -> DataFrame:
         **one_hot("province", v["province"]),
     }
     if x.cart:
-        reg = F.col("user_reg_tm")
-        recent = reg.between(F.lit(spec.recent(7)), F.lit(spec.end))
-        columns["reg_tm_last_day"] = F.coalesce((reg == F.lit(spec.end)).cast("int"), F.lit(0))
-        columns["reg_tm_7_day"] = F.coalesce(recent.cast("int"), F.lit(0))
-    return x.tables.users.select("user_id", *[c.alias(name) for name, c in columns.items()])
+        first, end = lit(spec.recent(7)), lit(spec.end)
+        columns["reg_tm_last_day"] = f"int(user_reg_tm <=> {end})"
+        columns["reg_tm_7_day"] = f"int(coalesce(user_reg_tm BETWEEN {first} AND {end}, false))"
+    return x.tables.users.selectExpr("user_id", *named(columns))
 
 
 def shop_profile(x: Inputs) -> DataFrame:
     """Attributes of each shop, its opening bucket one-hot, and whether it has a score."""
-    return x.tables.shops.select(
+    return x.tables.shops.selectExpr(
         "shop_id", "fans_num", "vip_num", "shop_score",
-        *[c.alias(n) for n, c in one_hot("shop_reg_time", (1, 2, 3, 4, 5), "shop_reg_tm").items()],
-        at_least(F.col("shop_score"), 0).alias("or_shop_score"),
+        *named(one_hot("shop_reg_time", (1, 2, 3, 4, 5), "shop_reg_tm")),
+        *named({"or_shop_score": at_least("shop_score", 0)}),
     )
 
 
 def major_cate(x: Inputs) -> DataFrame:
     """Pairs whose category is the declared main one of the shop."""
-    return x.tables.shops.where(F.col("cate").isNotNull()).select(*CS, F.lit(1).alias("cs_major_cate"))
+    return x.tables.shops.where("cate IS NOT NULL").selectExpr(*CS, "1 AS cs_major_cate")
 
 
 def _comments(p: str) -> Callable[[Inputs], DataFrame]:
@@ -352,7 +345,7 @@ def _build(x: Inputs, name: str, only: list[str] | None) -> DataFrame:
     for block_name, exprs in BLOCKS[name](x).items():
         if only is None or block_name in only:
             columns.update(exprs)
-    table = ROWS[name](x).select(*keys, *[c.alias(n) for n, c in columns.items()])
+    table = ROWS[name](x).selectExpr(*keys, *named(columns))
     for block_name, lookup in LOOKUPS[name].items():
         if only is None or block_name in only:
             side = lookup(x)

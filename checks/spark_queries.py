@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartwise.functions import scalars as S
@@ -24,10 +23,31 @@ SPEC = X.WINDOWS["w3"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def load(spark: SparkSession, sf_dir: str) -> tables.Tables:
-    return clean.clean_tables(
-        X.raw_tables(spark, sf_dir), X.USER_REG_BOUNDS, X.SHOP_REG_BOUNDS, X.MARKET_BOUNDS
-    )
+class TestTables:
+    """The five cleaned tables, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at = (spark, sf_dir)
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return X.action(*self._at)
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return clean.clean_users(X.user(*self._at), X.USER_REG_BOUNDS)
+
+    @cached_property
+    def shops(self) -> DataFrame:
+        return clean.clean_shops(X.shop(*self._at), X.SHOP_REG_BOUNDS)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return clean.clean_products(X.product(*self._at), X.MARKET_BOUNDS)
+
+    @cached_property
+    def comments(self) -> DataFrame:
+        return X.comment(*self._at)
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +59,7 @@ def merged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf_dir: str, spec=SPEC, cart: bool = False, keep=families._as_is):
-    return families.prepare(load(spark, sf_dir), spec, X.USER_VOCABULARY, cart, keep)
+    return families.Inputs(TestTables(spark, sf_dir), spec, X.USER_VOCABULARY, cart, keep)
 
 
 def writer(spark: SparkSession):
@@ -116,7 +136,7 @@ def join_left_fill_default(spark, sf_dir):
     orders = (
         X.action(spark, sf_dir).where(F.col("type") == schemas.ORDER)
         .groupBy("user_id").agg(F.count("*").alias("orders"), F.max("action_time").alias("last_order"))
-        .withColumn("days_ago", S.days_until(SPEC.label_start, F.col("last_order"))).drop("last_order")
+        .selectExpr("user_id", "orders", f"{S.days_until(SPEC.label_start, 'last_order')} AS days_ago")
     )
     return left_lookup(users, orders, ["user_id"], {"orders": 0, "days_ago": 75})
 
@@ -154,7 +174,7 @@ def agg_log_dedup(spark, sf_dir):
 
 def win_dense_rank_in_parent(spark, sf_dir):
     rows = log(spark, sf_dir).groupBy("shop_id", "cate").agg(F.count("*").alias("rows"))
-    return ranks.dense_rank_in_parent(rows, ["shop_id"], {"rank": F.col("rows")})
+    return ranks.dense_rank_in_parent(rows, ["shop_id"], {"rank": "rows"})
 
 
 def win_order_gap_lag(spark, sf_dir):
@@ -171,19 +191,16 @@ def win_latest_per_key(spark, sf_dir):
 
 
 def sc_log_ratio(spark, sf_dir):
-    return _user_type_counts(spark, sf_dir).select(
-        "user_id", S.log_ratio(F.col("b2"), F.col("b1")).alias("log_ratio")
-    )
+    return _user_type_counts(spark, sf_dir).selectExpr("user_id", f"{S.log_ratio('b2', 'b1')} AS log_ratio")
 
 
 def sc_safe_rate(spark, sf_dir):
-    c = _user_type_counts(spark, sf_dir)
-    return c.select("user_id", S.safe_rate(F.col("b2"), F.col("b1") + F.col("b2")).alias("rate"))
+    return _user_type_counts(spark, sf_dir).selectExpr("user_id", f"{S.safe_rate('b2', 'b1 + b2')} AS rate")
 
 
 def sc_day_diff(spark, sf_dir):
-    return X.action(spark, sf_dir).select(
-        "user_id", "sku_id", "action_time", S.days_until(SPEC.label_start, F.col("action_time")).alias("days")
+    return X.action(spark, sf_dir).selectExpr(
+        "user_id", "sku_id", "action_time", f"{S.days_until(SPEC.label_start, 'action_time')} AS days"
     )
 
 
@@ -193,7 +210,7 @@ def pivot_action_type(spark, sf_dir):
 
 def _user_type_counts(spark, sf_dir):
     return X.action(spark, sf_dir).groupBy("user_id").agg(
-        *[F.count_if(F.col("type") == c).alias(f"b{c}") for c in (1, 2, 3, 4, 5)]
+        *[F.expr(f"count_if(type = {c}) AS b{c}") for c in (1, 2, 3, 4, 5)]
     )
 
 
@@ -269,18 +286,16 @@ def score_sets(spark, sf_dir, spec=SPEC) -> dict[str, DataFrame]:
     """Five deterministic score columns in place of five models."""
     x = inputs(spark, sf_dir, spec=spec)
     counts = families.family(x, "ucs")
-    b = {n: F.col(f"ucs_b_count_in_{n}") for n in (1, 3, 5, 7, 10)}
-    b1, b2 = (lambda n: F.col(f"ucs_b1_count_in_{n}")), (lambda n: F.col(f"ucs_b2_count_in_{n}"))
     probs = {
-        "1": b2(7) / (1 + b[7]),
-        "2": b1(10) / (4 + b[10] * 2),
-        "3": (b1(3) + b2(3)) / (1 + b[10]),
-        "a": F.col("ucs_active_days") / 20,
-        "23": b[5] / (10 + b[10]),
+        "1": "ucs_b2_count_in_7 / (1 + ucs_b_count_in_7)",
+        "2": "ucs_b1_count_in_10 / (4 + ucs_b_count_in_10 * 2)",
+        "3": "(ucs_b1_count_in_3 + ucs_b2_count_in_3) / (1 + ucs_b_count_in_10)",
+        "a": "ucs_active_days / 20",
+        "23": "ucs_b_count_in_5 / (10 + ucs_b_count_in_10)",
     }
-    kept = counts.select(*UCS, *[p.alias(f"prob_{m}") for m, p in probs.items()])
+    kept = counts.selectExpr(*UCS, *[f"{p} AS prob_{m}" for m, p in probs.items()])
     kept = writer(spark)("scores", kept)
-    return {m: kept.select(*UCS, F.col(f"prob_{m}").alias("prob")) for m in probs}
+    return {m: kept.selectExpr(*UCS, f"prob_{m} AS prob") for m in probs}
 
 
 def vote_threshold(spark, sf_dir):
