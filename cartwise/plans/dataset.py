@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from cartwise.functions.scalars import named
 from cartwise.operators.joins import broadcast_if_small
 from cartwise.operators.measures import UCS
+from cartwise.operators.ranks import MAX_GROUP_ROWS
 from cartwise.plans.families import KEYS
 
 # Order of the families in an assembled set.
@@ -45,16 +46,22 @@ WEAK_COLUMNS = (
 )
 
 
-def assemble(candidates: DataFrame, families: Mapping[str, DataFrame]) -> DataFrame:
+def assemble(
+    candidates: DataFrame, families: Mapping[str, DataFrame], rows_per_user: int | None = None
+) -> DataFrame:
     """Left join of every family onto the candidates, in the given order of columns.
 
-    The four user-keyed families and the candidates are clustered by user_id once, and stay so through
-    their joins (see ``session.PLAN_CONF``); the category and shop families are broadcast if their measured
-    size allows, otherwise they shuffle and AQE splits hot categories or shops.
+    ``rows_per_user`` is a proven bound on the candidates of one user (the catalogue's pairs). Within the
+    limit, the candidates and the four user-keyed families are clustered by user_id once and stay so through
+    their joins (see ``session.PLAN_CONF``). Otherwise every join shuffles on its own keys and AQE splits
+    hot users. The category and shop families are broadcast if their measured size allows; if not, they
+    shuffle, and AQE splits hot categories and shops.
     """
-    table = candidates.repartition("user_id")
+    clustered = rows_per_user is not None and rows_per_user <= MAX_GROUP_ROWS
+    by_user = (lambda df: df.repartition("user_id")) if clustered else (lambda df: df)
+    table = by_user(candidates)
     for name in ("u", "uc", "us", "ucs"):
-        table = table.join(families[name].repartition("user_id"), list(KEYS[name]), "left")
+        table = table.join(by_user(families[name]), list(KEYS[name]), "left")
     for name in ("c", "s", "cs"):
         table = table.join(broadcast_if_small(families[name]), list(KEYS[name]), "left")
     features = [c for name in FAMILY_ORDER for c in families[name].columns if c not in KEYS[name]]

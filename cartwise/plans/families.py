@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -60,7 +61,8 @@ class Inputs:
 
     @cached_property
     def spec(self) -> WindowSpec:
-        return with_history(self.tables.actions, self._window)
+        rows = self.tables.actions if self._log is None else self._log
+        return with_history(rows, self._window)
 
     @cached_property
     def log(self) -> DataFrame:
@@ -354,5 +356,13 @@ def _build(x: Inputs, name: str, only: list[str] | None) -> DataFrame:
     return table
 
 
-def all_families(x: Inputs, keep: Keep = _as_is) -> dict[str, DataFrame]:
-    return {name: keep(f"features_{name}", family(x, name)) for name in KEYS}
+def all_families(x: Inputs, keep: Keep = _as_is, parallel: int = 4) -> dict[str, DataFrame]:
+    """All seven families, a few at a time.
+
+    The shared measure tables are built first. The families then only read them, so their jobs run side by
+    side: the small category and shop families fill the gaps that the large user families leave.
+    """
+    x.uc, x.us, x.pairs
+    with ThreadPoolExecutor(parallel) as pool:
+        built = pool.map(lambda name: keep(f"features_{name}", family(x, name)), KEYS)
+        return dict(zip(KEYS, built))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from cartwise.sources.schemas import SCHEMAS
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -25,6 +27,26 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, mode="FAILFAST", dateFormat="yyyy-MM-dd")
 
 
+def raw_schema(name: str) -> T.StructType:
+    """The declared schema with dates as text: raw files carry a time of day, which cleaning cuts off."""
+    return T.StructType([
+        T.StructField(f.name, T.StringType() if f.dataType == T.DateType() else f.dataType, True)
+        for f in SCHEMAS[name]
+    ])
+
+
+def read_tables(spark: SparkSession, folder: str, form: str = "csv") -> Tables:
+    """The five raw tables from ``folder``: action, user, shop, product, comment; CSV or parquet."""
+    def read(name: str) -> DataFrame:
+        path = f"{folder}/{name}"
+        return read_csv(spark, path, raw_schema(name)) if form == "csv" else spark.read.parquet(path)
+
+    return Tables(
+        actions=read("action"), users=read("user"), shops=read("shop"), products=read("product"),
+        comments=read("comment"),
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, dateFormat="yyyy-MM-dd")
 

@@ -12,7 +12,7 @@ from cartwise.functions import scalars as S
 from cartwise.operators import clean, ranks
 from cartwise.operators.log import action_log, candidate_rows, counted_log
 from cartwise.operators.joins import left_lookup
-from cartwise.plans import dataset, evaluate, families, labels, vote
+from cartwise.plans import dataset, evaluate, families, labels, model, vote
 from cartwise.session import new_folder
 from cartwise.sources import fixtures as X
 from cartwise.sources import schemas, tables
@@ -256,12 +256,12 @@ def _families(spark, sf_dir, spec, cart=False):
 
 def training_set(spark, sf_dir, spec=SPEC, cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.train_labels(x.log, spec), built)
+    return dataset.assemble(labels.train_labels(x.log, spec), built, x.pairs)
 
 
 def scoring_set(spark, sf_dir, spec=X.WINDOWS["test"], cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.scoring_candidates(x.log, spec), built)
+    return dataset.assemble(labels.scoring_candidates(x.log, spec), built, x.pairs)
 
 
 def feat_window_diffs(spark, sf_dir):
@@ -321,6 +321,39 @@ def eval_threshold_sweep(spark, sf_dir):
     return evaluate.threshold_sweep(labelled, SWEEP)
 
 
+# ---- models ----------------------------------------------------------------------------------------
+
+# Few rounds keep the check short; the library's default is the published number.
+TREES = model.TreeParams(rounds=5)
+
+
+def _model_input(spark, sf_dir, spec, labelled: bool) -> DataFrame:
+    build = training_set if labelled else scoring_set
+    ready = dataset.drop_weak(dataset.with_differences(build(spark, sf_dir, spec)))
+    return writer(spark)("model_input", ready)
+
+
+def model_train(spark, sf_dir):
+    """Scores of a model on the window after its training window, by true label."""
+    fitted = model.train(_model_input(spark, sf_dir, X.WINDOWS["w2"], True), TREES)
+    held_out = _model_input(spark, sf_dir, X.WINDOWS["w3"], True)
+    scored = model.score(fitted, held_out).join(held_out.select(*UCS, "label"), list(UCS))
+    return scored.groupBy("label").agg(
+        F.count("*").alias("triples"), F.min("prob").alias("lowest"), F.avg("prob").alias("mean_prob"),
+        F.max("prob").alias("highest"),
+    )
+
+
+def model_score(spark, sf_dir):
+    fitted = model.train(_model_input(spark, sf_dir, SPEC, True), TREES)
+    return model.score(fitted, _model_input(spark, sf_dir, X.WINDOWS["test"], False))
+
+
+def model_importance(spark, sf_dir):
+    fitted = model.train(_model_input(spark, sf_dir, SPEC, True), TREES)
+    return model.top_features(fitted)
+
+
 # ---- registry --------------------------------------------------------------------------------------
 
 # Query key of each block -> (family, block).
@@ -357,6 +390,7 @@ PLAIN = [
     win_order_gap_lag, win_latest_per_key, sc_log_ratio, sc_safe_rate, sc_day_diff, pivot_action_type,
     label_train_set, label_test_set, label_all_windows, feat_u_reg_recency, feat_window_diffs,
     ds_feature_select, ds_union_windows, vote_threshold, vote_majority, eval_two_level, eval_threshold_sweep,
+    model_train, model_score, model_importance,
 ]
 
 
