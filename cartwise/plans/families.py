@@ -19,6 +19,7 @@ from cartwise.operators.measures import (
 )
 from cartwise.operators.ranks import dense_rank_in_parent
 from cartwise.operators.windows import WindowSpec
+from cartwise.sources.schemas import ACTION, ACTION_CODES
 from cartwise.sources.tables import Tables
 
 UC, US, CS = ("user_id", "cate"), ("user_id", "shop_id"), ("cate", "shop_id")
@@ -70,7 +71,7 @@ class Inputs:
 
     @cached_property
     def ucs(self) -> DataFrame:
-        return self.keep("measures_ucs", measure_log(self.log, self.spec))
+        return self.keep("measures_ucs", measure_log(self.log, self.spec, group_rows=self.triple_rows))
 
     @cached_property
     def uc(self) -> DataFrame:
@@ -81,9 +82,26 @@ class Inputs:
         return self.keep("measures_us", roll_up(self.ucs, self.spec, US))
 
     @cached_property
+    def catalogue(self) -> tuple[int, int]:
+        """(category, shop) pairs in the catalogue, and the most products of one pair."""
+        pairs = self.tables.products.groupBy(*CS).agg(F.count("*").alias("products"))
+        row = pairs.agg(F.count("*"), F.max("products")).first()
+        return row[0], row[1] or 0
+
+    @property
     def pairs(self) -> int:
         """Upper bound on the keys one user (or shop) can have: the pairs the catalogue offers."""
-        return self.tables.products.select(*CS).distinct().count()
+        return self.catalogue[0]
+
+    @property
+    def triple_rows(self) -> int | None:
+        """Upper bound on the counted rows of one triple: products times days times action codes.
+
+        Only with the four declared action columns, which are then the key of a counted row.
+        """
+        if set(self.tables.actions.columns) != set(ACTION.names):
+            return None
+        return self.catalogue[1] * self.spec.history_days * ACTION_CODES
 
 
 def fit_vocabulary(users: DataFrame, max_levels: int = 1000) -> dict[str, list]:

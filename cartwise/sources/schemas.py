@@ -36,3 +36,4 @@ SCHEMAS = {
 
 # Action codes in the log: fixed values.
 BROWSE, ORDER, FOLLOW, COMMENTED, CART = 1, 2, 3, 4, 5
+ACTION_CODES = 5

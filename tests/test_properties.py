@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import joins, ranks
+from cartwise.operators import joins, measures, ranks
 from cartwise.operators.log import action_log, counted_log
 from cartwise.operators.windows import WindowSpec
 from cartwise.plans import dataset, families, labels
@@ -112,6 +112,30 @@ def test_skewed_log_by_brute_force(spark):
     assert ((orders / known.clip(lower=1)) - uc.uc_b2_rate).abs().max() < 1e-12
 
 
+def test_both_ways_to_aggregate_the_log_agree(spark):
+    actions, products = skewed(spark)
+    log = counted_log(actions, products)
+    spec = WindowSpec(dt.date(2018, 3, 25), history_start=dt.date(2018, 3, 1))
+    clustered = measures.measure_log(log, spec, group_rows=10)
+    combined = measures.measure_log(log, spec, group_rows=measures.MAX_KEY_ROWS + 1)
+    assert "REPARTITION_BY_COL" in plan(clustered) and "REPARTITION_BY_COL" not in plan(combined)
+    assert clustered.exceptAll(combined).count() == 0 and combined.exceptAll(clustered).count() == 0
+
+
+def test_extra_action_columns_leave_the_bound_open(spark):
+    actions, products = skewed(spark, 3000)
+    spec = WindowSpec(dt.date(2018, 3, 25))
+    plain = families.Inputs(Tables(actions, None, None, products, None), spec, {})
+    wider = families.Inputs(
+        Tables(actions.withColumn("place", F.pmod(F.xxhash64("sku_id"), F.lit(2))), None, None, products, None),
+        spec, {},
+    )
+    assert plain.triple_rows == 14 * 20 * 5 and wider.triple_rows is None
+    for name in ("uc", "cs"):
+        one, two = families.family(plain, name), families.family(wider, name)
+        assert one.exceptAll(two).count() == 0
+
+
 def test_both_rank_paths_agree(spark):
     actions, products = skewed(spark)
     counts = action_log(actions, products).groupBy("user_id", "cate", "shop_id").agg(
