@@ -31,14 +31,15 @@ def truncate_to_day(df: DataFrame, *columns: str) -> DataFrame:
 def impute(df: DataFrame, mode: Sequence[str] = (), median: Sequence[str] = ()) -> DataFrame:
     """Replace nulls by the column's mode (smallest on a tie) or median; the column keeps its type.
 
-    Each fill value is a scalar subquery: nothing runs before the result is asked for, and columns that are
-    not read cost nothing. Both aggregates keep one count per distinct value, so they are meant for the
-    coded columns of a dimension table (days, codes, levels), whose values are few at any row count.
+    The fill values are one scalar subquery: a single scan finds them all, and nothing runs before the result
+    is asked for. Both aggregates keep one count per distinct value, so they are meant for the coded columns
+    of a dimension table (days, codes, levels), whose values are few at any row count.
     """
     types = dict(df.dtypes)
-    fills = {**{c: F.mode(c, True) for c in mode}, **{c: F.median(c) for c in median}}
+    found = [F.mode(c, True).alias(c) for c in mode] + [F.median(c).alias(c) for c in median]
+    fills = df.agg(F.struct(*found).alias("fills")).scalar()
     return df.withColumns({
-        c: F.coalesce(F.col(c), df.agg(value.alias(c)).scalar().cast(types[c])) for c, value in fills.items()
+        c: F.coalesce(F.col(c), fills.getField(c).cast(types[c])) for c in (*mode, *median)
     })
 
 

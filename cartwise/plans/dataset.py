@@ -52,8 +52,8 @@ def assemble(
     """Left join of every family onto the candidates, in the given order of columns.
 
     ``rows_per_user`` is a proven bound on the candidates of one user (the catalogue's pairs). Within the
-    limit, the candidates and the four user-keyed families are clustered by user_id once and stay so through
-    their joins (see ``session.PLAN_CONF``). Otherwise every join shuffles on its own keys and AQE splits
+    limit, the candidates and the four user-keyed families are clustered by user_id and stay so through their
+    joins (see ``session.PLAN_CONF``); a family that already is clustered that way is not shuffled. Otherwise every join shuffles on its own keys and AQE splits
     hot users. The category and shop families are broadcast if their measured size allows; if not, they
     shuffle, and AQE splits hot categories and shops.
     """

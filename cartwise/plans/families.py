@@ -374,13 +374,16 @@ def _build(x: Inputs, name: str, only: list[str] | None) -> DataFrame:
     return table
 
 
-def all_families(x: Inputs, keep: Keep = _as_is, parallel: int = 4) -> dict[str, DataFrame]:
-    """All seven families, a few at a time.
+def all_families(x: Inputs, parallel: int = 3) -> dict[str, DataFrame]:
+    """All seven families, ready to be joined onto candidates.
 
-    The shared measure tables are built first. The families then only read them, so their jobs run side by
-    side: the small category and shop families fill the gaps that the large user families leave.
+    The category and shop families are small and go through ``keep``, side by side, so that their size can
+    be measured. The user families stay lazy: their ranks leave them clustered by user_id, and the joins
+    that follow use that clustering, so their wide rows are neither written nor shuffled again.
     """
-    x.uc, x.us, x.pairs
+    small = ("c", "s", "cs")
+    x.ucs, x.catalogue  # both are shared, so they are built before any thread asks for them
     with ThreadPoolExecutor(parallel) as pool:
-        built = pool.map(lambda name: keep(f"features_{name}", family(x, name)), KEYS)
-        return dict(zip(KEYS, built))
+        list(pool.map(lambda build: build(), (lambda: x.uc, lambda: x.us)))
+        kept = dict(zip(small, pool.map(lambda name: x.keep(f"features_{name}", family(x, name)), small)))
+    return {name: kept[name] if name in small else family(x, name) for name in KEYS}

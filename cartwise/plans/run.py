@@ -86,7 +86,7 @@ class Run:
             x = self.inputs(name)
             scoring = name in ("test", "a_test")
             rows = labels.scoring_candidates(x.log, x.spec) if scoring else labels.train_labels(x.log, x.spec)
-            return dataset.assemble(rows, all_families(x, x.keep), x.pairs)
+            return dataset.assemble(rows, all_families(x), x.pairs)
 
         return materialize(self.spark, f"{self.folder}/set={name}/assembled", build)
 

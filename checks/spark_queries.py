@@ -251,17 +251,17 @@ def feat_u_reg_recency(spark, sf_dir):
 def _families(spark, sf_dir, spec, cart=False):
     keep = writer(spark)
     x = inputs(spark, sf_dir, spec, cart, keep)
-    return x, families.all_families(x, keep)
+    return x, families.all_families(x)
 
 
 def training_set(spark, sf_dir, spec=SPEC, cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.train_labels(x.log, spec), built, x.pairs)
+    return dataset.assemble(labels.train_labels(log(spark, sf_dir), spec), built, x.pairs)
 
 
 def scoring_set(spark, sf_dir, spec=X.WINDOWS["test"], cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.scoring_candidates(x.log, spec), built, x.pairs)
+    return dataset.assemble(labels.scoring_candidates(log(spark, sf_dir), spec), built, x.pairs)
 
 
 def feat_window_diffs(spark, sf_dir):

@@ -19,7 +19,7 @@ from tests.conftest import SF
 def built(spark):
     keep = spark_queries.writer(spark)
     x = spark_queries.inputs(spark, SF, keep=keep)
-    return x, families.all_families(x, keep)
+    return x, families.all_families(x)
 
 
 def test_counts_grow_with_the_range(built):
