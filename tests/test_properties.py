@@ -132,7 +132,7 @@ def test_extra_action_columns_leave_the_bound_open(spark):
     )
     assert plain.triple_rows == 14 * 20 * 5 and wider.triple_rows is None
     for name in ("uc", "cs"):
-        one, two = families.family(plain, name), families.family(wider, name)
+        one, two = (families.block(x, name, "conversion") for x in (plain, wider))
         assert one.exceptAll(two).count() == 0
 
 
@@ -161,6 +161,27 @@ def test_large_lookups_are_not_broadcast(spark):
     assert small.exceptAll(plain.select(small.columns)).count() == 0
 
 
+def test_hot_products_are_split_when_the_catalogue_is_not_broadcast(spark):
+    actions, products = skewed(spark, 60_000)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lookup = joins.broadcast_if_small(products.select("sku_id", "cate", "shop_id"), 100)
+        rows = actions.repartition(16).join(lookup, "sku_id")
+        assert len(rows.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in plan(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
