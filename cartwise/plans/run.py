@@ -51,11 +51,10 @@ class Run:
             products=self.keep("products", cleaned.products),
             comments=cleaned.comments,
         )
-        # Range partitions keep a day's rows together for pruning and split a busy day over several tasks.
+        # Rebalancing gathers a day's rows, so that a day has few files, and splits a busy day over tasks.
         self.log = materialize(
             spark, f"{self.folder}/log",
-            lambda: counted_log(self.tables.actions, self.tables.products)
-            .repartitionByRange("action_time", "user_id"),
+            lambda: counted_log(self.tables.actions, self.tables.products).hint("rebalance", "action_time"),
             partition_by="action_time",
         )
         self.vocabulary = fit_vocabulary(self.tables.users)

@@ -135,3 +135,20 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 # A window that ends inside the range of the mapped registration days.
 REGISTRATION_WINDOW = WindowSpec(dt.date(1995, 6, 21), history_start=dt.date(1995, 6, 8))
+
+# The order log below spans six years; its window has a longer candidate range, so that keys repeat.
+ORDER_LOG_WINDOW = WindowSpec(dt.date(2001, 6, 30), days=60)
+
+
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second, larger log: every order line is an action on its part, in the shop of its supplier."""
+    code = "CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE if(l_linestatus = 'F', 3, 4) END AS type"
+    lines = _read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"
+    )
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    parts = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return lines.join(orders, "l_orderkey").join(parts, "l_partkey").selectExpr(
+        "o_custkey AS user_id", "l_partkey AS sku_id", "to_date(o_orderdate) AS action_time", code,
+        "p_type AS cate", "l_suppkey AS shop_id",
+    )

@@ -89,12 +89,18 @@ comment AS (
   SELECT action_day AS dt, sku_id, count(*) AS comments, count(*) FILTER (WHERE value >= 50) AS good_comments,
          count(*) FILTER (WHERE value < 5) AS bad_comments
   FROM (SELECT CAST(ts AS DATE) AS action_day, CAST(json_extract_string(props, '$.k') AS BIGINT) AS sku_id, value
-        FROM events) GROUP BY action_day, sku_id),
-log AS (SELECT user_id, sku_id, action_time, type, cate, shop_id FROM action JOIN product USING (sku_id))"""
+        FROM events) GROUP BY action_day, sku_id)"""
 
+LOG = "SELECT user_id, sku_id, action_time, type, cate, shop_id FROM action JOIN product USING (sku_id)"
+ORDER_LOG = """SELECT o_custkey AS user_id, l_partkey AS sku_id, CAST(o_orderdate AS DATE) AS action_time,
+         CAST(CASE WHEN l_returnflag = 'A' THEN 1 WHEN l_returnflag = 'R' THEN 2 WHEN l_linestatus = 'F' THEN 3
+                   ELSE 4 END AS INTEGER) AS type,
+         p_type AS cate, l_suppkey AS shop_id
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""
 
-def query(body: str, more: str = "") -> str:
-    return f"WITH {TABLES}{more}\n{body}"
+
+def query(body: str, more: str = "", log: str = LOG) -> str:
+    return f"WITH {TABLES},\nlog AS ({log}){more}\n{body}"
 
 
 @dataclass
@@ -612,5 +618,9 @@ def statements() -> dict[str, str]:
     for f in KEYS:
         out[f"family_{f}"] = query(standard.family(f)[0])
         out[f"family_{f}_cart"] = query(cart.family(f)[0])
+    long = Window(X.ORDER_LOG_WINDOW)
+    out["order_log_labels"] = query(long.labelled(), log=ORDER_LOG)
+    for f in ("u", "ucs", "uc", "us"):
+        out[f"order_log_family_{f}"] = query(long.family(f)[0], log=ORDER_LOG)
     out.update(data_sets())
     return out

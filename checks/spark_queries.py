@@ -62,6 +62,24 @@ def inputs(spark: SparkSession, sf_dir: str, spec=SPEC, cart: bool = False, keep
     return families.Inputs(TestTables(spark, sf_dir), spec, X.USER_VOCABULARY, cart, keep)
 
 
+class OrderTables(TestTables):
+    """The larger log; its pairs of category and shop are those that occur in it."""
+
+    @cached_property
+    def actions(self) -> DataFrame:
+        return X.order_rows(*self._at)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.actions.select("sku_id", "cate", "shop_id").distinct()
+
+
+def order_inputs(spark: SparkSession, sf_dir: str):
+    tables_ = OrderTables(spark, sf_dir)
+    merged = tables_.actions.groupBy(*tables_.actions.columns).agg(F.count("*").alias("n"))
+    return families.Inputs(tables_, X.ORDER_LOG_WINDOW, X.USER_VOCABULARY, log=merged)
+
+
 def writer(spark: SparkSession):
     """A ``keep`` that writes each table below a new folder and reads it back."""
     folder = new_folder(spark, "tables")
@@ -241,6 +259,14 @@ def feature_family(spark, sf_dir, name: str, cart: bool = False):
     return families.family(inputs(spark, sf_dir, cart=cart), name)
 
 
+def order_log_labels(spark, sf_dir):
+    return labels.train_labels(X.order_rows(spark, sf_dir), X.ORDER_LOG_WINDOW)
+
+
+def order_log_family(spark, sf_dir, name: str):
+    return families.family(order_inputs(spark, sf_dir), name)
+
+
 def feat_u_reg_recency(spark, sf_dir):
     # The test tables register users in 1995 to 2000, so the window ends there.
     spec = X.REGISTRATION_WINDOW
@@ -390,7 +416,7 @@ PLAIN = [
     win_order_gap_lag, win_latest_per_key, sc_log_ratio, sc_safe_rate, sc_day_diff, pivot_action_type,
     label_train_set, label_test_set, label_all_windows, feat_u_reg_recency, feat_window_diffs,
     ds_feature_select, ds_union_windows, vote_threshold, vote_majority, eval_two_level, eval_threshold_sweep,
-    model_train, model_score, model_importance,
+    order_log_labels, model_train, model_score, model_importance,
 ]
 
 
@@ -407,6 +433,8 @@ def registry() -> dict[str, Query]:
     for fam in families.KEYS:
         found[f"family_{fam}"] = partial(feature_family, name=fam)
         found[f"family_{fam}_cart"] = partial(feature_family, name=fam, cart=True)
+    for fam in ("u", "ucs", "uc", "us"):
+        found[f"order_log_family_{fam}"] = partial(order_log_family, name=fam)
     found["ds_assemble"] = training_set
     found["ds_assemble_cart"] = partial(training_set, cart=True)
     found["ds_assemble_test"] = scoring_set
