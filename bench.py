@@ -17,7 +17,7 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 HEADLINES = [
     "label_train_set", "label_all_windows", "agg_windowed_counts",
     "family_u", "family_ucs", "family_c", "family_s", "family_uc", "family_us", "family_cs",
-    "order_log_family_u", "order_log_family_ucs", "order_log_family_uc", "order_log_family_us",
+    "order_log_labels", "order_log_family_uc",
     "ds_assemble", "vote_majority", "eval_threshold_sweep",
 ]
 
