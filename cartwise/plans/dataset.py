@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from cartwise.functions.scalars import named
 from cartwise.operators.joins import broadcast_if_small
 from cartwise.operators.measures import UCS
-from cartwise.operators.ranks import MAX_GROUP_ROWS
 from cartwise.plans.families import KEYS
 
+MAX_USER_ROWS = 200_000  # assembled rows of one user, about 2 KB each, that a single task may hold
+
 # Order of the families in an assembled set.
 FAMILY_ORDER = ("u", "ucs", "c", "s", "uc", "us", "cs")
 
@@ -57,7 +58,7 @@ def assemble(
     hot users. The category and shop families are broadcast if their measured size allows; if not, they
     shuffle, and AQE splits hot categories and shops.
     """
-    clustered = rows_per_user is not None and rows_per_user <= MAX_GROUP_ROWS
+    clustered = rows_per_user is not None and rows_per_user <= MAX_USER_ROWS
     by_user = (lambda df: df.repartition("user_id")) if clustered else (lambda df: df)
     table = by_user(candidates)
     for name in ("u", "uc", "us", "ucs"):
