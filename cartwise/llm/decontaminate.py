@@ -118,18 +118,18 @@ def _verified(docs: DataFrame, candidates: DataFrame, texts: DataFrame) -> DataF
         candidates.alias("c"),
         F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.text_hash").eqNullSafe(F.col("c.text_hash")),
     )
-    pieces = rows.select("d.doc_id", "d.text_hash", "words", "candidates").select(
-        "doc_id", "text_hash", F.explode(F.transform("candidates", lambda c: F.struct(
+    pieces = rows.select("d.doc_id", "d.text_hash", "words", F.size("words").alias("n_words"), "candidates").select(
+        "doc_id", "text_hash", "n_words", F.explode(F.transform("candidates", lambda c: F.struct(
             c.alias("c"),
             F.slice(F.col("words"), c["shift"] + c["lo"] + 1, c["hi"] - c["lo"] + c["length"]).alias("piece"),
         ))).alias("x"),
-    ).select("doc_id", "text_hash", "x.c.*", "x.piece")
+    ).select("doc_id", "text_hash", "n_words", "x.c.*", "x.piece")
     starts = F.filter(F.sequence("lo", "hi"), lambda w: F.slice(
         F.col("piece"), w - F.col("lo") + 1, F.col("length")
     ) == F.slice(F.col("words"), w + 1, F.col("length")))
     return pieces.join(texts.select("t1", "t2", "words", "item_ids"), ["t1", "t2"]).select(
-        "doc_id", "text_hash", "length", "item_ids", "shift", F.explode(starts).alias("start")
-    ).select("doc_id", "text_hash", (F.col("shift") + F.col("start")).alias("start"), "length", "item_ids")
+        "doc_id", "text_hash", "n_words", "length", "item_ids", "shift", F.explode(starts).alias("start")
+    ).select("doc_id", "text_hash", "n_words", (F.col("shift") + F.col("start")).alias("start"), "length", "item_ids")
 
 
 def _covered(windows: Column) -> Column:
@@ -144,7 +144,7 @@ def _covered(windows: Column) -> Column:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
-    """Documents with occurring windows: doc_id, text_hash, n_hit and the sorted item ids (as strings)."""
+    """Documents with occurring windows: doc_id, text_hash, n_words, n_hit and the sorted item ids (as strings)."""
     texts = written(_texts(benchmark, window), "item_texts")
     shingles = _item_shingles(texts)
     sizes = sorted(r[0] for r in texts.select("size").distinct().collect()) or [SHINGLE]
@@ -152,6 +152,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     prefixes = broadcast_if_small(written(_prefixes(shingles, tokens), "item_prefixes"))
     found = _verified(docs, _candidates(tokens, prefixes), texts)
     return found.groupBy("doc_id", "text_hash").agg(
+        F.first("n_words").cast("long").alias("n_words"),
         _covered(F.sort_array(F.collect_set(F.struct("start", "length")))).cast("long").alias("n_hit"),
         F.array_sort(F.transform(
             F.array_distinct(F.flatten(F.collect_set("item_ids"))), lambda x: x.cast("string")
@@ -166,7 +167,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 2
         *(quoted(c) for c in without(docs, *RESULTS)), F.xxhash64("text").alias("__hash"),
         F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
     )
-    right = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__own"})
+    right = found.drop("n_words").withColumnsRenamed({"doc_id": "__id", "text_hash": "__own"})
     joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__own")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
@@ -175,3 +176,14 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 2
         F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated; only the contaminated ones are looked up by id."""
+    dirty = hits(docs, benchmark, window).where(share * F.col("n_hit") >= F.col("n_words")).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own")
+    )
+    return docs.join(
+        broadcast_if_small(written(dirty, "contaminated")),
+        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own")), "left_anti",
+    )

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm import chat, decontaminate, line_dedup, url_rules
+from cartwise.llm import (
+    chat, decontaminate, line_dedup, permutation_index, quality, sentencepiece_codec, simhash, substring_dedup, url_rules,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +20,10 @@ URL_RULES = [
 ]
 
 
+#: The model of op10; a parameter of the operator.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,6 +32,26 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def held_out() -> Column:
+    """Documents whose labels are not learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def learned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, learned_labels(spark, sf_dir))
+    return quality.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", sha256(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold the control strings of common templates."""
     probe = spark.range(2).select(
@@ -45,6 +72,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -53,16 +84,33 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(read(spark, sf_dir, "pages"), payload=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = F.array(*(F.struct(*(F.lit(x).alias(n) for n, x in zip(("host", "path", "verdict"), r))) for r in URL_RULES))
+    rules = spark.range(1).select(F.inline(rules))
     judged = url_rules.judge(read(spark, sf_dir, "pages").select("page_id", "url"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids, and whether decoding them gives the text again."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = sentencepiece_codec.round_trip(docs, PIECE_MODEL)
+    return coded.select("doc_id", "n_tokens", "token_ids", "same_text")
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

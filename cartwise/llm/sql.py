@@ -4,6 +4,27 @@ from __future__ import annotations
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP2 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d
+), windows AS (SELECT doc_id, i, w[i:i + 19] AS win FROM places),
+late AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER same AS first_doc,
+        first_value(i) OVER (PARTITION BY win ORDER BY doc_id, i) AS first_i FROM windows WINDOW same AS (PARTITION BY win))
+    WHERE (doc_id, i) <> (first_doc, first_i)
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS pos FROM late),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+kept AS (
+    SELECT doc_id, count(gone.pos) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (gone.pos IS NULL) AS text
+    FROM words LEFT JOIN gone USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP3 = r"""
 WITH raw AS (
     SELECT conv_id, turn, role, text FROM conversations
@@ -55,6 +76,24 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: Base 32 of a SHA-1: its 160 bits in groups of five.
+BASE32 = """array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(
+    list_transform(range(0, 5), lambda b: substr(bits, (5 * k + b + 1)::INTEGER, 1)::INTEGER * (16 >> b::INTEGER)))::INTEGER, 1)), '')"""
+
+OP6 = rf"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS hex FROM pages
+), b AS (
+    SELECT page_id, size, hex, array_to_string(list_transform(string_split(hex, ''), lambda c:
+        substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', c) - 1) + 1, 4)
+    ), '') AS bits, max(page_id) OVER (PARTITION BY hex) AS last FROM p
+)
+SELECT page_id, size::BIGINT AS payload_bytes, {BASE32} AS payload_digest,
+    CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to
+FROM b
+"""
+
 OP7 = rf"""
 WITH p AS (
     SELECT page_id,
@@ -88,5 +127,6 @@ FROM k LEFT JOIN hot USING (key) GROUP BY doc_id
 
 def statements() -> dict[str, str]:
     return {
-        "op3_chat_formatting": OP3, "op5_benchmark_decontamination": OP5, "op7_url_filters": OP7, "op9_line_dedup": OP9,
+        "op2_substring_dedup": OP2, "op3_chat_formatting": OP3, "op5_benchmark_decontamination": OP5, "op6_warc": OP6,
+        "op7_url_filters": OP7, "op9_line_dedup": OP9,
     }

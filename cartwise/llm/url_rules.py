@@ -4,7 +4,7 @@ A rule (host, path, verdict) fits its host and all subdomains if the url's path
 tokens are the labels of its host and the whole segments of its path. Tokens are counted over all distinct
 (host, path) of the pages, and a rule is posted under its rarest one; a rule without a token is posted under one that
 every url has. The tokens of a url fetch the rules posted under them, and only those rules run their regular
-expression. The longest fitting rule decides.
+expressions. The longest fitting rule decides.
 
 Equal (host, path) are judged once and joined back to the pages, where AQE splits a frequent url. The index
 is broadcast only within a counted bound; beyond it tokens join it by shuffle.
@@ -48,12 +48,15 @@ def _url_tokens(host: Column, path: Column) -> Column:
 
 
 def _rule_rows(rules: DataFrame) -> DataFrame:
-    """Rules with their text, regular expression (over host, line feed, path) and literal tokens."""
+    """Rules with their text, regular expressions of host and path, and literal tokens."""
     host, path = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
     pieces = F.split(path, "/", -1)
     rows = rules.where(F.col("verdict").isNotNull()).select(
         F.concat(host, path).alias("rule"), "verdict",
-        F.concat(F.lit(r"(?s)^(?:[^\n]*\.)?"), _literal(host), F.lit(r"\n"), _literal(path)).alias("pattern"),
+        F.struct(
+            F.concat(F.lit(r"(?s)^(?:.*\.)?"), _literal(host), F.lit(r"\z")).alias("host"),
+            F.concat(F.lit("^"), _literal(path)).alias("path"),
+        ).alias("patterns"),
         # What follows the last slash may be the beginning of a longer segment, and is no token.
         F.when(host == "", F.array().cast("array<string>"))
         .otherwise(_tokens(host, F.slice(pieces, F.lit(1), F.size(pieces) - 1))).alias("tokens"),
@@ -65,13 +68,13 @@ def _rule_rows(rules: DataFrame) -> DataFrame:
 
 def rule_index(rules: DataFrame, urls: DataFrame) -> DataFrame:
     """The rules, each under its rarest token among ``urls`` (distinct host, path)."""
-    rows = _rule_rows(rules).select("rule", "verdict", "pattern", F.explode("tokens").alias("token"))
+    rows = _rule_rows(rules).select("rule", "verdict", "patterns", F.explode("tokens").alias("token"))
     wanted = broadcast_if_small(written(rows.select("token").distinct(), "rule_tokens"))
     counts = (
         urls.select(F.explode(_url_tokens(F.col("host"), F.col("path"))).alias("token"))
         .join(wanted, "token").groupBy("token").agg(F.count("*").alias("found"))
     )
-    return rows.join(counts, "token", "left").groupBy("rule", "verdict", "pattern").agg(
+    return rows.join(counts, "token", "left").groupBy("rule", "verdict", "patterns").agg(
         F.min(F.struct(F.coalesce("found", F.lit(0)).alias("found"), "token"))["token"].alias("token")
     )
 
@@ -85,7 +88,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     urls = pages.select("host", "path").distinct()
     index = broadcast_if_small(written(rule_index(rules, urls), "rule_index"))
     fetched = urls.withColumn("token", F.explode(_url_tokens(F.col("host"), F.col("path")))).join(index, "token")
-    judged = fetched.where(F.rlike(F.concat("host", F.lit("\n"), "path"), F.col("pattern"))).groupBy("host", "path").agg(
+    fitting = fetched.where(F.rlike("host", F.col("patterns.host")) & F.rlike("path", F.col("patterns.path")))
+    judged = fitting.groupBy("host", "path").agg(
         F.max(F.struct(F.char_length("rule").alias("chars"), "verdict", "rule")).alias("best")
     )
     return pages.join(judged, ["host", "path"], "left").select(
