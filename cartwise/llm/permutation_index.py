@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import written
+from cartwise.llm.shared import ship, written
 
 PIVOTS = 64
 NEAREST = 24
@@ -100,6 +100,7 @@ def search(
     block: int = BLOCK, query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """The ``k`` nearest found for every id divisible by ``every``: query_id, rank, vec_id, score."""
+    ship(vectors.sparkSession)
     rows = usable(vectors)
     chosen = choose_pivots(rows, pivots)
     queries = rows.where(F.col("vec_id") % every == 0)

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import quoted, without, written
+from cartwise.llm.shared import quoted, ship, without, written
 
 TABLE_BITS = 16
 DIMENSION = 16
@@ -110,6 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6_000, epochs: int = 6
             model = train(rows, counts, np.concatenate([f["label"].to_numpy() for f in frames]), epochs)
             yield pd.DataFrame({"weights": [model.weights], "bias": [model.bias]})
 
+    ship(docs.sparkSession)
     # Sorted by hash within the one task, so that the descent meets the documents in the same order every time.
     made = training_rows(docs, labels, sample).select(
         F.xxhash64("text").alias("h"), "label", bags("text").alias("bag")
@@ -125,6 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 6_000, epochs: int = 6
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """``docs`` with score (probability of class 1) and predicted (1 if the score reaches the threshold)."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

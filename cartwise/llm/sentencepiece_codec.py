@@ -25,10 +25,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import quoted, without
+from cartwise.llm.shared import quoted, ship, without
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -218,6 +218,12 @@ def _codec(path: str) -> Codec:
     return _CODECS[path]
 
 
+def _send(spark: SparkSession, model_path: str) -> None:
+    """Send this package and the model file to the executors."""
+    ship(spark)
+    spark.sparkContext.addFile(model_path)
+
+
 def _groups(texts: list[str]) -> Iterator[slice]:
     at = taken = 0
     for i, t in enumerate(texts):
@@ -235,7 +241,7 @@ def _ids(codec: Codec, texts: list[str]) -> list[np.ndarray]:
 
 def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids and n_tokens of the text; Spark sends the model file to the executors."""
-    docs.sparkSession.sparkContext.addFile(model_path)
+    _send(docs.sparkSession, model_path)
 
     @F.pandas_udf("array<int>")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -251,7 +257,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
 
 def decode(rows: DataFrame, model_path: str) -> DataFrame:
     """``rows`` with the text of their token_ids as ``decoded``."""
-    rows.sparkSession.sparkContext.addFile(model_path)
+    _send(rows.sparkSession, model_path)
 
     @F.pandas_udf("string")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -264,7 +270,7 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids, n_tokens and same_text: whether the ids decode to the text, in one pass over it."""
-    docs.sparkSession.sparkContext.addFile(model_path)
+    _send(docs.sparkSession, model_path)
 
     @F.pandas_udf("token_ids array<int>, same_text boolean")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import string
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cartwise
 from cartwise.session import new_folder
 
 #: Rows up to which a narrow table (a few numbers a row) is sent to every executor.
@@ -16,6 +20,23 @@ BROADCAST_ROWS = 200_000
 WHITE = " \t\n\x0b\x0c\r"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that tasks can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(cartwise.__file__).parent
+        folder = Path(SparkFiles.getRootDirectory()) / "packages"
+        folder.mkdir(exist_ok=True)
+        with zipfile.ZipFile(folder / "cartwise.zip", "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, Path("cartwise") / p.relative_to(root))
+        sc.addPyFile(str(folder / "cartwise.zip"))
+        _SHIPPED.add(sc.applicationId)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lost executor costs no more than the running stage."""
     spark = df.sparkSession

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import written
+from cartwise.llm.shared import ship, written
 
 BITS = 64
 BUCKET = 4_096
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         for texts in parts:
             yield pd.Series([_fingerprint(t, shingle) for t in texts], dtype="int64")
 
+    ship(docs.sparkSession)
     return docs.withColumn("__fp", of("text"))
 
 
@@ -121,6 +122,7 @@ def links(fps: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFrame:
     """Links (a, b) between distinct fingerprints ``fp`` that give all components within the radius."""
     if not 0 <= radius <= 2:
         raise ValueError("the radius is 0, 1 or 2")
+    ship(fps.sparkSession)
     masks = covering_masks(radius)
     tables = F.array(*(
         F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key")) for t, m in enumerate(masks)

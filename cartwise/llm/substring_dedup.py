@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import quoted, without, written
+from cartwise.llm.shared import quoted, ship, without, written
 
 GRAM = 4
 HOT_SHARE = 20_000
@@ -329,6 +329,7 @@ def covered_runs(docs: DataFrame, window: int = 20, bucket_bytes: int = BUCKET_B
     if window < GRAM:
         raise ValueError(f"a window has at least {GRAM} words")
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select("doc_id", "text", F.hash("text").alias("own"))
     grams = rows.select("text").mapInArrow(_count_grams, "gram bigint, found bigint").groupBy("gram").agg(
         F.sum("found").alias("found")

@@ -30,7 +30,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import written
+from cartwise.llm.shared import ship, written
 from cartwise.session import new_folder
 
 FILE_BYTES = 128_000_000
@@ -172,6 +172,7 @@ def _writer(folder: str):
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Write a record per row of ``pages`` below ``folder`` (any store that pyarrow knows); the manifest of the files."""
+    ship(pages.sparkSession)
     rows = classify(pages, min_bytes).select("page_id", "url", "payload", "record_type", "refers_to")
     return written(rows.mapInArrow(_writer(folder), "path string, records bigint, bytes bigint"), "warc_manifest")
 
@@ -203,6 +204,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payload
                     raise ValueError(f"{path} has {n} records instead of {expected}")
                 yield flush(rows)
 
+    ship(spark)
     # A task for every few files: without a number the few manifest rows would end up in one task.
     return manifest.select("path", "records").repartition(max(1, min(manifest.count(), 20_000))).mapInArrow(read, RECORDS)
 
