@@ -9,7 +9,8 @@ footrule distance of the two orders (a pivot that one side lacks counts as stand
 The stated queries meet the index in blocks: a task holds one block of vectors and one of queries, both of
 bounded size; block numbers grow with the tables. Hashed ids keep blocks even, so equal vectors make no hot block.
 
-The share is a fraction of every block at any size, and no candidate list is capped by a number. Vectors that
+The share is a fraction of every block at any size, all that tie with its last are reranked too (near copies have one
+order of pivots), and no candidate list is capped by a number. Vectors that
 share no pivot with a query are not found; if fewer than ``k`` of a block share one, the whole block is reranked.
 
 Defined results: a null id or vector, a zero vector, null or non-finite components, and another length than that of the
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 
 from cartwise.llm.shared import ship, written
 
-PIVOTS = 64
-NEAREST = 24
-SHARE = 0.3
+PIVOTS = 128
+NEAREST = 48
+SHARE = 0.4
 BLOCK, QUERY_BLOCK = 16_384, 4_096
 FOUND = "query_id bigint, vec_id bigint, score double"
 
@@ -64,8 +65,6 @@ def search_block(
     nearest: int, share: float, k: int,
 ) -> pd.DataFrame:
     """The best ``k`` of one block for each query, by the method above."""
-    order = np.argsort(ids)  # equal distances and scores go to the smaller id
-    ids, vectors = ids[order], vectors[order]
     nearest = min(nearest, len(pivots))
     ranks = nearest_pivots(vectors, pivots, nearest)
     files = []  # per pivot: the vectors posted there, and their ranks
@@ -85,9 +84,8 @@ def search_block(
             found = np.arange(len(ids))
         elif len(found) > budget:
             cut = -np.partition(-saved[found], budget - 1)[budget - 1]
-            sure = found[saved[found] > cut]
-            found = np.concatenate([sure, found[saved[found] == cut][:budget - len(sure)]])
-        found = np.sort(found[ids[found] != q])
+            found = found[saved[found] >= cut]
+        found = found[ids[found] != q]
         scores = vectors[found] @ vector
         best = np.lexsort((ids[found], -scores))[:k]
         out.append((np.full(len(best), q), ids[found[best]], scores[best]))

@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A document is the bag of its words (split at white space) and of the character n-grams of every word, each hashed to a
-row of an embedding table. The rows are averaged over the document and a softmax layer gives the two class
+row of an embedding table; one more row stands for a word that repeats the word before it. The rows are averaged over the
+document (with ``PRIOR`` empty ones, so that a few words decide little) and a softmax layer gives the two class
 probabilities. Table and layer are learned together by numpy stochastic gradient descent.
 
 Training reads at most ``sample`` labelled documents (those of the smallest hash of their id, so that the choice
@@ -19,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -30,6 +32,9 @@ from cartwise.llm.shared import quoted, ship, without, written
 TABLE_BITS = 16
 DIMENSION = 16
 N_GRAMS = (3, 4)
+PRIOR = 30
+#: Row of a repeated word.
+REPEATED = 0
 #: Words whose sums a task keeps; beyond it the store is emptied and filled anew.
 KEPT_WORDS = 300_000
 RESULTS = ("score", "predicted")
@@ -55,7 +60,8 @@ def _features(word: bytes) -> list[int]:
 
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of a text and how often each occurs."""
-    ids = [i for w in (text or "").encode().split() for i in _features(w)]
+    words = (text or "").encode().split()
+    ids = [i for w in words for i in _features(w)] + [REPEATED] * sum(map(eq, words, words[1:]))
     rows, counts = np.unique(np.array(ids, np.int32), return_counts=True)
     return rows, counts.astype(np.float32)
 
@@ -69,7 +75,7 @@ def train(
         return Model(np.zeros(size, np.float32), 0.0)
     vectors = rng.uniform(-1 / DIMENSION, 1 / DIMENSION, (size, DIMENSION)).astype(np.float32)
     layer, bias = np.zeros((DIMENSION, 2), np.float32), np.zeros(2, np.float32)
-    share = [c / max(1.0, c.sum()) for c in counts]
+    share = [c / (PRIOR + c.sum()) for c in counts]
     done, total = 0, epochs * len(labels)
     for _ in range(epochs):
         for k in rng.permutation(len(labels)):
@@ -95,7 +101,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(written(chosen, "chosen_labels")), "doc_id").select("text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 6_000, epochs: int = 6) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 8_000, epochs: int = 6) -> Model:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0 or 1)."""
 
     @F.pandas_udf("rows array<int>, counts array<float>")
@@ -147,7 +153,9 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
                 for s, k in map(known.__getitem__, words):
                     total += s
                     n += k
-                scores.append(1 / (1 + np.exp(-np.clip(total / max(1, n) + bias, -500, 500))))
+                repeats = sum(map(eq, words, words[1:]))
+                mean = (total + repeats * weights[REPEATED]) / (PRIOR + n + repeats)
+                scores.append(1 / (1 + np.exp(-np.clip(mean + bias, -500, 500))))
             yield pd.Series(scores, dtype="float64")
 
     columns = [quoted(c) for c in without(docs, *RESULTS)]

@@ -12,15 +12,10 @@ from pyspark.sql import functions as F
 from cartwise.llm import decontaminate, line_dedup, quality, queries, sentencepiece_codec, simhash
 from cartwise.llm.shared import written
 
-#: A document below this score goes. It is lower than the score from which op1 predicts class 1: a filter must
-#: keep clean documents, and those of class 0 score far below it.
-LEAST_SCORE = 0.5
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; it learns from the labelled rows that op1 learns from."""
     model = quality.fit(docs, queries.learned_labels(spark, sf_dir))
-    return quality.score(docs, model).where(F.col("score") >= LEAST_SCORE).select(docs.columns)
+    return quality.score(docs, model).where("predicted = 1").select(docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
