@@ -12,7 +12,7 @@ the vector, as the average is linear. Every document is scored in full, and a ta
 
 Defined results: a null or empty text has no features and gets the score of the bias alone. Labels other than 0 and 1, and
 documents with both, are not learned from; without labels every score is 0.5. Rows that repeat a ``doc_id`` are scored
-each by its own text. Columns named like the results are replaced; an empty table gives an empty one.
+each by its own text; the smallest is learned from. Columns named like the results are replaced; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -94,11 +94,12 @@ def train(
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` documents with one usable label: text and label."""
+    """At most ``sample`` documents with one usable label: text and label. Of rows that repeat an id, the smallest text."""
     usable = labels.where("label IN (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
     # Ids first: the bounded choice is made before any text moves.
     chosen = usable.where("label = most").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "label")
-    return docs.select("doc_id", "text").join(F.broadcast(written(chosen, "chosen_labels")), "doc_id").select("text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(written(chosen, "chosen_labels")), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 8_000, epochs: int = 6) -> Model:
