@@ -25,7 +25,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """One row per line: document, text hash, position, line and the two halves of the key's hash."""
     rest = [quoted(c) for c in without(docs, "doc_id", "text", "n_lines", "n_dropped")]
     rows = docs.select(
-        F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.struct(F.lit(0).alias("_"), *rest).alias("rest")
+        F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.struct(F.lit(0).alias("__row"), *rest).alias("rest")
     )
     rows = rows.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), "rest",
