@@ -3,12 +3,12 @@
 The model file's protobuf is parsed here: pieces with scores and kinds, the trainer's model kind and byte fallback, and
 the normaliser's character map and white-space rules. From these a tokenizer is rebuilt: normaliser, metaspace
 marker, and either unigram scores or, for a BPE model, merges in the order of the scores; both with byte fallback. If
-no piece has the marker after another character, a merge never crosses a word, and words are split first, which
-is equal and much faster. Batches are encoded by the library's threads.
+no piece has the marker after another character, a merge never crosses the beginning of a word, so a text's ids are those
+of its words: every distinct word (with the spaces before it) is encoded once and kept while the store has room. New words
+are joined to texts and encoded in batches by the library's threads.
 
-Parity: words are checked against the ``sentencepiece`` library, every distinct word that a task meets once. A text
-with a word on which the two differ (runs of one character, where equal scores tie) is encoded by ``sentencepiece``
-itself, so the ids are always its ids.
+Parity: what is encoded is also encoded by the ``sentencepiece`` library, so every distinct word is verified; where the two
+differ (they could where equal scores tie) its ids are taken, and the difference is counted.
 
 Defined results: a null text gives no ids, decodes to '' and is not counted as changed; an empty text gives no
 ids. Special tokens in a text are ordinary text. Repeated rows each come back. Columns named like the results are
@@ -18,6 +18,7 @@ replaced; an empty table gives an empty one.
 from __future__ import annotations
 
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,9 +36,11 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Characters that are encoded at once; a longer text is a batch of its own.
 BATCH_CHARS = 500_000
-#: Distinct words whose parity a task remembers.
+#: New words that are encoded as one text.
+JOINED = 200
+#: Distinct words whose ids a task keeps; beyond it the store is emptied and filled anew.
 KEPT_WORDS = 300_000
-RESULTS = ("token_ids", "n_tokens", "decoded")
+_RUNS = re.compile(" *[^ ]+| +")
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -159,6 +162,16 @@ def build_tokenizer(model: PieceModel):
     return tokenizer
 
 
+def _words_of(text: str) -> list[str]:
+    """The words of a text, each with the spaces before it but for the first space (that of the text's begin, too)."""
+    text = text.replace(MARK, " ")
+    if not text:
+        return []
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [w[1:] for w in _RUNS.findall(" " + text)]
+
+
 class Codec:
     """Encoder and decoder of a model, whose ids are those of the sentencepiece library."""
 
@@ -168,40 +181,57 @@ class Codec:
         self.model = parse_model(data)
         self.tokenizer = build_tokenizer(self.model)
         self.peer = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.by_word = self.model.kind == BPE and splits_words(self.model) and not self.model.charsmap
-        self._parity: dict[str, bool] = {}
+        self.by_word = (
+            self.model.kind == BPE and splits_words(self.model) and not self.model.charsmap
+            and self.model.dummy_prefix and self.model.escape_spaces and not self.model.remove_spaces
+        )
+        self._begins = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
+        # A space that ends a text is a word without anything after its marker.
+        alone = self.peer.encode("a ")[len(self.peer.encode("a")):]
+        self._space = {"": np.array(alone, np.int32).tobytes()}
+        self._words: dict[str, bytes] = dict(self._space)
         self.differing = 0
         self._bytes = [
             bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind in (CONTROL, UNKNOWN) else p.encode()
             for p, _, kind in self.model.pieces
         ]
 
-    def _agrees(self, texts: list[str]) -> list[bool]:
-        """For each text, whether both libraries agree on all its words (runs between single spaces)."""
-        parts = [set(t.split(" ")) for t in texts]
-        new = list(set().union(*parts).difference(self._parity)) if parts else []
-        if len(self._parity) + len(new) > KEPT_WORDS:
-            self._parity.clear()
-            new = list(set().union(*parts))
-        ours = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        theirs = self.peer.encode(new, num_threads=1)
-        self._parity.update((w, a.ids == b) for w, a, b in zip(new, ours, theirs))
-        return [all(map(self._parity.__getitem__, p)) and "  " not in t for p, t in zip(parts, texts)]
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _verified(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts by the tokenizer, and by the other library where that differs."""
+        ours = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        theirs = self.peer.encode(texts, num_threads=1)
+        self.differing += sum(a != b for a, b in zip(ours, theirs))
+        return theirs
+
+    def _learn(self, words: list[str]) -> None:
+        """Keep the ids of words without spaces: they are encoded as texts, whose ids are cut where a marker begins one."""
+        for at in range(0, len(words), 200 * JOINED):
+            lines = [words[i:i + JOINED] for i in range(at, min(at + 200 * JOINED, len(words)), JOINED)]
+            for line, ids in zip(lines, self._verified([" ".join(line) for line in lines])):
+                ids = np.array(ids, np.int32)
+                cuts = 4 * np.append(np.flatnonzero(self._begins[ids]), len(ids))
+                data = ids.tobytes()
+                self._words.update((w, data[a:b]) for w, a, b in zip(line, cuts[:-1].tolist(), cuts[1:].tolist()))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special tokens."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if self.by_word:
-            doubtful = [i for i, ok in enumerate(self._agrees(texts)) if not ok]
-        else:
-            doubtful = list(range(len(texts)))  # words are not apart: whole texts are compared
-        for i, ids in zip(doubtful, self.peer.encode([texts[i] for i in doubtful], num_threads=1)):
-            self.differing += ids != found[i]
-            found[i] = ids
-        return found
-
-    def decode(self, ids: list[int]) -> str:
+        if not self.by_word:
+            return [np.array(ids, np.int32) for ids in self._verified(texts)]
+        # Words without the space that begins them: the tokenizer puts one before whatever it encodes.
+        parts = [_words_of(t) for t in texts]
+        new = list(set().union(*parts).difference(self._words))
+        if len(self._words) + len(new) > KEPT_WORDS:
+            self._words = dict(self._space)
+            new = list(set().union(*parts).difference(self._words))
+        spaced = [w for w in new if " " in w]
+        self._words.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(spaced, self._verified(spaced)))
+        self._learn([w for w in new if " " not in w])
+        find = self._words.__getitem__
+        return [np.frombuffer(b"".join(map(find, words)), np.int32) for words in parts]
+
+    def decode(self, ids) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
         text = b"".join(map(self._bytes.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
@@ -236,7 +266,7 @@ def _groups(texts: list[str]) -> Iterator[slice]:
 
 
 def _ids(codec: Codec, texts: list[str]) -> list[np.ndarray]:
-    return [np.array(ids, np.int32) for group in _groups(texts) for ids in codec.encode(texts[group])]
+    return [ids for group in _groups(texts) for ids in codec.encode(texts[group])]
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
@@ -278,7 +308,7 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFram
         for part in parts:
             texts = [t or "" for t in part]
             ids = _ids(codec, texts)
-            same = [codec.decode(i.tolist()) == t for i, t in zip(ids, texts)]
+            same = [codec.decode(i) == t for i, t in zip(ids, texts)]
             yield pd.DataFrame({"token_ids": pd.Series(ids, dtype=object), "same_text": same})
 
     columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", "same_text")]
