@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Characters that are encoded at once; a longer text is a batch of its own.
 BATCH_CHARS = 500_000
+#: Texts that are Python strings at once.
+GROUP_ROWS = 200
 #: New words that are encoded as one text.
 JOINED = 200
 #: Distinct words whose ids a task keeps; beyond it the store is emptied and filled anew.
@@ -265,19 +268,30 @@ def _groups(texts: list[str]) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
-def _ids(codec: Codec, texts: list[str]) -> list[np.ndarray]:
-    return [ids for group in _groups(texts) for ids in codec.encode(texts[group])]
+def _coded(codec: Codec, part: pa.Array) -> Iterator[tuple[list[str], list[np.ndarray], pa.Array]]:
+    """Texts, ids and the ids as an Arrow list, for a few texts of the part at a time: only the Arrow lists need be kept."""
+    for at in range(0, len(part), GROUP_ROWS):
+        rows = [t or "" for t in part.slice(at, GROUP_ROWS).to_pylist()]
+        for group in _groups(rows):
+            texts = rows[group]
+            ids = codec.encode(texts)
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            yield texts, ids, pa.ListArray.from_arrays(ends, np.concatenate(ids))
+
+
+def _joined(lists: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(lists) if lists else pa.array([], kind)
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     """``docs`` with token_ids and n_tokens of the text; Spark sends the model file to the executors."""
     _send(docs.sparkSession, model_path)
 
-    @F.pandas_udf("array<int>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(model_path)
         for part in parts:
-            yield pd.Series(_ids(codec, [t or "" for t in part]), dtype=object)
+            yield _joined([ids for _, _, ids in _coded(codec, part)], pa.list_(pa.int32()))
 
     columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens")]
     return docs.select(*columns, of(quoted(text)).alias("token_ids")).withColumn(
@@ -302,14 +316,17 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFram
     """``docs`` with token_ids, n_tokens and same_text: whether the ids decode to the text, in one pass over it."""
     _send(docs.sparkSession, model_path)
 
-    @F.pandas_udf("token_ids array<int>, same_text boolean")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("token_ids array<int>, same_text boolean")
+    def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(model_path)
         for part in parts:
-            texts = [t or "" for t in part]
-            ids = _ids(codec, texts)
-            same = [codec.decode(i) == t for i, t in zip(ids, texts)]
-            yield pd.DataFrame({"token_ids": pd.Series(ids, dtype=object), "same_text": same})
+            lists, same = [], []
+            for texts, ids, found in _coded(codec, part):
+                lists.append(found)
+                same += [codec.decode(i) == t for i, t in zip(ids, texts)]
+            yield pa.StructArray.from_arrays(
+                [_joined(lists, pa.list_(pa.int32())), pa.array(same, pa.bool_())], ["token_ids", "same_text"]
+            )
 
     columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", "same_text")]
     return docs.select(*columns, of(quoted(text)).alias("__coded")).select(
