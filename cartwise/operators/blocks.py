@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from cartwise.functions.scalars import days_until, log_ratio, safe_rate, total
-from cartwise.operators.measures import days_in, history_days, seen_in
+from cartwise.operators.measures import candidate_words, days_in, seen_in
 from cartwise.operators.windows import WindowSpec
 
 Block = dict[str, str]
@@ -15,6 +15,8 @@ NO_GAP, NO_ORDER, NO_RECENT = 60, 75, 60
 
 BOTH_SEEN = "(browse_first IS NOT NULL AND order_last IS NOT NULL)"
 BROWSE_TO_ORDER = "datediff(order_last, browse_first)"
+# Distinct order days; joined to a measure table only for blocks that name it.
+ORDER_DAYS = "order_days"
 
 
 def conversion(prefix: str, kind: str, scope: str, rate: str) -> Block:
@@ -59,7 +61,7 @@ def order_rhythm(spec: WindowSpec, days: str, gap: str, last: str) -> Block:
     """
     mean_gap = "datediff(order_last, order_first) / (n2_hist - 1)"
     return {
-        days: history_days(spec, "order"),
+        days: ORDER_DAYS,
         gap: f"if(order_last > order_first, {mean_gap}, {float(NO_GAP)}D)",
         f"{last}_start": f"coalesce({days_until(spec.label_start, 'order_last')}, {NO_ORDER})",
         f"{last}_end": f"coalesce({days_until(spec.label_end, 'order_last')}, {NO_ORDER})",
@@ -82,17 +84,18 @@ def last_browse(spec: WindowSpec, to_start: str, to_end: str) -> Block:
     }
 
 
-def browse_to_order(spec: WindowSpec, diff: str) -> Block:
+def browse_to_order(diff: str) -> Block:
     """Days from the first browse to the last order per order day; negative if the browse came later."""
-    per_day = f"{BROWSE_TO_ORDER} / {history_days(spec, 'order')}"
-    return {diff: f"if({BOTH_SEEN}, {per_day}, {float(NO_RECENT)}D)"}
+    # A row with a null in its key finds no day count.
+    per_day = f"{BROWSE_TO_ORDER} / nullif({ORDER_DAYS}, 0)"
+    return {diff: f"coalesce(if({BOTH_SEEN}, {per_day}, NULL), {float(NO_RECENT)}D)"}
 
 
-def order_days_after_browse(spec: WindowSpec, name: str) -> Block:
+def order_days_after_browse(name: str) -> Block:
     """Order days of keys that were also browsed."""
-    return {name: f"if({BOTH_SEEN}, {history_days(spec, 'order')}, 0L)"}
+    return {name: f"if({BOTH_SEEN}, {ORDER_DAYS}, 0L)"}
 
 
-def active_days(name: str) -> Block:
+def active_days(spec: WindowSpec, name: str) -> Block:
     """Distinct active days among the candidate days."""
-    return {name: days_in("cand_days")}
+    return {name: days_in(*candidate_words(spec))}

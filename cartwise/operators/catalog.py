@@ -33,16 +33,17 @@ def comment_totals(comments: DataFrame, spec: WindowSpec) -> DataFrame:
     return inside.groupBy("sku_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in COMMENT_COLUMNS])
 
 
-def comment_sums(
-    log: DataFrame, comments: DataFrame, spec: WindowSpec, keys: Sequence[str], prefix: str
-) -> DataFrame:
-    """Comment counts per key, each product weighted by its action rows up to the window end.
+def product_comments(log: DataFrame, comments: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Comment counts per product (with its category and shop), weighted by its action rows up to the window end.
 
     The log is reduced to one row per product before it meets the comments, so the join is between two
     catalogue-sized tables and a hot product is one row.
     """
-    weights = history_rows(log, spec).groupBy("sku_id", *keys).agg(F.sum("n").alias("n"))
+    weights = history_rows(log, spec).groupBy("sku_id", "cate", "shop_id").agg(F.sum("n").alias("n"))
     weighted = weights.join(comment_totals(comments, spec), "sku_id")
-    return weighted.groupBy(*keys).agg(
-        *[F.expr(f"sum(n * {c}) AS {prefix}_{c}") for c in COMMENT_COLUMNS]
-    )
+    return weighted.selectExpr("sku_id", "cate", "shop_id", *[f"n * {c} AS {c}" for c in COMMENT_COLUMNS])
+
+
+def comment_sums(products: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Sums of :func:`product_comments` per category, shop or both."""
+    return products.groupBy(*keys).agg(*[F.expr(f"sum({c}) AS {prefix}_{c}") for c in COMMENT_COLUMNS])

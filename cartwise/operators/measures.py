@@ -2,7 +2,8 @@
 
 One aggregation over the log computes the measures for (user, category, shop). Each measure merges with
 itself (sum, min, max, bitwise or), so coarser keys roll up from the finer table and the log is read once.
-Distinct days are kept as bit sets, which roll up where a distinct count would not.
+Distinct candidate days are kept as bit sets, which roll up where a distinct count would not. Distinct days of the
+whole history are counted apart (:func:`day_counts`), so the measures of a log have the same columns whatever its age.
 
 Names: ``n2_7`` order rows in the last 7 days, ``d2_7`` the same without repeats, scopes ``cand``
 (candidate days) and ``hist`` (everything up to the window end).
@@ -22,7 +23,7 @@ from cartwise.operators.log import history_rows
 from cartwise.operators.windows import RECENT_DAYS, WindowSpec
 from cartwise.sources.schemas import BROWSE, CART, ORDER
 
-WORD = 64  # days per bit set
+WORD = 64  # candidate days per bit set
 MAX_KEY_ROWS = 20_000_000  # log rows of one key that a single task may stream through
 UCS = ("user_id", "cate", "shop_id")
 
@@ -34,8 +35,9 @@ class Measure:
     merge: str  # aggregate that combines two partial values
 
 
-def history_words(spec: WindowSpec) -> int:
-    return -(-spec.history_days // WORD)
+def candidate_words(spec: WindowSpec) -> list[str]:
+    """Names of the bit sets of the candidate days, one per 64 of them."""
+    return ["cand_days", *(f"cand_days_{k}" for k in range(1, -(-spec.days // WORD)))]
 
 
 def _day_set(inside: str, first: int = 0) -> str:
@@ -81,12 +83,9 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
         add(f"recent_{code}", f"max(if(type = {code} AND {cand}, action_time, NULL))", "max")
 
     # Day sets.
-    add("cand_days", _day_set(cand), "bit_or")
-    for k in range(history_words(spec)):
-        first = k * WORD
-        word = f"age BETWEEN {first} AND {first + WORD - 1}"
-        add(f"hist_days_{k}", _day_set(word, first), "bit_or")
-        add(f"order_days_{k}", _day_set(f"{word} AND type = {ORDER}", first), "bit_or")
+    for k, name in enumerate(candidate_words(spec)):
+        first, last = k * WORD, min(spec.days, (k + 1) * WORD) - 1
+        add(name, _day_set(f"age BETWEEN {first} AND {last}", first), "bit_or")
     return tuple(found)
 
 
@@ -100,8 +99,6 @@ def measure_log(
     results are ten times wider than the rows they stand for. Without a bound, or beyond the limit, the
     partial results are shuffled, so that a hot key arrives as one row per map task.
     """
-    if spec.days > WORD:
-        raise ValueError(f"the candidate range may span at most {WORD} days")
     rows = history_rows(log, spec).select(*keys, "action_time", "type", "n", "age")
     if group_rows is not None and group_rows <= MAX_KEY_ROWS:
         rows = rows.repartition(*keys)
@@ -114,9 +111,20 @@ def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str
     return finer.groupBy(*keys).agg(*merged, *[F.expr(e) for e in extra])
 
 
+def day_counts(log: DataFrame, spec: WindowSpec, keys: Sequence[str], name: str, code: int | None = None) -> DataFrame:
+    """Distinct days up to the window end with an action of the key (of one code), per key, as ``name``.
+
+    Two narrow aggregates, both combined on the map side; a hot key is spread over its days first.
+    """
+    rows = history_rows(log, spec)
+    if code is not None:
+        rows = rows.where(f"type = {code}")
+    return rows.select(*keys, "action_time").distinct().groupBy(*keys).agg(F.count("*").alias(name))
+
+
 def spine(table: DataFrame) -> DataFrame:
     """Keys with any action in the candidate days."""
-    return table.where("cand_days != 0")
+    return table.where(" OR ".join(f"{c} != 0" for c in table.columns if c.startswith("cand_days")))
 
 
 def recent_mask(n: int) -> str:
@@ -132,8 +140,3 @@ def seen_in(n: int) -> str:
 def days_in(*words: str) -> str:
     """Number of distinct days in the given bit sets."""
     return total(f"bigint(bit_count({w}))" for w in words)
-
-
-def history_days(spec: WindowSpec, name: str) -> str:
-    """Number of distinct days of a history day set, ``hist`` or ``order``."""
-    return days_in(*[f"{name}_days_{k}" for k in range(history_words(spec))])

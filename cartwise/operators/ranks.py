@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartwise.functions.scalars import named
 
 ABSENT_RANK = 1000  # rank of a key without any row in the range: fixed value
-MAX_GROUP_ROWS = 2_000_000
+MAX_GROUP_ROWS = 200_000
 
 
 def dense_rank_in_parent(
@@ -19,18 +19,24 @@ def dense_rank_in_parent(
 ) -> DataFrame:
     """Add one descending dense rank per entry of ``counts`` (output name -> count as SQL, null = not ranked).
 
+    A row with a null count or a null in its parent gets ABSENT_RANK, whichever way is taken.
+
     ``group_rows`` is a proven upper bound on the rows of one parent, such as the number of (category, shop)
-    pairs in the catalogue. Within the limit, one shuffle on the parent serves all ranks. Without a bound,
-    or beyond the limit, only the *distinct* counts of a parent are sorted together and the ranks are joined
+    pairs in the catalogue. Within the limit, one aggregate over the parent and the counts gathers the
+    distinct counts of each parent, and a row's rank is its count's place among them: no wide row is sorted.
+    Without a bound, or beyond the limit, the distinct counts of a parent are ranked by a window and joined
     back: k distinct counts need about k(k-1)/2 actions, so even a parent that holds a third of a
     10^12-row log has about 10^6 of them.
     """
     by = ", ".join(parent)
     if group_rows is not None and group_rows <= MAX_GROUP_ROWS:
-        return df.selectExpr("*", *named({
-            name: f"if({count} IS NULL, {ABSENT_RANK}, "
-                  f"dense_rank() OVER (PARTITION BY {by} ORDER BY {count} DESC NULLS LAST))"
-            for name, count in counts.items()
+        rows = df.selectExpr("*", *named({f"_{name}": count for name, count in counts.items()}))
+        levels = rows.groupBy(*parent).agg(*[
+            F.sort_array(F.collect_set(f"_{name}"), asc=False).alias(f"_{name}_levels") for name in counts
+        ])
+        joined = rows.join(levels.hint("shuffle_hash"), list(parent), "left")
+        return joined.selectExpr(*df.columns, *named({
+            name: f"int(coalesce(nullif(array_position(_{name}_levels, _{name}), 0), {ABSENT_RANK}))" for name in counts
         }))
     for name, count in counts.items():
         value = f"_{name}_count"

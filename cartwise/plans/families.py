@@ -15,11 +15,11 @@ from cartwise.operators import catalog
 from cartwise.operators.joins import left_lookup
 from cartwise.operators.log import counted_log, with_history
 from cartwise.operators.measures import (
-    UCS, days_in, history_days, measure_log, recent_mask, roll_up, seen_in, spine,
+    UCS, day_counts, days_in, measure_log, recent_mask, roll_up, seen_in, spine,
 )
 from cartwise.operators.ranks import dense_rank_in_parent
 from cartwise.operators.windows import WindowSpec
-from cartwise.sources.schemas import ACTION, ACTION_CODES
+from cartwise.sources.schemas import ACTION, ACTION_CODES, ORDER
 from cartwise.sources.tables import Tables
 
 UC, US, CS = ("user_id", "cate"), ("user_id", "shop_id"), ("cate", "shop_id")
@@ -27,6 +27,7 @@ KEYS = {
     "u": ("user_id",), "ucs": UCS, "c": ("cate",), "s": ("shop_id",), "uc": UC, "us": US, "cs": CS,
 }
 USER_RANGES = {"u": (7,), "c": (3, 5, 7), "s": (3, 5, 7)}
+HISTORY_DAYS = "hist_days"
 SEX_NAMES = {0: "female", 1: "male", -1: "unknown"}  # fixed values
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -81,6 +82,11 @@ class Inputs:
     def us(self) -> DataFrame:
         return self.keep("measures_us", roll_up(self.ucs, self.spec, US))
 
+    @cached_property
+    def product_comments(self) -> DataFrame:
+        """Weighted comment counts per product, from which the category and the shop family are summed."""
+        return self.keep("product_comments", catalog.product_comments(self.log, self.tables.comments, self.spec))
+
     @cached_property
     def catalogue(self) -> tuple[int, int]:
         """(category, shop) pairs in the catalogue, and the most products of one pair."""
@@ -124,7 +130,7 @@ def user_blocks(x: Inputs) -> dict[str, B.Block]:
         "activity": {
             "u_cate_counts": "cates",
             "u_shop_counts": "shops",
-            "u_active_days_in_all": history_days(x.spec, "hist"),
+            "u_active_days_in_all": HISTORY_DAYS,
             "u_b_count_in_7": B.range_total("n", 7),
             "u_b1_count_in_7": "n1_7",
             "u_b2_count_in_7": "n2_7",
@@ -142,10 +148,10 @@ def ucs_blocks(x: Inputs) -> dict[str, B.Block]:
         "type_counts": {**one_day, **B.code_counts("ucs", "n", (1, 2, 3, 4), x.ranges[1:])},
         "browse_to_order": {
             "ucs_ac_nunique": rhythm["ucs_ac_nunique"],
-            **B.browse_to_order(x.spec, "ucs_b2_diff_day"),
+            **B.browse_to_order("ucs_b2_diff_day"),
         },
         "last_browse": B.last_browse(x.spec, "ucs_b1_last_min_day", "ucs_b1_last_max_day"),
-        "active_days": B.active_days("ucs_active_days"),
+        "active_days": B.active_days(x.spec, "ucs_active_days"),
         "rank_in_user": {name: name for name in B.rank_counts("ucs", x.cart)},
         "order_rhythm": rhythm,
     }
@@ -185,12 +191,12 @@ def _user_pair_blocks(x: Inputs, p: str) -> dict[str, B.Block]:
     return {
         "recency": B.recency(p, x.spec, (1, 2, 5) if x.cart else (1, 2, 3)),
         "browse_to_order": {
-            **B.order_days_after_browse(x.spec, f"{p}_ac_nunique"),
-            **B.browse_to_order(x.spec, f"{p}_b2_diff_day"),
+            **B.order_days_after_browse(f"{p}_ac_nunique"),
+            **B.browse_to_order(f"{p}_b2_diff_day"),
         },
         "rank_in_user": {name: name for name in B.rank_counts(p, x.cart)},
         "conversion": B.conversion(f"{p}_", "d", "hist", f"{p}_b2_rate"),
-        "active_days": B.active_days(f"{p}_active_days"),
+        "active_days": B.active_days(x.spec, f"{p}_active_days"),
     }
 
 
@@ -222,7 +228,7 @@ def cate_shop_blocks(x: Inputs) -> dict[str, B.Block]:
         "action_rank": {"cs_b_rank_in_s": "cs_b_rank_in_s"},
         "order_rank": {"cs_b2_rank_in_s": "cs_b2_rank_in_s"},
         "conversion": B.conversion("cs_", "d", "hist", "cs_b2_rate"),
-        "active_days": B.active_days("cs_active_days"),
+        "active_days": B.active_days(x.spec, "cs_active_days"),
     }
 
 
@@ -311,7 +317,7 @@ def major_cate(x: Inputs) -> DataFrame:
 
 
 def _comments(p: str) -> Callable[[Inputs], DataFrame]:
-    return lambda x: catalog.comment_sums(x.log, x.tables.comments, x.spec, KEYS[p], p)
+    return lambda x: catalog.comment_sums(x.product_comments, KEYS[p], p)
 
 
 def _launches(p: str) -> Callable[[Inputs], DataFrame]:
@@ -365,7 +371,12 @@ def _build(x: Inputs, name: str, only: list[str] | None) -> DataFrame:
     for block_name, exprs in BLOCKS[name](x).items():
         if only is None or block_name in only:
             columns.update(exprs)
-    table = ROWS[name](x).selectExpr(*keys, *named(columns))
+    rows = ROWS[name](x)
+    # Distinct days of the whole history, only where a wanted column uses them.
+    for days, code in ((B.ORDER_DAYS, ORDER), (HISTORY_DAYS, None)):
+        if any(days in expr for expr in columns.values()):
+            rows = left_lookup(rows, day_counts(x.log, x.spec, keys, days, code), keys, {days: 0})
+    table = rows.selectExpr(*keys, *named(columns))
     for block_name, lookup in LOOKUPS[name].items():
         if only is None or block_name in only:
             side = lookup(x)
@@ -382,7 +393,7 @@ def all_families(x: Inputs, parallel: int = 3) -> dict[str, DataFrame]:
     that follow use that clustering, so their wide rows are neither written nor shuffled again.
     """
     small = ("c", "s", "cs")
-    x.ucs, x.catalogue  # both are shared, so they are built before any thread asks for them
+    x.ucs, x.catalogue, x.product_comments  # shared, so they are built before any thread asks for them
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda build: build(), (lambda: x.uc, lambda: x.us)))
         kept = dict(zip(small, pool.map(lambda name: x.keep(f"features_{name}", family(x, name)), small)))

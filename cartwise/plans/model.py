@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -20,10 +20,12 @@ from cartwise.session import shared_dir
 
 @dataclass(frozen=True)
 class TreeParams:
-    """Rounds, depth, step size, row share, column share and smallest leaf: fixed values.
+    """Rounds, patience, depth, step size, row share, column share and smallest leaf: fixed values.
 
     Leaves hold at least ``min_rows`` rows, where a learner with second-order gradients would bound their
-    hessian. Training stops when the hold-out loss no longer falls by ``tolerance``.
+    hessian. A split must gain at least ``min_gain`` (per row, where a learner with second-order gradients
+    would bound the sum). Training stops once the hold-out loss has not fallen for ``patience`` rounds, and
+    the model ends at its best round.
     """
 
     rounds: int = 500
@@ -32,7 +34,10 @@ class TreeParams:
     row_share: float = 0.9
     column_share: float = 0.8
     min_rows: int = 3
-    tolerance: float = 0.001
+    patience: int = 10
+    min_gain: float = 0.0
+    max_bins: int = 64
+    first_rounds: int = 20
     hold_out: float = 0.1
     seed: int = 7
 
@@ -45,19 +50,52 @@ def hold_out(df: DataFrame, share: float) -> DataFrame:
     return df.withColumn("_held_out", F.expr(f"pmod(xxhash64(user_id), 1000) < {int(share * 1000)}"))
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds up to the smallest loss before ``patience`` rounds without a smaller one, and whether that came."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def train(train_set: DataFrame, params: TreeParams = TreeParams()) -> PipelineModel:
-    """Fit on a labelled set; every column but the keys and the label is a feature."""
+    """Fit on a labelled set; every column but the keys and the label is a feature.
+
+    The learner stops at the first flat round, if at all, so it is run without: for ``first_rounds`` rounds, then
+    for twice as many, until the hold-out loss has been flat for ``patience`` rounds or all rounds are used.
+    The same seed gives the same first trees every time, so the model is fitted again up to its best round.
+    """
     spark = train_set.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/boosting")
     features = VectorAssembler(inputCols=feature_columns(train_set), outputCol="features", handleInvalid="error")
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="label", maxIter=params.rounds, maxDepth=params.depth,
-        stepSize=params.step, subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
-        minInstancesPerNode=params.min_rows, validationTol=params.tolerance,
-        validationIndicatorCol="_held_out", checkpointInterval=10, seed=params.seed,
-    )
-    return Pipeline(stages=[features, trees]).fit(hold_out(train_set, params.hold_out))
+    marked = hold_out(train_set, params.hold_out)
+    rows, held = (features.transform(marked.where(c)).select("features", "label").persist() for c in ("NOT _held_out", "_held_out"))
+    watched = not held.isEmpty()
+    rounds = min(params.rounds, params.first_rounds if watched else params.rounds)
+
+    def fit(n: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            featuresCol="features", labelCol="label", maxIter=n, maxDepth=params.depth,
+            stepSize=params.step, subsamplingRate=params.row_share, featureSubsetStrategy=str(params.column_share),
+            minInstancesPerNode=params.min_rows, minInfoGain=params.min_gain, maxBins=params.max_bins,
+            checkpointInterval=10, seed=params.seed,
+        ).fit(rows)
+
+    while True:
+        fitted = fit(rounds)
+        best, flat = best_round(fitted.evaluateEachIteration(held), params.patience) if watched else (rounds, True)
+        if flat or rounds >= params.rounds:
+            break
+        rounds = min(2 * rounds, params.rounds)
+    if best < rounds:
+        fitted = fit(best)
+    rows.unpersist()
+    held.unpersist()
+    return PipelineModel([features, fitted])
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -76,14 +114,21 @@ def importance(model: PipelineModel) -> DataFrame:
     assembler, trees = model.stages
     gain = trees.featureImportances.toArray()
     rows = [(name, float(v)) for name, v in zip(assembler.getInputCols(), gain) if v > 0]
-    spark = SparkSession.active()
-    gains = spark.createDataFrame(rows, "feature string, gain double")
+    return shares(SparkSession.active().createDataFrame(rows, "feature string, gain double"))
+
+
+def shares(gains: DataFrame) -> DataFrame:
+    """Each feature's share (fscore) in the sum of the gains."""
     whole = gains.agg(F.sum("gain")).scalar()
     return gains.select("feature", (F.col("gain") / whole).alias("fscore"))
 
 
+def top(scores: DataFrame, n: int = TOP_FEATURES) -> DataFrame:
+    return scores.orderBy(F.desc("fscore"), "feature").limit(n)
+
+
 def top_features(model: PipelineModel, n: int = TOP_FEATURES) -> DataFrame:
-    return importance(model).orderBy(F.desc("fscore"), "feature").limit(n)
+    return top(importance(model), n)
 
 
 def save(model: PipelineModel, path: str) -> None:

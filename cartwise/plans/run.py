@@ -7,18 +7,21 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwise.operators.clean import MARKET_BOUNDS, SHOP_REG_BOUNDS, USER_REG_BOUNDS, clean_tables
-from cartwise.operators.log import counted_log, with_history
+from cartwise.operators.log import counted_log
 from cartwise.operators.windows import PUBLISHED_ENDS, WindowSpec
 from cartwise.plans import dataset, labels, model, vote
 from cartwise.plans.families import Inputs, all_families, fit_vocabulary
 from cartwise.session import build_session
-from cartwise.sources.tables import Tables, materialize, read_tables, write_csv
+from cartwise.sources.tables import Tables, materialize, read_tables, state_of, write_csv
 
 # Window sets and the sets each model is trained on: fixed values.
 CART_SETS = ("a", "a_test")
@@ -39,10 +42,15 @@ class Plan:
 
 
 class Run:
-    """Tables of one run below a shared folder; a table that is already there is read, not rebuilt."""
+    """Tables of one run below a shared folder.
+
+    A table that is already there is read, not rebuilt, if it was made from the same inputs and the same plan.
+    """
 
     def __init__(self, spark: SparkSession, raw: Tables, folder: str, plan: Plan = Plan()):
         self.spark, self.folder, self.plan = spark, folder.rstrip("/"), plan
+        inputs = {name: state_of(getattr(raw, name)) for name in ("actions", "users", "shops", "products", "comments")}
+        self.manifest = json.dumps({"inputs": inputs, "plan": repr(plan)})
         cleaned = clean_tables(raw, plan.user_bounds, plan.shop_bounds, plan.market_bounds)
         self.tables = Tables(
             actions=cleaned.actions,
@@ -55,17 +63,28 @@ class Run:
         self.log = materialize(
             spark, f"{self.folder}/log",
             lambda: counted_log(self.tables.actions, self.tables.products).hint("rebalance", "action_time"),
-            partition_by="action_time",
+            partition_by="action_time", manifest=self.manifest,
         )
         self.vocabulary = fit_vocabulary(self.tables.users)
         self._inputs: dict[str, Inputs] = {}
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
-        return materialize(self.spark, f"{self.folder}/{name}", lambda: df)
+        return materialize(self.spark, f"{self.folder}/{name}", lambda: df, manifest=self.manifest)
+
+    @cached_property
+    def first_day(self) -> dt.date | None:
+        return self.log.agg(F.min("action_time")).first()[0]
 
     def spec(self, name: str) -> WindowSpec:
-        end = self.plan.ends["test" if name == "a_test" else name]
-        return with_history(self.log, WindowSpec(end))
+        spec = WindowSpec(self.plan.ends["test" if name == "a_test" else name])
+        known = self.first_day is not None and self.first_day <= spec.end
+        return replace(spec, history_start=self.first_day if known else spec.start)
+
+    @cached_property
+    def labels(self) -> DataFrame:
+        """Candidates and labels of every window set, from one pass over the log."""
+        training = {name: self.spec(name) for name in self.plan.ends if name != "test"}
+        return self.keep("labels", labels.all_windows(self.log, training, {"test": self.spec("test")}))
 
     def inputs(self, name: str) -> Inputs:
         """Inputs of a window set; sets that end on the same day share their measure tables."""
@@ -73,7 +92,8 @@ class Run:
             spec = self.spec(name)
 
             def keep(table: str, df: DataFrame) -> DataFrame:
-                part = f"end={spec.end}" if table.startswith("measures_") else f"set={name}"
+                by_end = table.startswith("measures_") or table == "product_comments"
+                part = f"end={spec.end}" if by_end else f"set={name}"
                 return self.keep(f"{part}/{table}", df)
 
             self._inputs[name] = Inputs(self.tables, spec, self.vocabulary, name in CART_SETS, keep, self.log)
@@ -84,10 +104,11 @@ class Run:
         def build() -> DataFrame:
             x = self.inputs(name)
             scoring = name in ("test", "a_test")
-            rows = labels.scoring_candidates(x.log, x.spec) if scoring else labels.train_labels(x.log, x.spec)
+            rows = self.labels.where(F.col("window") == ("test" if scoring else name)).drop("window")
+            rows = rows.drop("label") if scoring else rows
             return dataset.assemble(rows, all_families(x), x.pairs)
 
-        return materialize(self.spark, f"{self.folder}/set={name}/assembled", build)
+        return materialize(self.spark, f"{self.folder}/set={name}/assembled", build, manifest=self.manifest)
 
     def model_input(self, *names: str) -> DataFrame:
         stacked = dataset.union_windows(*[self.assembled(n) for n in names])
@@ -101,7 +122,7 @@ class Run:
             model.importance(fitted).write.mode("overwrite").parquet(f"{self.folder}/importance={name}")
             return model.score(fitted, self.model_input("a_test" if name == "a" else "test"))
 
-        return materialize(self.spark, f"{self.folder}/scores={name}", build)
+        return materialize(self.spark, f"{self.folder}/scores={name}", build, manifest=self.manifest)
 
     def predictions(self) -> DataFrame:
         """Triples that enough models vote for, also written as CSV."""

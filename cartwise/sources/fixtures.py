@@ -64,12 +64,15 @@ def action(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
     launch = (
         _read(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(F.to_date(F.min("l_shipdate")).alias("launch"))
+        .agg(
+            F.to_date(F.min("l_shipdate")).alias("launch"),
+            F.min(F.struct("l_orderkey", "l_linenumber", "l_suppkey"))["l_suppkey"].alias("shop_id"),
+        )
     )
     return _read(spark, sf_dir, "part").join(launch, "p_partkey", "left").select(
         F.col("p_partkey").alias("sku_id"),
         F.col("p_brand").alias("brand"),
-        (F.col("p_partkey") % 10).alias("shop_id"),
+        "shop_id",
         F.col("p_type").alias("cate"),
         _null_when(F.col("p_partkey") % 23 == 0, F.col("launch")).alias("market_time"),
     )
@@ -93,21 +96,21 @@ def user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop(spark: SparkSession, sf_dir: str) -> DataFrame:
     opened = (
-        _read(spark, sf_dir, "lineitem").where("l_suppkey < 10")
+        _read(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.to_date(F.min("l_shipdate")).alias("opened"))
     )
     main_cate = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("s_suppkey"), "p_type")
     key = F.col("s_suppkey")
     return (
-        _read(spark, sf_dir, "supplier").where("s_suppkey < 10")
+        _read(spark, sf_dir, "supplier")
         .join(opened, "s_suppkey", "left").join(main_cate, "s_suppkey", "left")
         .select(
             key.alias("shop_id"),
-            _null_when(key == 9, F.col("p_type")).alias("cate"),
+            _null_when(key % 10 == 9, F.col("p_type")).alias("cate"),
             F.col("s_nationkey").cast("long").alias("fans_num"),
             (F.col("s_nationkey") % 7).cast("long").alias("vip_num"),
             _null_when(key % 4 == 3, F.col("s_acctbal") / 1000).alias("shop_score"),
-            _null_when(key == 6, F.col("opened")).alias("shop_reg_tm"),
+            _null_when(key % 10 == 6, F.col("opened")).alias("shop_reg_tm"),
         )
     )
 

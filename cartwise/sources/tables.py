@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,8 +24,21 @@ class Tables:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema; a malformed row fails the job."""
-    return spark.read.csv(path, schema=schema, header=True, mode="FAILFAST", dateFormat="yyyy-MM-dd")
+    """CSV with a header; columns are found by name, whatever their order in the file.
+
+    A declared column that the header lacks fails with its name; columns that are not declared are kept as
+    text, after the declared ones. A malformed row, or a file whose header differs from the first, fails the job.
+    """
+    header = spark.read.csv(path, header=True).columns
+    declared = {f.name: f for f in schema}
+    missing = [name for name in declared if name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    found = T.StructType([declared.get(c, T.StructField(c, T.StringType())) for c in header])
+    rows = spark.read.csv(
+        path, schema=found, header=True, mode="FAILFAST", dateFormat="yyyy-MM-dd", enforceSchema=False
+    )
+    return rows.select(*declared, *[c for c in header if c not in declared])
 
 
 def raw_schema(name: str) -> T.StructType:
@@ -39,7 +53,11 @@ def read_tables(spark: SparkSession, folder: str, form: str = "csv") -> Tables:
     """The five raw tables from ``folder``: action, user, shop, product, comment; CSV or parquet."""
     def read(name: str) -> DataFrame:
         path = f"{folder}/{name}"
-        return read_csv(spark, path, raw_schema(name)) if form == "csv" else spark.read.parquet(path)
+        if form != "csv":
+            return spark.read.parquet(path)
+        rows = read_csv(spark, path, raw_schema(name))
+        # Undeclared columns tell equal actions apart; no other table uses them.
+        return rows if name == "action" else rows.select(*SCHEMAS[name].names)
 
     return Tables(
         actions=read("action"), users=read("user"), shops=read("shop"), products=read("product"),
@@ -51,24 +69,49 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, dateFormat="yyyy-MM-dd")
 
 
-def has_table(spark: SparkSession, path: str) -> bool:
-    """True if a finished table lies at ``path`` (the committer leaves _SUCCESS last)."""
+def _finished(spark: SparkSession, path: str) -> bool:
     marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def has_table(spark: SparkSession, path: str, manifest: str | None = None) -> bool:
+    """True if a finished table lies at ``path`` (the committer leaves _SUCCESS last) and was built for the manifest."""
+    if not _finished(spark, path):
+        return False
+    if manifest is None:
+        return True
+    beside = f"{path}.manifest"
+    return _finished(spark, beside) and [r[0] for r in spark.read.text(beside).collect()] == [manifest]
+
+
+def state_of(df: DataFrame) -> str:
+    """What ``df`` reads: its files with sizes and times, or the plan's hash if it reads none."""
+    sc = df.sparkSession.sparkContext
+    files = []
+    for name in sorted(df.inputFiles()):
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(files).encode()).hexdigest() if files else str(df.semanticHash())
+
+
 def materialize(
-    spark: SparkSession, path: str, compute: Callable[[], DataFrame], partition_by: str | None = None
+    spark: SparkSession, path: str, compute: Callable[[], DataFrame], partition_by: str | None = None,
+    manifest: str | None = None,
 ) -> DataFrame:
     """Read the table at ``path`` if a finished one is there, else compute and write it first.
 
-    The written table cuts the lineage, so a lost executor costs only the running stage.
+    ``manifest`` says what the table is made of (inputs and parameters, one line). It is written beside the table, after
+    it, and a table with another one is built again. The written table cuts the lineage, so a lost
+    executor costs only the running stage.
     """
-    if not has_table(spark, path):
+    if not has_table(spark, path, manifest):
         df = compute()
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
+        if manifest is not None:
+            spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
         return spark.read.schema(df.schema).parquet(path)
     return spark.read.parquet(path)

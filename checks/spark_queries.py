@@ -94,8 +94,9 @@ def writer(spark: SparkSession):
 
 
 def src_csv_roundtrip(spark, sf_dir):
+    """Written with its columns in another order; they are found by name."""
     path = new_folder(spark, "action_csv")
-    tables.write_csv(X.action(spark, sf_dir), path)
+    tables.write_csv(X.action(spark, sf_dir).select("type", "sku_id", "action_time", "user_id"), path)
     return tables.read_csv(spark, path, schemas.ACTION)
 
 
@@ -282,12 +283,12 @@ def _families(spark, sf_dir, spec, cart=False):
 
 def training_set(spark, sf_dir, spec=SPEC, cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.train_labels(log(spark, sf_dir), spec), built, x.pairs)
+    return dataset.assemble(labels.train_labels(x.log, spec), built, x.pairs)
 
 
 def scoring_set(spark, sf_dir, spec=X.WINDOWS["test"], cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.scoring_candidates(log(spark, sf_dir), spec), built, x.pairs)
+    return dataset.assemble(labels.scoring_candidates(x.log, spec), built, x.pairs)
 
 
 def feat_window_diffs(spark, sf_dir):
@@ -349,35 +350,47 @@ def eval_threshold_sweep(spark, sf_dir):
 
 # ---- models ----------------------------------------------------------------------------------------
 
-# Few rounds keep the check short; the library's default is the published number.
-TREES = model.TreeParams(rounds=5)
-
-
 def _model_input(spark, sf_dir, spec, labelled: bool) -> DataFrame:
     build = training_set if labelled else scoring_set
     ready = dataset.drop_weak(dataset.with_differences(build(spark, sf_dir, spec)))
     return writer(spark)("model_input", ready)
 
 
+PROBABILITY = "prob BETWEEN 0 AND 1"
+
+
 def model_train(spark, sf_dir):
-    """Scores of a model on the window after its training window, by true label."""
-    fitted = model.train(_model_input(spark, sf_dir, X.WINDOWS["w2"], True), TREES)
+    """Triples of the window after the training window by true label, and whether all were scored."""
+    fitted = model.train(_model_input(spark, sf_dir, X.WINDOWS["w2"], True))
     held_out = _model_input(spark, sf_dir, X.WINDOWS["w3"], True)
     scored = model.score(fitted, held_out).join(held_out.select(*UCS, "label"), list(UCS))
-    return scored.groupBy("label").agg(
-        F.count("*").alias("triples"), F.min("prob").alias("lowest"), F.avg("prob").alias("mean_prob"),
-        F.max("prob").alias("highest"),
-    )
+    return scored.groupBy("label").agg(F.count("*").alias("triples"), F.expr(f"bool_and({PROBABILITY})").alias("scored"))
 
 
 def model_score(spark, sf_dir):
-    fitted = model.train(_model_input(spark, sf_dir, SPEC, True), TREES)
-    return model.score(fitted, _model_input(spark, sf_dir, X.WINDOWS["test"], False))
+    fitted = model.train(_model_input(spark, sf_dir, SPEC, True))
+    scored = model.score(fitted, _model_input(spark, sf_dir, X.WINDOWS["test"], False))
+    return scored.selectExpr(*UCS, f"{PROBABILITY} AS scored")
 
 
 def model_importance(spark, sf_dir):
-    fitted = model.train(_model_input(spark, sf_dir, SPEC, True), TREES)
-    return model.top_features(fitted)
+    """Whether the shares of the best features are at most 20, in order, and between 0 and 1."""
+    best = model.top_features(model.train(_model_input(spark, sf_dir, SPEC, True)))
+    order = F.sort_array(F.collect_list("fscore"), asc=False)
+    return best.agg(
+        (F.count("*") <= 20).alias("few"), (F.collect_list("fscore") == order).alias("in_order"),
+        F.expr("bool_and(fscore > 0 AND fscore <= 1)").alias("shares"),
+    )
+
+
+def model_gain_shares(spark, sf_dir):
+    """The share and top-20 step of the importance, on sums of the order lines per part type."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_partkey", "l_quantity")
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    gains = lines.join(parts, "l_partkey").groupBy(F.concat_ws(" ", "p_brand", "p_type").alias("feature")).agg(
+        F.sum("l_quantity").alias("gain")
+    )
+    return model.top(model.shares(gains))
 
 
 # ---- registry --------------------------------------------------------------------------------------
@@ -408,6 +421,9 @@ CART_BLOCKS = (
     "feat_us_recency", "feat_us_counts", "feat_us_type_counts", "feat_us_rank_in_user", "feat_cs_action_rank",
 )
 
+# Families that need no launch days, comments or shop table, which the order log has not.
+ORDER_FAMILIES = ("u", "ucs", "uc", "us")
+
 PLAIN = [
     src_csv_roundtrip, src_materialize_reuse, clean_day_truncate, clean_impute_mode, clean_impute_median,
     clean_bucket_user_reg, clean_bucket_shop_reg, clean_bucket_market, clean_null_profile,
@@ -416,7 +432,7 @@ PLAIN = [
     win_order_gap_lag, win_latest_per_key, sc_log_ratio, sc_safe_rate, sc_day_diff, pivot_action_type,
     label_train_set, label_test_set, label_all_windows, feat_u_reg_recency, feat_window_diffs,
     ds_feature_select, ds_union_windows, vote_threshold, vote_majority, eval_two_level, eval_threshold_sweep,
-    order_log_labels, model_train, model_score, model_importance,
+    order_log_labels, model_train, model_score, model_importance, model_gain_shares,
 ]
 
 
@@ -433,9 +449,10 @@ def registry() -> dict[str, Query]:
     for fam in families.KEYS:
         found[f"family_{fam}"] = partial(feature_family, name=fam)
         found[f"family_{fam}_cart"] = partial(feature_family, name=fam, cart=True)
-    for fam in ("u", "ucs", "uc", "us"):
+    for fam in ORDER_FAMILIES:
         found[f"order_log_family_{fam}"] = partial(order_log_family, name=fam)
     found["ds_assemble"] = training_set
     found["ds_assemble_cart"] = partial(training_set, cart=True)
     found["ds_assemble_test"] = scoring_set
+    found["ds_assemble_test_cart"] = partial(scoring_set, cart=True)
     return {key: _rounded(query) for key, query in found.items()}

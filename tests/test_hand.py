@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwise.functions import scalars as S
-from cartwise.operators import clean, ranks
+from cartwise.operators import clean, measures, ranks
 from cartwise.operators.log import counted_log
 from cartwise.operators.windows import WindowSpec
 from cartwise.plans import evaluate, families, labels, vote
@@ -185,7 +185,30 @@ def test_all_windows_equals_single_windows(inputs):
     assert single == {tuple(r)[1:4] for r in stacked if r["window"] == "t"}
 
 
-def test_long_history_spans_several_day_sets(make):
+def test_measures_do_not_widen_with_the_history():
+    short, long = (WindowSpec(END, history_start=d) for d in (day(1), dt.date(1900, 1, 1)))
+    assert [m.name for m in measures.measures(short)] == [m.name for m in measures.measures(long)]
+
+
+def test_candidate_days_may_span_more_than_one_word(make):
+    old = [(1, 1, END - dt.timedelta(days=80), 1), (1, 1, END - dt.timedelta(days=64), 1)]
+    x = families.Inputs(tables(make, ACTIONS + old), WindowSpec(END, days=90), VOCABULARY)
+    one = rows(families.block(x, "uc", "active_days"), "user_id", "cate")
+    x = families.Inputs(tables(make, ACTIONS), WindowSpec(END, days=90), VOCABULARY)
+    two = rows(families.block(x, "uc", "active_days"), "user_id", "cate")
+    key = next(k for k in one if k[0] == 1 and one[k] != two.get(k))
+    assert one[key]["uc_active_days"] == two[key]["uc_active_days"] + 2
+
+
+def test_a_row_of_1900_counts(make):
+    old = [(1, 1, dt.date(1900, 1, 1), 2)]
+    x = families.Inputs(tables(make, ACTIONS + old), WindowSpec(END), VOCABULARY)
+    y = families.Inputs(tables(make, ACTIONS), WindowSpec(END), VOCABULARY)
+    a, b = (rows(families.family(i, "u"), "user_id")[1,] for i in (x, y))
+    assert a["ac_nunique"] == b["ac_nunique"] + 1 and a["u_active_days_in_all"] == b["u_active_days_in_all"] + 1
+
+
+def test_long_history_counts_every_day(make):
     old = [(1, 1, dt.date(2017, 1, 1), 2), (1, 1, dt.date(2017, 9, 9), 2), (1, 1, dt.date(2017, 9, 9), 1)]
     x = families.Inputs(tables(make, ACTIONS + old), WindowSpec(END), VOCABULARY)
     u = rows(families.family(x, "u"), "user_id")[1,]

@@ -1,6 +1,7 @@
 """Training, scoring and the whole job."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from cartwise.plans.run import Plan, Run
 from cartwise.session import new_folder
 from cartwise.sources import fixtures as X
 from cartwise.sources.tables import has_table
+from checks import compare, oracle, spark_queries
 from tests.conftest import SF
 
 
@@ -39,6 +41,32 @@ def test_model_learns_scores_and_reloads(spark, train_set):
     assert scored.exceptAll(again).count() == 0
 
 
+def test_one_flat_round_does_not_stop_training():
+    assert model.best_round([5, 4, 4, 3, 2], 2) == (5, False)
+    assert model.best_round([5, 4, 4, 4, 2], 2) == (2, True)
+    assert model.best_round([5, 6, 7, 8], 10) == (1, False)
+
+
+def test_training_ends_at_the_best_round(spark, train_set):
+    params = model.TreeParams(rounds=12, depth=2, first_rounds=3, patience=2, step=1.0)
+    fitted = model.train(train_set, params)
+    held = model.hold_out(train_set, params.hold_out).where("_held_out")
+    trees = fitted.stages[1]
+    losses = trees.evaluateEachIteration(fitted.stages[0].transform(held))
+    assert 1 <= trees.getNumTrees <= 12 and losses.index(min(losses)) == trees.getNumTrees - 1
+
+
+def test_splits_need_their_gain(spark, train_set):
+    few = model.train(train_set, model.TreeParams(rounds=2, min_gain=10.0))
+    assert few.stages[1].totalNumNodes == few.stages[1].getNumTrees  # single leaves
+
+
+def test_model_queries_agree_with_their_sql(spark):
+    duck = compare.connect(SF)
+    for name in ("model_score", "model_importance"):
+        assert compare.compare(spark_queries.registry()[name](spark, SF), duck, oracle.statements()[name]) is None
+
+
 def test_hold_out_keeps_users_together(train_set):
     marked = model.hold_out(train_set, 0.1)
     sides = marked.groupBy("user_id").agg(F.count_distinct("_held_out").alias("n"))
@@ -56,7 +84,7 @@ def test_whole_job(spark):
             "a": dt.date(2024, 1, 23), "test": dt.date(2024, 1, 30)}
     plan = Plan(
         ends=ends, user_bounds=X.USER_REG_BOUNDS, shop_bounds=X.SHOP_REG_BOUNDS, market_bounds=X.MARKET_BOUNDS,
-        trees=model.TreeParams(rounds=1, depth=2), thresholds={m: 0.05 for m in ("1", "2", "3", "a", "23")},
+        trees=model.TreeParams(rounds=4, depth=2), thresholds={m: 0.05 for m in ("1", "2", "3", "a", "23")},
     )
     raw, folder = X.raw_tables(spark, SF), new_folder(spark, "job")
     run = Run(spark, raw, folder, plan)
@@ -68,3 +96,5 @@ def test_whole_job(spark):
     assert "ucs_b5_count_in_1" not in run.assembled("3").columns
     again = Run(spark, raw, folder, plan)
     assert again.predictions().exceptAll(voted).count() == 0
+    other = Run(spark, raw, folder, replace(plan, thresholds={m: 2.0 for m in plan.thresholds}))
+    assert other.manifest != again.manifest and not has_table(spark, f"{folder}/predictions", other.manifest)

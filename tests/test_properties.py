@@ -141,6 +141,8 @@ def test_both_rank_paths_agree(spark):
     counts = action_log(actions, products).groupBy("user_id", "cate", "shop_id").agg(
         F.count("*").alias("n"), F.count_if(F.col("type") == 2).alias("orders")
     )
+    nowhere = counts.limit(30).withColumn("user_id", F.lit(None).cast("long"))
+    counts = counts.unionByName(nowhere)  # null parents: no path ranks them
     wanted = {"by_rows": "n", "by_orders": "if(orders > 0, orders, NULL)"}
     windowed = ranks.dense_rank_in_parent(counts, ["user_id"], wanted, group_rows=10)
     joined = ranks.dense_rank_in_parent(counts, ["user_id"], wanted, group_rows=ranks.MAX_GROUP_ROWS + 1)
@@ -149,6 +151,8 @@ def test_both_rank_paths_agree(spark):
     joined = joined.select(windowed.columns)
     assert windowed.exceptAll(joined).count() == 0
     assert windowed.exceptAll(unbounded.select(windowed.columns)).count() == 0
+    assert {r.by_rows for r in windowed.where("user_id IS NULL").collect()} == {ranks.ABSENT_RANK}
+    assert "Window" not in plan(windowed)
 
 
 def test_large_lookups_are_not_broadcast(spark):

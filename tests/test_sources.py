@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwise.operators.clean import clean_tables, null_profile
+from cartwise.operators.log import counted_log
 from cartwise.session import new_folder, shared_dir
 from cartwise.sources import schemas, tables
 
@@ -21,6 +22,54 @@ def test_csv_keeps_nulls_and_types(spark, make):
     assert set(again.collect()) == set(users.collect())
 
 
+def _csv(spark, name, text):
+    path = new_folder(spark, name)
+    spark.createDataFrame([(line,) for line in text.split("\n")], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_csv_columns_are_found_by_name(spark):
+    path = _csv(spark, "shuffled", "sku_id,place,user_id,action_time,type\n7,a,1,2018-03-25,1\n7,b,1,2018-03-25,1\n7,b,1,2018-03-25,1")
+    rows = tables.read_csv(spark, path, schemas.ACTION)
+    assert rows.columns == [*schemas.ACTION.names, "place"]
+    assert {(r.user_id, r.sku_id, r.type, r.place) for r in rows.collect()} == {(1, 7, 1, "a"), (1, 7, 1, "b")}
+    products = spark.createDataFrame([(7, 1, 5, 9, None)], schemas.PRODUCT)
+    # Actions that differ in an undeclared column are two actions.
+    assert sorted(r.n for r in counted_log(rows, products).collect()) == [1, 2]
+    with pytest.raises(ValueError, match="sku_id"):
+        tables.read_csv(spark, _csv(spark, "lacking", "user_id,action_time,type\n1,2018-03-25,1"), schemas.ACTION)
+
+
+def test_files_with_different_headers_fail(spark):
+    path = _csv(spark, "mixed", "user_id,sku_id,action_time,type\n1,7,2018-03-25,1")
+    spark.createDataFrame([("sku_id,user_id,action_time,type",), ("7,1,2018-03-25,1",)], "value string").coalesce(
+        1
+    ).write.mode("append").text(path)
+    with pytest.raises(Exception):
+        tables.read_csv(spark, path, schemas.ACTION).collect()
+
+
+def test_materialize_builds_again_for_another_manifest(spark):
+    path, calls = new_folder(spark, "manifest"), []
+
+    def build(n):
+        calls.append(n)
+        return spark.range(n)
+
+    for n, manifest in ((3, "a"), (4, "a"), (5, "b"), (6, "b")):
+        table = tables.materialize(spark, path, lambda: build(n), manifest=manifest)
+    assert calls == [3, 5] and table.count() == 5
+
+
+def test_the_state_of_a_table_follows_its_files(spark):
+    path = new_folder(spark, "state")
+    spark.range(3).write.parquet(path)
+    first = tables.state_of(spark.read.parquet(path))
+    assert tables.state_of(spark.read.parquet(path)) == first
+    spark.range(4).write.mode("append").parquet(path)
+    assert tables.state_of(spark.read.parquet(path)) != first
+
+
 def test_malformed_csv_fails(spark):
     path = new_folder(spark, "bad")
     spark.createDataFrame([("user_id,sku_id,action_time,type",), ("1,x,2018-03-01,1",)], "value string").coalesce(
