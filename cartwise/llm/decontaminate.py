@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import ascii_lower, broadcast_if_small, quoted, without, written
+from cartwise.llm.shared import BROADCAST_ROWS, ascii_lower, broadcast_if_small, quoted, without, written
 
 #: Characters between words: ASCII other than digits and lower-case letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -114,6 +114,12 @@ def _candidates(tokens: DataFrame, prefixes: DataFrame) -> DataFrame:
 
 def _verified(docs: DataFrame, candidates: DataFrame, texts: DataFrame) -> DataFrame:
     """Windows that do occur: document, first word, length and the ids of the item."""
+    candidates = written(candidates, "candidates")
+    ids = candidates.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own"))
+    if ids.count() <= BROADCAST_ROWS:  # few: only their texts are split and moved
+        docs = docs.join(
+            F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own")), "left_semi"
+        )
     rows = _documents(docs).alias("d").join(
         candidates.alias("c"),
         F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.text_hash").eqNullSafe(F.col("c.text_hash")),
