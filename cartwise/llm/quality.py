@@ -10,6 +10,9 @@ does not depend on the order of rows). Their features are made on the executors;
 model has a fixed size whatever the corpus. Scoring needs no more than a number per table row: the layer's weights times
 the vector, as the average is linear. Every document is scored in full, and a task keeps the sums of words it has met.
 
+Text without white space is one word, whose n-grams are all counted, in training and in scoring. A word beyond
+``LONG_WORD`` bytes is counted in slices, so that it needs no list of its n-grams, and a task does not keep it.
+
 Defined results: a null or empty text has no features and gets the score of the bias alone. Labels other than 0 and 1, and
 documents with both, are not learned from; without labels every score is 0.5. Rows that repeat a ``doc_id`` are scored
 each by its own text; the smallest is learned from. Columns named like the results are replaced; an empty table gives an empty one.
@@ -18,6 +21,7 @@ each by its own text; the smallest is learned from. Columns named like the resul
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
@@ -37,6 +41,8 @@ PRIOR = 30
 REPEATED = 0
 #: Words whose sums a task keeps; beyond it the store is emptied and filled anew.
 KEPT_WORDS = 300_000
+#: Bytes beyond which the n-grams of a word are counted in slices of so many n-grams.
+LONG_WORD, SLICE = 200, 1 << 16
 RESULTS = ("score", "predicted")
 
 
@@ -51,18 +57,51 @@ class Model:
 def _features(word: bytes) -> list[int]:
     """Table rows of a word: itself and its character n-grams, with marks at both ends."""
     crc, mask = zlib.crc32, (1 << TABLE_BITS) - 1
-    marked = b"<" + word[:200] + b">" if len(word) > 200 else b"<" + word + b">"
+    marked = b"<" + word + b">"
     found = [crc(word, 1) & mask]
     for n in N_GRAMS:
         found += [crc(marked[i:i + n]) & mask for i in range(len(marked) - n + 1)]
     return found
 
 
+def _crc_tables(n: int) -> np.ndarray:
+    """What each byte at each of ``n`` places adds to the checksum of ``n`` zero bytes, by exclusive or."""
+    zero = zlib.crc32(bytes(n))
+    return np.array([[zlib.crc32(bytes(p) + bytes([b]) + bytes(n - 1 - p)) ^ zero for b in range(256)] for p in range(n)], np.uint32)
+
+
+_CRC = {n: (np.uint32(zlib.crc32(bytes(n))), _crc_tables(n)) for n in N_GRAMS}
+
+
+def _counted(word: bytes) -> np.ndarray:
+    """How often each table row occurs in a long word: the counts of :func:`_features`, made in slices."""
+    mask = (1 << TABLE_BITS) - 1
+    marked = np.frombuffer(b"<" + word + b">", np.uint8)
+    counts = np.zeros(1 << TABLE_BITS, np.int64)
+    counts[zlib.crc32(word, 1) & mask] = 1
+    for n, (zero, tables) in _CRC.items():
+        for at in range(0, len(marked) - n + 1, SLICE):
+            part = marked[at:at + SLICE + n - 1]
+            sums = np.full(len(part) - n + 1, zero, np.uint32)
+            for p in range(n):
+                sums ^= tables[p][part[p:p + len(sums)]]
+            counts += np.bincount(sums & np.uint32(mask), minlength=len(counts))
+    return counts
+
+
 def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Table rows of a text and how often each occurs."""
     words = (text or "").encode().split()
-    ids = [i for w in words for i in _features(w)] + [REPEATED] * sum(map(eq, words, words[1:]))
+    ids = [i for w in words if len(w) <= LONG_WORD for i in _features(w)] + [REPEATED] * sum(map(eq, words, words[1:]))
     rows, counts = np.unique(np.array(ids, np.int32), return_counts=True)
+    large = Counter(w for w in words if len(w) > LONG_WORD)
+    if large:
+        total = np.zeros(1 << TABLE_BITS, np.int64)
+        total[rows] = counts
+        for w, times in large.items():
+            total += times * _counted(w)
+        rows = np.flatnonzero(total).astype(np.int32)
+        counts = total[rows]
     return rows, counts.astype(np.float32)
 
 
@@ -148,12 +187,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
                 if len(known) + len(missing) > KEPT_WORDS:
                     known.clear()
                     missing = set(words)
-                for w in missing:
+                large = [w for w in missing if len(w) > LONG_WORD]
+                for w in missing.difference(large) if large else missing:
                     ids = _features(w)
                     known[w] = (float(weights[ids].sum()), len(ids))
+                for w in large:
+                    counts = _counted(w)
+                    known[w] = (float(counts @ weights), int(counts.sum()))
                 for s, k in map(known.__getitem__, words):
                     total += s
                     n += k
+                for w in large:
+                    del known[w]
                 repeats = sum(map(eq, words, words[1:]))
                 mean = (total + repeats * weights[REPEATED]) / (PRIOR + n + repeats)
                 scores.append(1 / (1 + np.exp(-np.clip(mean + bias, -500, 500))))

@@ -105,6 +105,33 @@ def test_words_sum_to_the_average_of_vectors():
     assert np.isclose((weights[rows] * counts).sum(), weights[ids].sum()) and counts.sum() == len(ids)
 
 
+def test_long_words_have_all_their_n_grams(monkeypatch):
+    from collections import Counter
+
+    def by_hand(text):
+        return Counter([i for w in text.encode().split() for i in quality._features(w)])
+
+    head = "頁" * 70  # 210 bytes
+    one, two = head + "良い文章です" * 20, head + "広告広告買う" * 20
+    for n in (1 << 16, 7):
+        monkeypatch.setattr(quality, "SLICE", n)
+        for text in (one, two, one + " short " + two + " x " + two, "a" * 199, "a" * 200, "a" * 201, "ab" * 5_000):
+            assert dict(zip(*(x.tolist() for x in quality.bag(text)))) == by_hand(text)
+    differ = set(quality.bag(one)[0].tolist()) ^ set(quality.bag(two)[0].tolist())
+    assert len(differ) > 10  # more than the two hashes of whole words
+
+
+def test_texts_without_spaces_are_scored_to_their_end(spark):
+    rng = random.Random(4)
+    good, bad = "春夏秋冬山川花鳥", "株券広告激安即買"
+    docs = [(i, "頁" * 70 + "".join(rng.choice(good if i % 2 else bad) for _ in range(150))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, label int")
+    rows = quality.score(frame, quality.fit(frame, labels)).collect()
+    held = [r for r in rows if r.doc_id >= 120]
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 > 0) for r in held) >= 0.97 * len(held)
+
+
 @pytest.fixture(scope="module")
 def piece_model():
     with open(PIECE_MODEL, "rb") as f:
