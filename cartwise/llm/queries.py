@@ -106,10 +106,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text's ids, and whether decoding them gives the text again."""
+    """Every text's ids, whether decoding them gives the text again, and how many of its words were encoded in two ways."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sentencepiece_codec.round_trip(docs, PIECE_MODEL)
-    return coded.select("doc_id", "n_tokens", "token_ids", "same_text")
+    coded = sentencepiece_codec.round_trip(docs, PIECE_MODEL, differing=True)
+    return coded.select("doc_id", "n_tokens", "token_ids", "same_text", "n_differing")
 
 
 def registry() -> dict[str, Query]:

@@ -7,8 +7,9 @@ no piece has the marker after another character, a merge never crosses the begin
 of its words: every distinct word (with the spaces before it) is encoded once and kept while the store has room. New words
 are joined to texts and encoded in batches by the library's threads.
 
-Parity: what is encoded is also encoded by the ``sentencepiece`` library, so every distinct word is verified; where the two
-differ (they could where equal scores tie) its ids are taken, and the difference is counted.
+Parity: the ids are the tokenizer's. What is encoded is also encoded by the ``sentencepiece`` library, so every distinct word
+is verified; only where the two differ (they could where equal scores tie) the library's ids are taken, and
+``n_differing`` says for every document how many of its words that befell (1 for a text that is encoded whole).
 
 Defined results: a null text gives no ids, decodes to '' and is not counted as changed; an empty text gives no
 ids. Special tokens in a text are ordinary text. Repeated rows each come back. Columns named like the results are
@@ -193,44 +194,65 @@ class Codec:
         alone = self.peer.encode("a ")[len(self.peer.encode("a")):]
         self._space = {"": np.array(alone, np.int32).tobytes()}
         self._words: dict[str, bytes] = dict(self._space)
+        #: Encodings that differed, and the words of the store among them.
         self.differing = 0
+        self._differ: set[str] = set()
         self._bytes = [
             bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind in (CONTROL, UNKNOWN) else p.encode()
             for p, _, kind in self.model.pieces
         ]
 
-    def _verified(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts by the tokenizer, and by the other library where that differs."""
+    def _verified(self, texts: list[str]) -> tuple[list[list[int]], list[int]]:
+        """Ids of whole texts by the tokenizer, but by the other library where that differs, and the numbers of those texts."""
         ours = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         theirs = self.peer.encode(texts, num_threads=1)
-        self.differing += sum(a != b for a, b in zip(ours, theirs))
-        return theirs
+        differ = [i for i, (a, b) in enumerate(zip(ours, theirs)) if a != b]
+        for i in differ:
+            ours[i] = theirs[i]
+        return ours, differ
+
+    def _alone(self, words: list[str]) -> None:
+        """Keep the ids of words that are encoded one by one."""
+        found, differ = self._verified(words)
+        self._words.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(words, found))
+        self._differ.update(words[i] for i in differ)
+        self.differing += len(differ)
 
     def _learn(self, words: list[str]) -> None:
         """Keep the ids of words without spaces: they are encoded as texts, whose ids are cut where a marker begins one."""
         for at in range(0, len(words), 200 * JOINED):
             lines = [words[i:i + JOINED] for i in range(at, min(at + 200 * JOINED, len(words)), JOINED)]
-            for line, ids in zip(lines, self._verified([" ".join(line) for line in lines])):
+            found, differ = self._verified([" ".join(line) for line in lines])
+            for i in differ:
+                self._alone(lines[i])
+                lines[i] = []
+            for line, ids in zip(lines, found):
                 ids = np.array(ids, np.int32)
                 cuts = 4 * np.append(np.flatnonzero(self._begins[ids]), len(ids))
                 data = ids.tobytes()
                 self._words.update((w, data[a:b]) for w, a, b in zip(line, cuts[:-1].tolist(), cuts[1:].tolist()))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text, without special tokens."""
+    def encode_counted(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
+        """Ids of every text, without special tokens, and the number of its words whose two encodings differed."""
         if not self.by_word:
-            return [np.array(ids, np.int32) for ids in self._verified(texts)]
+            found, differ = self._verified(texts)
+            self.differing += len(differ)
+            return [np.array(ids, np.int32) for ids in found], np.bincount(differ, minlength=len(texts)).tolist()
         # Words without the space that begins them: the tokenizer puts one before whatever it encodes.
         parts = [_words_of(t) for t in texts]
         new = list(set().union(*parts).difference(self._words))
         if len(self._words) + len(new) > KEPT_WORDS:
-            self._words = dict(self._space)
+            self._words, self._differ = dict(self._space), set()
             new = list(set().union(*parts).difference(self._words))
-        spaced = [w for w in new if " " in w]
-        self._words.update((w, np.array(ids, np.int32).tobytes()) for w, ids in zip(spaced, self._verified(spaced)))
+        self._alone([w for w in new if " " in w])
         self._learn([w for w in new if " " not in w])
-        find = self._words.__getitem__
-        return [np.frombuffer(b"".join(map(find, words)), np.int32) for words in parts]
+        find, differs = self._words.__getitem__, self._differ.__contains__
+        counts = [sum(map(differs, words)) for words in parts] if self._differ else [0] * len(parts)
+        return [np.frombuffer(b"".join(map(find, words)), np.int32) for words in parts], counts
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of every text, without special tokens."""
+        return self.encode_counted(texts)[0]
 
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters."""
@@ -268,34 +290,42 @@ def _groups(texts: list[str]) -> Iterator[slice]:
         yield slice(at, len(texts))
 
 
-def _coded(codec: Codec, part: pa.Array) -> Iterator[tuple[list[str], list[np.ndarray], pa.Array]]:
-    """Texts, ids and the ids as an Arrow list, for a few texts of the part at a time: only the Arrow lists need be kept."""
+def _coded(codec: Codec, part: pa.Array) -> Iterator[tuple[list[str], list[np.ndarray], pa.Array, list[int]]]:
+    """Texts, ids, the ids as an Arrow list and the differing words, for a few texts of the part at a time: only the Arrow
+    lists need be kept."""
     for at in range(0, len(part), GROUP_ROWS):
         rows = [t or "" for t in part.slice(at, GROUP_ROWS).to_pylist()]
         for group in _groups(rows):
             texts = rows[group]
-            ids = codec.encode(texts)
+            ids, differing = codec.encode_counted(texts)
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            yield texts, ids, pa.ListArray.from_arrays(ends, np.concatenate(ids))
+            yield texts, ids, pa.ListArray.from_arrays(ends, np.concatenate(ids)), differing
 
 
 def _joined(lists: list[pa.Array], kind: pa.DataType) -> pa.Array:
     return pa.concat_arrays(lists) if lists else pa.array([], kind)
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with token_ids and n_tokens of the text; Spark sends the model file to the executors."""
+def encode(docs: DataFrame, model_path: str, text: str = "text", differing: bool = False) -> DataFrame:
+    """``docs`` with token_ids and n_tokens of the text, and on request n_differing; Spark sends the model file to the executors."""
     _send(docs.sparkSession, model_path)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("token_ids array<int>, n_differing bigint")
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(model_path)
         for part in parts:
-            yield _joined([ids for _, _, ids in _coded(codec, part)], pa.list_(pa.int32()))
+            lists, counts = [], []
+            for _, _, found, differ in _coded(codec, part):
+                lists.append(found)
+                counts += differ
+            yield pa.StructArray.from_arrays(
+                [_joined(lists, pa.list_(pa.int32())), pa.array(counts, pa.int64())], ["token_ids", "n_differing"]
+            )
 
-    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens")]
-    return docs.select(*columns, of(quoted(text)).alias("token_ids")).withColumn(
-        "n_tokens", F.size("token_ids").cast("long")
+    more = ["n_differing"] if differing else []
+    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", *more)]
+    return docs.select(*columns, of(quoted(text)).alias("__coded")).select(
+        *columns, "__coded.token_ids", F.size("__coded.token_ids").cast("long").alias("n_tokens"), *(f"__coded.{c}" for c in more)
     )
 
 
@@ -312,23 +342,30 @@ def decode(rows: DataFrame, model_path: str) -> DataFrame:
     return rows.select(*(quoted(c) for c in without(rows, "decoded")), of("token_ids").alias("decoded"))
 
 
-def round_trip(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
-    """``docs`` with token_ids, n_tokens and same_text: whether the ids decode to the text, in one pass over it."""
+def round_trip(docs: DataFrame, model_path: str, text: str = "text", differing: bool = False) -> DataFrame:
+    """``docs`` with token_ids, n_tokens and same_text: whether the ids decode to the text, in one pass over it.
+
+    On request also n_differing.
+    """
     _send(docs.sparkSession, model_path)
 
-    @F.arrow_udf("token_ids array<int>, same_text boolean")
+    @F.arrow_udf("token_ids array<int>, same_text boolean, n_differing bigint")
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(model_path)
         for part in parts:
-            lists, same = [], []
-            for texts, ids, found in _coded(codec, part):
+            lists, same, counts = [], [], []
+            for texts, ids, found, differ in _coded(codec, part):
                 lists.append(found)
                 same += [codec.decode(i) == t for i, t in zip(ids, texts)]
+                counts += differ
             yield pa.StructArray.from_arrays(
-                [_joined(lists, pa.list_(pa.int32())), pa.array(same, pa.bool_())], ["token_ids", "same_text"]
+                [_joined(lists, pa.list_(pa.int32())), pa.array(same, pa.bool_()), pa.array(counts, pa.int64())],
+                ["token_ids", "same_text", "n_differing"],
             )
 
-    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", "same_text")]
+    more = ["n_differing"] if differing else []
+    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", "same_text", *more)]
     return docs.select(*columns, of(quoted(text)).alias("__coded")).select(
-        *columns, "__coded.token_ids", F.size("__coded.token_ids").cast("long").alias("n_tokens"), "__coded.same_text"
+        *columns, "__coded.token_ids", F.size("__coded.token_ids").cast("long").alias("n_tokens"), "__coded.same_text",
+        *(f"__coded.{c}" for c in more),
     )

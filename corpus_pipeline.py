@@ -34,9 +34,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return sentencepiece_codec.encode(docs.select("doc_id", "text"), queries.PIECE_MODEL).select(
-        "doc_id", "n_tokens", "token_ids"
+    """Token ids of every document, and how many of its words were encoded in two ways."""
+    return sentencepiece_codec.encode(docs.select("doc_id", "text"), queries.PIECE_MODEL, differing=True).select(
+        "doc_id", "n_tokens", "token_ids", "n_differing"
     )
 
 

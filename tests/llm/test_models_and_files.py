@@ -156,6 +156,39 @@ def test_ids_are_those_of_the_library(piece_model):
     assert all(p == peer.id_to_piece(i) for i, (p, _, _) in enumerate(codec.model.pieces))
 
 
+def test_differing_words_are_replaced_one_by_one_and_counted(piece_model):
+    codec = sentencepiece_codec.Codec(piece_model)
+    library, taken = codec.peer, []
+
+    class Other:
+        """A library that has other ids for one word, and notes what it is asked."""
+
+        def encode(self, texts, num_threads=1):
+            taken.extend(texts)
+            return [[i for w in t.split(" ") for i in ([7] * 3 if w == "odd" else library.encode(w))] for t in texts]
+
+    codec.peer = Other()
+    ids, differing = codec.encode_counted(["odd one odd", "one two", "", "two odd"])
+    assert differing == [2, 0, 0, 1] and codec.differing == 1 and "odd" in taken
+    assert ids[0].tolist() == [7] * 3 + library.encode("one") + [7] * 3
+    assert ids[1].tolist() == library.encode("one two") and ids[2].tolist() == []
+
+
+def test_ids_are_the_tokenizers_where_both_agree(piece_model):
+    codec = sentencepiece_codec.Codec(piece_model)
+    theirs = [codec.peer.encode("a b")]
+    codec.peer = type("Peer", (), {"encode": lambda self, texts, num_threads=1: theirs})()
+    found, differ = codec._verified(["a b"])
+    assert found == theirs and found[0] is not theirs[0] and differ == []
+
+
+def test_differing_words_are_a_column(spark):
+    frame = spark.createDataFrame([(1, "one two"), (2, None), (3, "")], "doc_id long, text string")
+    for f in (sentencepiece_codec.encode, sentencepiece_codec.round_trip):
+        coded = f(frame, PIECE_MODEL, differing=True)
+        assert coded.columns[-1] == "n_differing" and [r.n_differing for r in coded.collect()] == [0, 0, 0]
+
+
 def test_unigram_scores_and_byte_fallback():
     """A small unigram model, serialised by hand, against the library."""
     import struct
