@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.llm import (
-    chat, decontaminate, line_dedup, permutation_index, quality, sentencepiece_codec, simhash, substring_dedup, url_rules,
-    warc,
+    byte_bpe, chat, decontaminate, line_dedup, permutation_index, quality, resampling, sentencepiece_codec, simhash,
+    substring_dedup, url_rules, vector_codes, warc,
 )
+from cartwise.llm.shared import broadcast_if_small, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,9 @@ URL_RULES = [
 #: The model of op10; a parameter of the operator.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: The vocabulary of op11; a parameter of the operator.
+BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -112,5 +116,29 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "token_ids", "same_text", "n_differing")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.round_trip(docs, BYTE_VOCABULARY)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("packed_ids", 256).alias("ids_sha256"), sha256(F.col("decoded")).alias("decoded_sha256")
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(read(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    coded = written(coded, "vector_codes")
+    by_label = written(coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")), "label_errors")
+    numbers = ",".join(map(str, books.reshape(-1).tolist()))
+    return coded.join(broadcast_if_small(by_label), F.col("label").eqNullSafe(F.col("of"))).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        sha256(F.lit(numbers)).alias("codebooks_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.draw(resampling.weigh(docs, read(spark, sf_dir, "benchmark")))
+
+
 def registry() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}

@@ -125,8 +125,90 @@ FROM k LEFT JOIN hot USING (key) GROUP BY doc_id
 """
 
 
+def _op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    steps = [rf"""
+kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, (k // (len(v) // {parts}))::BIGINT AS p, (k % (len(v) // {parts}))::BIGINT AS d, v[k + 1] AS x
+    FROM (SELECT *, unnest(range(0, len(v))) AS k FROM kept)
+), book0 AS MATERIALIZED (
+    SELECT p, e, d, x FROM parts
+    JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept QUALIFY e < {entries}) USING (vec_id)
+)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""near{r} AS MATERIALIZED (
+    SELECT vec_id, p, arg_min(e, (distance, e)) AS e, min(distance) AS distance FROM (
+        SELECT vec_id, p, e, sum((parts.x - b.x) * (parts.x - b.x))::BIGINT AS distance
+        FROM parts JOIN book{r} b USING (p, d) GROUP BY vec_id, p, e
+    ) GROUP BY vec_id, p
+)""")
+        if r < rounds:
+            steps.append(f"""moved{r} AS (
+    SELECT p, e, d, (s - ((s % n) + n) % n) // n AS x FROM (
+        SELECT p, e, d, sum(x)::BIGINT AS s, count(*) AS n FROM near{r} JOIN parts USING (vec_id, p) GROUP BY p, e, d)
+), book{r + 1} AS MATERIALIZED (
+    SELECT p, e, d, coalesce(m.x, b.x) AS x FROM book{r} b LEFT JOIN moved{r} m USING (p, e, d)
+)""")
+    return "WITH " + ", ".join(steps) + f""", coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(distance)::BIGINT AS error
+    FROM kept JOIN near{rounds} USING (vec_id) GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, d)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+#: CRC-32 of the words, byte by byte from a table that is computed here.
+OP13 = rf"""
+WITH tab AS (
+    SELECT list(list_reduce(range(0, 8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), b) ORDER BY b) AS t
+    FROM range(0, 256) r(b)
+), d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+    SELECT unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS word FROM benchmark
+), places AS (SELECT doc_id, unnest(w) AS word FROM d),
+hexes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM places UNION SELECT word FROM b)),
+byte_lists AS (
+    SELECT word, list_transform(range(0, length(h) // 2), lambda i:
+        (16 * (instr('0123456789ABCDEF', substr(h, 2 * i + 1, 1)) - 1)
+        + instr('0123456789ABCDEF', substr(h, 2 * i + 2, 1)) - 1)::BIGINT) AS bytes FROM hexes
+), buckets AS (
+    SELECT word, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000
+        AS bucket FROM byte_lists, tab
+), s AS (SELECT bucket, count(*) AS s FROM places JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM b JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (coalesce((SELECT sum(t) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM s LEFT JOIN t USING (bucket)
+), sums AS (
+    SELECT doc_id, sum(gain)::BIGINT AS total, count(*) AS n FROM places JOIN buckets USING (word) JOIN gains USING (bucket)
+    GROUP BY doc_id
+), scored AS (
+    SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+        substr(sha256('2024:' || d.doc_id), 1, 8) AS h
+    FROM d LEFT JOIN sums USING (doc_id)
+), noisy AS (
+    SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((list_reduce(range(1, 9), lambda x, i:
+        16 * x + instr('0123456789abcdef', substr(h, i, 1)) - 1, 0::BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM scored
+), ranked AS (
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () * 10 // 100 AS drawn
+    FROM noisy WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= drawn THEN rank END AS rank
+FROM noisy LEFT JOIN ranked USING (doc_id)
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op2_substring_dedup": OP2, "op3_chat_formatting": OP3, "op5_benchmark_decontamination": OP5, "op6_warc": OP6,
-        "op7_url_filters": OP7, "op9_line_dedup": OP9,
+        "op7_url_filters": OP7, "op9_line_dedup": OP9, "op12_vector_codes": _op12(), "op13_importance_resampling": OP13,
     }
