@@ -3,15 +3,16 @@
 The vocabulary file is that of the tokenizers library (merges in order of rank, byte-level pre-tokenizer); ids are what the
 library's ``encode(text, add_special_tokens=False)`` gives, strings of added tokens in a text included.
 
-* A text is cut at added tokens and by the pre-tokenizer's pattern into words; every distinct word is encoded once and kept.
-* Propose: at all bytes of all new words at once, a trie is walked to the longest token that starts there; following these from
-  the first byte of a word gives its tokens.
+* A text is cut at added tokens, then into chunks before spaces that no word reaches over, and a chunk by the pre-tokenizer's
+  pattern into words. Distinct chunks and words are encoded once and kept, up to a bound.
+* Propose: for all new words at once, a trie is walked from the first byte to the longest token, and from its end to the next.
 * Verify: a sequence of tokens is what BPE makes of a word if and only if every two neighbours are what BPE makes of the two
   alone. For a pair, the tokens along the right edge of the left one and the left edge of the right one are taken apart in the order in
   which merges made them; the boundary falls if two of them that stand side by side have a merge that comes before the
   merges that took them up. All distinct pairs are tested at once in numpy. A token that BPE does not make of its own
   bytes is never accepted.
-* Only words with a failing pair are merged exactly, lowest rank and then leftmost first, with a heap over a linked list.
+* Only words with a failing pair are merged exactly, lowest rank and then leftmost first: short ones together in numpy, one
+  merge a word and step, long ones with a heap over a linked list.
 
 The claim rests on a token being made by one merge, of two tokens that earlier merges made; a file in which that does not
 hold is refused, as is one with settings that change the result and are not built here.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +53,10 @@ KEPT_WORDS = 200_000
 GROUP_ROWS = 512
 _END = 256  # stands after every word; no token goes on over it
 _NEVER = np.int64(2**62)
+#: A space between white space, before which a text cannot be cut, and all others.
+_DOUBTFUL, _INSIDE = re.compile(r"\s (?:\s|\Z)"), re.compile(r"(?<!\s) | (?=\S)")
+#: Bytes up to which failing words are merged together.
+SHORT_WORD = 48
 
 
 def _byte_of() -> dict[str, int]:
@@ -59,6 +65,16 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in PRINTED} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def chunks_of(text: str) -> list[str]:
+    """A text cut before spaces that no word of the pattern reaches over.
+
+    Those are the spaces that follow other text, and those that other text follows: from a run of white space the pattern
+    leaves its last space to the word behind it.
+    """
+    first, *others = _INSIDE.split(text) if _DOUBTFUL.search(text) else text.split(" ")
+    return [first, *[" " + c for c in others]]
+
+
 class Vocabulary:
     """Tokens, merges, and the tables of the proposal and the verification."""
 
@@ -81,7 +97,7 @@ class Vocabulary:
             self.bytes[i] = b
         if any(bytes([b]) not in ids for b in range(256)):
             raise ValueError("a byte-level vocabulary has all 256 bytes")
-        self.single = [ids[bytes([b])] for b in range(256)]
+        self.single = np.array([ids[bytes([b])] for b in range(256)], np.int64)
 
         #: By token: the rank of the merge that makes it (-1 for bytes), and the two tokens that it merges.
         self.born = np.full(size, -1, np.int64)
@@ -98,7 +114,8 @@ class Vocabulary:
         keys = np.array([a * size + b for a, b in self.merges], np.int64)
         ranks = np.array([r for r, _ in self.merges.values()], np.int64)
         order = np.argsort(keys)
-        self._pairs, self._ranks = keys[order], ranks[order]
+        self._pairs, self._ranks = np.append(keys[order], np.int64(2**63 - 1)), np.append(ranks[order], _NEVER)
+        self._made = np.array([m for _, m in self.merges.values()], np.int64)
         self._grow_trie(ids)
         #: Tokens that BPE makes of their own bytes.
         self.sound = self.born < 0
@@ -123,9 +140,17 @@ class Vocabulary:
             tokens[node] = i
         keys = np.fromiter(edges.keys(), np.int64, len(edges))
         order = np.argsort(keys)
-        self._edges, self._below = keys[order], np.fromiter(edges.values(), np.int64, len(edges))[order]
+        # A last key that no edge has stands behind all others.
+        self._edges = np.append(keys[order], np.int64(2**63 - 1))
+        self._below = np.fromiter(edges.values(), np.int64, len(edges))[order]
         self._token = np.array(tokens, np.int64)
 
+    def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of the merge of two tokens, or ``_NEVER``."""
+        key = a * self._size + b
+        at = np.searchsorted(self._pairs, key)  # a last key that no pair has stands behind all others
+        return np.where(self._pairs[at] == key, self._ranks[at], _NEVER)
+
     def compatible(self, left: np.ndarray, right: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """True where the boundary of two tokens stands when BPE merges their bytes (in merges before rank ``until``)."""
         a, b = left.copy(), right.copy()
@@ -134,8 +159,7 @@ class Vocabulary:
         fine, open_ = np.ones(len(a), bool), np.arange(len(a))
         while len(open_):
             x, y = a[open_], b[open_]
-            at = np.minimum(np.searchsorted(self._pairs, x * self._size + y), len(self._pairs) - 1)
-            rank = np.where(self._pairs[at] == x * self._size + y, self._ranks[at], _NEVER) if len(self._pairs) else np.full(len(x), _NEVER)
+            rank = self.rank_of(x, y)
             # Of equal merges the left one is done first: it takes the left token before this pair, but this pair before the right token.
             falls = (rank < ends_a[open_]) & (rank <= ends_b[open_])
             fine[open_[falls]] = False
@@ -149,25 +173,49 @@ class Vocabulary:
             open_ = open_[going]
         return fine
 
-    def longest(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The longest token that starts at every symbol, and its length; where a word ends, length 1."""
-        token, length = np.full(len(symbols), -1, np.int64), np.ones(len(symbols), np.int64)
-        at = np.flatnonzero(symbols != _END)
-        node, depth = np.zeros(len(at), np.int64), 0
-        while len(at):
-            keys = node * (_END + 1) + symbols[at + depth]
-            edge = np.minimum(np.searchsorted(self._edges, keys), len(self._edges) - 1)
+    def longest(self, symbols: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The longest token that starts at every place ``at``, and its length; none and 1 where a word ends."""
+        token, length = np.full(len(at), -1, np.int64), np.ones(len(at), np.int64)
+        which, node, depth = np.arange(len(at)), np.zeros(len(at), np.int64), 0
+        while len(which):
+            keys = node * (_END + 1) + symbols[at[which] + depth]  # nothing goes on over _END, the last symbol
+            edge = np.searchsorted(self._edges, keys)
             found = self._edges[edge] == keys
-            at, node = at[found], self._below[edge[found]]
+            which, node = which[found], self._below[edge[found]]
             depth += 1
             whole = self._token[node] >= 0
-            token[at[whole]], length[at[whole]] = self._token[node[whole]], depth
-            # The symbols end with the end of a word, over which nothing goes on.
+            token[which[whole]], length[which[whole]] = self._token[node[whole]], depth
         return token, length
 
+    def greedy(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all words by longest match, and the number of the word of each."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        symbols = np.insert(np.frombuffer(b"".join(words), np.uint8).astype(np.int64), np.cumsum(sizes), _END)
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        short, tokens, of = np.flatnonzero(sizes <= SHORT_WORD), [], []
+        at, word = begins[short], short
+        while len(word):  # one token of every short word at a time
+            token, length = self.longest(symbols, at)
+            going = token >= 0
+            tokens.append(token[going])
+            of.append(word[going])
+            at, word = (at + length)[going], word[going]
+        for i in np.flatnonzero(sizes > SHORT_WORD).tolist():  # all places of a long word, then along them
+            part = symbols[begins[i]:begins[i] + sizes[i] + 1]
+            token, length = self.longest(part, np.arange(len(part)))
+            step, chain, place = length.tolist(), [], 0
+            while place < len(part) - 1:
+                chain.append(place)
+                place += step[place]
+            tokens.append(token[chain])
+            of.append(np.full(len(chain), i))
+        of = np.concatenate(of) if of else np.empty(0, np.int64)
+        order = np.argsort(of, kind="stable")
+        return (np.concatenate(tokens) if tokens else np.empty(0, np.int64))[order], of[order]
+
     def merge(self, word: bytes) -> list[int]:
         """Exact BPE of a word: the lowest rank first, of equal ones the leftmost."""
-        tokens = [self.single[b] for b in word]
+        tokens = self.single[np.frombuffer(word, np.uint8)].tolist()
         n = len(tokens)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         find = self.merges.get
@@ -189,99 +237,137 @@ class Vocabulary:
                 heapq.heappush(heap, (m[0], h, m[1]))
         return [t for t in tokens if t >= 0]
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Exact BPE of words as packed ids: short ones all together, one merge a word and step."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.array([len(w) for w in words], np.int64)
+        for low, high in ((0, 8), (8, 16), (16, SHORT_WORD)):
+            which = np.flatnonzero((sizes > low) & (sizes <= high))
+            if not len(which):
+                continue
+            raw = np.frombuffer(b"".join(words[i].ljust(high, b"\0") for i in which.tolist()), np.uint8).reshape(-1, high)
+            tokens, left = self.single[raw], sizes[which].copy()
+            tokens[np.arange(high) >= left[:, None]] = -1
+            ranks = np.full(tokens.shape, _NEVER)  # the last column has no right neighbour
+            both = tokens[:, 1:] >= 0
+            ranks[:, :-1][both] = self.rank_of(tokens[:, :-1][both], tokens[:, 1:][both])
+            going = np.arange(len(which))
+            while True:
+                at = ranks[going].argmin(axis=1)  # the first of equal ones
+                rank = ranks[going, at]
+                some = rank < _NEVER
+                going, at, rank = going[some], at[some], rank[some]
+                if not len(going):
+                    break
+                source = np.minimum(np.arange(high) + (np.arange(high) > at[:, None]), high - 1)
+                now, of = np.take_along_axis(tokens[going], source, 1), np.take_along_axis(ranks[going], source, 1)
+                left[going] -= 1
+                row = np.arange(len(going))
+                now[row, at] = self._made[rank]
+                now[row, left[going]] = -1
+                of[row, left[going] - 1] = _NEVER
+                for place in (at - 1, at):
+                    ok = (place >= 0) & (place + 1 < left[going])
+                    r, c = row[ok], place[ok]
+                    of[r, c] = self.rank_of(now[r, c], now[r, c + 1])
+                tokens[going], ranks[going] = now, of
+            packed = tokens.astype("<i4").tobytes()
+            for k, (i, n) in enumerate(zip(which.tolist(), left.tolist())):
+                out[i] = packed[4 * high * k:4 * (high * k + n)]
+        for i in np.flatnonzero(sizes > SHORT_WORD).tolist():
+            out[i] = np.array(self.merge(words[i]), "<i4").tobytes()
+        return out
+
 
 class Codec:
     """Encoder and decoder of a vocabulary."""
 
     def __init__(self, data: bytes):
-        self.vocabulary = Vocabulary(data)
-        self._words: dict[str, bytes] = {}
+        self.vocabulary = v = Vocabulary(data)
         self._split = regex.compile(PATTERN).findall
-        self._space = regex.compile(r"(?<=\S)\s")
-        added = sorted(self.vocabulary.added, key=len, reverse=True)
-        self._added = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
+        self._safe_end = regex.compile(r"(?<=\S)\s")
+        added = sorted(v.added, key=len, reverse=True)
+        self._added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
+        self._added_ids = {s: np.array([i], "<i4").tobytes() for s, i in v.added.items()}
+        #: Ids of the chunks and words met: the recent ones, and those met before.
+        self._young: dict[str, bytes] = dict(self._added_ids)
+        self._old: dict[str, bytes] = {}
         #: Words encoded, and those of them whose proposal failed.
         self.encoded = self.merged = 0
 
-    def propose(self, words: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Tokens of every word by longest match, and whether they are what BPE makes of it."""
+    def propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all words by longest match, the end of each word among them, and whether they are what BPE makes of it."""
         v = self.vocabulary
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        ends = np.cumsum([len(w) for w in words])
-        symbols = np.insert(raw.astype(np.int64), ends, _END)
-        token, length = v.longest(symbols)
-        chain, at, step, n = [], 0, length.tolist(), len(symbols)
-        while at < n:
-            chain.append(at)
-            at += step[at]
-        tokens = token[chain]  # -1 after every word
-        stops = np.flatnonzero(tokens < 0)
-        word = np.cumsum(tokens < 0) - (tokens < 0)
+        tokens, word = v.greedy(words)
         fine = np.ones(len(words), bool)
-        fine[word[(tokens >= 0) & ~v.sound[tokens]]] = False
-        inner = np.flatnonzero((tokens[:-1] >= 0) & (tokens[1:] >= 0))
+        fine[word[~v.sound[tokens]]] = False
+        inner = np.flatnonzero(word[1:] == word[:-1])
         pairs, which = np.unique(tokens[inner] * len(v.bytes) + tokens[inner + 1], return_inverse=True)
         stands = v.compatible(pairs // len(v.bytes), pairs % len(v.bytes))
         fine[word[inner[~stands[which]]]] = False
-        return [x[:-1] for x in np.split(tokens, stops + 1)[:len(words)]], fine
+        return tokens, np.searchsorted(word, np.arange(len(words)), "right"), fine
 
     def _learn(self, words: list[str]) -> None:
         raw = [w.encode() for w in words]
-        tokens, fine = self.propose(raw)
+        tokens, ends, fine = self.propose(raw)
+        data, ends = tokens.astype("<i4").tobytes(), (4 * ends).tolist()
+        self._young.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        failed = np.flatnonzero(~fine).tolist()
+        self._young.update(zip([words[i] for i in failed], self.vocabulary.merge_all([raw[i] for i in failed])))
         self.encoded += len(words)
-        self.merged += len(words) - int(fine.sum())
-        for word, data, found, ok in zip(words, raw, tokens, fine.tolist()):
-            self._words[word] = (found if ok else np.array(self.vocabulary.merge(data))).astype("<i4").tobytes()
+        self.merged += len(failed)
+
+    def _new(self, keys: set[str]) -> list[str]:
+        """Those that are not kept; older ones become recent."""
+        missing = keys.difference(self._young)
+        old = self._old
+        self._young.update((k, old[k]) for k in missing if k in old)
+        return [k for k in missing if k not in old]
+
+    def _joined(self, cut: list[list[str]]) -> list[bytes]:
+        """Ids of lists of chunks; new chunks are encoded together."""
+        if len(self._young) > KEPT_WORDS:
+            self._young, self._old = dict(self._added_ids), self._young
+        find = self._young.__getitem__
+        new = self._new(set().union(*cut))
+        parts = list(map(self._split, new))
+        if words := self._new({w for words in parts for w in words}):
+            self._learn(words)
+        self._young.update((c, b"".join(map(find, words))) for c, words in zip(new, parts) if len(words) != 1)
+        return [b"".join(map(find, chunks)) for chunks in cut]
 
     def _pieces(self, text: str) -> Iterator[str]:
         at = 0
         while len(text) - at > PIECE_CHARS:
-            found = self._space.search(text, at + PIECE_CHARS)
+            found = self._safe_end.search(text, at + PIECE_CHARS)
             if not found:
                 break
             yield text[at:found.start()]
             at = found.start()
         yield text[at:] if at else text
 
-    def _plain(self, text: str) -> bytes:
-        """Ids of a text without added tokens, as little-endian 32-bit integers."""
-        out = []
-        for piece in self._pieces(text):
-            words = self._split(piece)
-            new = list(set(words).difference(self._words))
-            if len(self._words) + len(new) > KEPT_WORDS:
-                self._words.clear()
-                new = list(set(words))
-            if new:
-                self._learn(new)
-            out.append(b"".join(map(self._words.__getitem__, words)))
-        return b"".join(out)
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian 32-bit integers."""
-        if self._added is None:
-            return [self._plain(t) for t in texts]
-        out, number = [], {s: np.array([i], "<i4").tobytes() for s, i in self.vocabulary.added.items()}
-        for text in texts:
-            parts = self._added.split(text)
-            out.append(self._plain(text) if len(parts) == 1 else b"".join(
-                number[p] if i % 2 else self._plain(p) for i, p in enumerate(parts)
-            ))
-        return out
-
-    def learn_words(self, texts: list[str]) -> None:
-        """Encode the words of many short texts together, as one proposal for all costs little more than for one."""
-        words: set[str] = set()
-        for text in texts:
-            if len(text) <= PIECE_CHARS:
-                for part in self._added.split(text)[::2] if self._added and any(s in text for s in self.vocabulary.added) else [text]:
-                    words.update(self._split(part))
-        new = list(words.difference(self._words))
-        if len(self._words) + len(new) > KEPT_WORDS:
-            self._words.clear()
-            new = list(words)
-        if new:
-            self._learn(new)
+        out, waiting, taken = [[] for _ in texts], [], 0
+
+        def flush():
+            for (i, _), ids in zip(waiting, self._joined([chunks for _, chunks in waiting])):
+                out[i].append(ids)
+
+        for i, text in enumerate(texts):
+            parts = self._added.split(text) if self._added else [text]
+            for k, part in enumerate(parts):
+                if k % 2:
+                    waiting.append((i, [part]))
+                    continue
+                for piece in self._pieces(part):
+                    waiting.append((i, chunks_of(piece)))
+                    taken += len(piece)
+                    if taken >= PIECE_CHARS:
+                        flush()
+                        waiting, taken = [], 0
+        flush()
+        return [b"".join(ids) for ids in out]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids."""
@@ -330,7 +416,6 @@ def _with_coded(docs: DataFrame, vocabulary: str, text: str, decoded: bool) -> D
         for column in columns:
             packed, texts = [], []
             for group in _groups(column):
-                codec.learn_words(group)
                 found = codec.encode(group)
                 packed.append(pa.array(found, pa.binary()))
                 if decoded:
