@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from cartwise.functions.scalars import days_until, log_ratio, safe_rate, total
-from cartwise.operators.measures import candidate_words, days_in, seen_in
+from cartwise.operators.measures import HISTORY_DAYS, ORDER_DAYS, candidate_words, days_in, seen_in
 from cartwise.operators.windows import WindowSpec
 
 Block = dict[str, str]
@@ -15,8 +15,6 @@ NO_GAP, NO_ORDER, NO_RECENT = 60, 75, 60
 
 BOTH_SEEN = "(browse_first IS NOT NULL AND order_last IS NOT NULL)"
 BROWSE_TO_ORDER = "datediff(order_last, browse_first)"
-# Distinct order days; joined to a measure table only for blocks that name it.
-ORDER_DAYS = "order_days"
 
 
 def conversion(prefix: str, kind: str, scope: str, rate: str) -> Block:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import lit
-from cartwise.operators.log import history_rows
+from cartwise.operators.cube import product_days
 from cartwise.operators.windows import WindowSpec
 
 MARKET_BUCKETS = (1, 2, 3, 4, 5, 6)
@@ -33,13 +33,13 @@ def comment_totals(comments: DataFrame, spec: WindowSpec) -> DataFrame:
     return inside.groupBy("sku_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in COMMENT_COLUMNS])
 
 
-def product_comments(log: DataFrame, comments: DataFrame, spec: WindowSpec) -> DataFrame:
+def product_comments(cube: DataFrame, comments: DataFrame, spec: WindowSpec) -> DataFrame:
     """Comment counts per product (with its category and shop), weighted by its action rows up to the window end.
 
-    The log is reduced to one row per product before it meets the comments, so the join is between two
-    catalogue-sized tables and a hot product is one row.
+    The cube has one row per product and day, so the join is between two catalogue-sized tables and a hot product is one
+    row.
     """
-    weights = history_rows(log, spec).groupBy("sku_id", "cate", "shop_id").agg(F.sum("n").alias("n"))
+    weights = product_days(cube, spec).groupBy("sku_id", "cate", "shop_id").agg(F.sum("n").alias("n"))
     weighted = weights.join(comment_totals(comments, spec), "sku_id")
     return weighted.selectExpr("sku_id", "cate", "shop_id", *[f"n * {c} AS {c}" for c in COMMENT_COLUMNS])
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,14 +27,6 @@ def counted_log(actions: DataFrame, products: DataFrame) -> DataFrame:
     return action_log(merged, products)
 
 
-def with_history(actions: DataFrame, spec: WindowSpec) -> WindowSpec:
-    """The window with its history starting at the first day of the log."""
-    if spec.history_start is not None:
-        return spec
-    first = actions.where(f"action_time <= {lit(spec.end)}").agg(F.min("action_time")).first()[0]
-    return replace(spec, history_start=first or spec.start)
-
-
 def candidate_rows(log: DataFrame, spec: WindowSpec) -> DataFrame:
     """Rows of the candidate days."""
     return log.where(f"action_time BETWEEN {lit(spec.start)} AND {lit(spec.end)}")

@@ -1,9 +1,12 @@
 """Additive measures per key, from which every feature block is derived.
 
-One aggregation over the log computes the measures for (user, category, shop). Each measure merges with
-itself (sum, min, max, bitwise or), so coarser keys roll up from the finer table and the log is read once.
-Distinct candidate days are kept as bit sets, which roll up where a distinct count would not. Distinct days of the
-whole history are counted apart (:func:`day_counts`), so the measures of a log have the same columns whatever its age.
+One aggregation over the daily cube computes the measures for (user, category, shop). Each measure merges with
+itself (sum, min, max, bitwise or), so coarser keys roll up from the finer table. Distinct candidate days are kept as
+bit sets, which roll up where a distinct count would not.
+
+Distinct days of the whole history are *day words*: rows of (key, word number, 64 days as bits), as many as the
+history of a key has words with an action, so the schema is the same for 50 days and for 100 years. They merge by bitwise or,
+roll up like the measures, and are counted by bit_count after the days outside a window have been masked.
 
 Names: ``n2_7`` order rows in the last 7 days, ``d2_7`` the same without repeats, scopes ``cand``
 (candidate days) and ``hist`` (everything up to the window end).
@@ -11,6 +14,7 @@ Names: ``n2_7`` order rows in the last 7 days, ``d2_7`` the same without repeats
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -19,19 +23,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import total
-from cartwise.operators.log import history_rows
+from cartwise.operators.cube import triple_days
 from cartwise.operators.windows import RECENT_DAYS, WindowSpec
 from cartwise.sources.schemas import BROWSE, CART, ORDER
 
-WORD = 64  # candidate days per bit set
-MAX_KEY_ROWS = 20_000_000  # log rows of one key that a single task may stream through
+WORD = 64  # days per bit set
+#: Distinct order days and active days of the whole history.
+ORDER_DAYS, HISTORY_DAYS = "order_days", "hist_days"
 UCS = ("user_id", "cate", "shop_id")
+_EPOCH = dt.date(1970, 1, 1)
 
 
 @dataclass(frozen=True)
 class Measure:
     name: str
-    sql: str  # aggregate over the counted log
+    sql: str  # aggregate over the rows of a key in the cube
     merge: str  # aggregate that combines two partial values
 
 
@@ -55,10 +61,10 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     # Raw counts, by action code and range.
     for n in RECENT_DAYS:
         for code in (1, 2, 3, 4):
-            add(f"n{code}_{n}", f"sum(if(type = {code} AND age < {n}, n, 0L))", "sum")
-    add(f"n{CART}_1", f"sum(if(type = {CART} AND age < 1, n, 0L))", "sum")
+            add(f"n{code}_{n}", f"sum(if(age < {n}, n{code}, 0L))", "sum")
+    add(f"n{CART}_1", f"sum(if(age < 1, n{CART}, 0L))", "sum")
     for code in (1, 2, 3, 4):
-        add(f"n{code}_hist", f"sum(if(type = {code}, n, 0L))", "sum")
+        add(f"n{code}_hist", f"sum(n{code})", "sum")
 
     # Counts of distinct actions.
     cand = f"age < {spec.days}"
@@ -72,15 +78,15 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     }
     for scope, (inside, codes) in scopes.items():
         for code in codes:
-            add(f"d{code}_{scope}", f"count_if(type = {code} AND {inside})", "sum")
-    add("d_cand", f"count_if({cand})", "sum")
+            add(f"d{code}_{scope}", f"sum(if({inside}, d{code}, 0L))", "sum")
+    add("d_cand", f"sum(if({cand}, d, 0L))", "sum")
 
     # First and last days.
-    add("browse_first", f"min(if(type = {BROWSE}, action_time, NULL))", "min")
-    add("order_first", f"min(if(type = {ORDER}, action_time, NULL))", "min")
-    add("order_last", f"max(if(type = {ORDER}, action_time, NULL))", "max")
+    add("browse_first", f"min(if(n{BROWSE} > 0, action_time, NULL))", "min")
+    add("order_first", f"min(if(n{ORDER} > 0, action_time, NULL))", "min")
+    add("order_last", f"max(if(n{ORDER} > 0, action_time, NULL))", "max")
     for code in (1, 2, 3, 5):
-        add(f"recent_{code}", f"max(if(type = {code} AND {cand}, action_time, NULL))", "max")
+        add(f"recent_{code}", f"max(if(n{code} > 0 AND {cand}, action_time, NULL))", "max")
 
     # Day sets.
     for k, name in enumerate(candidate_words(spec)):
@@ -89,20 +95,20 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     return tuple(found)
 
 
-def measure_log(
-    log: DataFrame, spec: WindowSpec, keys: Sequence[str] = UCS, group_rows: int | None = None
-) -> DataFrame:
-    """All measures of the counted log, per key, over the rows up to the window end.
+def measure_triples(cube: DataFrame, spec: WindowSpec) -> DataFrame:
+    """All measures per (user, category, shop) over the days up to the window end, and its distinct days.
 
-    ``group_rows`` is a proven upper bound on the log rows of one key. Within the limit, the narrow log rows
-    are clustered by key first and aggregated where they land: measured at half the time, because partial
-    results are ten times wider than the rows they stand for. Without a bound, or beyond the limit, the
-    partial results are shuffled, so that a hot key arrives as one row per map task.
+    The rows of a triple are at most its days, so the narrow rows are clustered and aggregated where they land: measured at
+    half the time, because partial results are several times wider than the rows they stand for. A triple has one row a
+    day, so its distinct days are counts; one with a null key has none, as in the coarser keys, which find days by key.
     """
-    rows = history_rows(log, spec).select(*keys, "action_time", "type", "n", "age")
-    if group_rows is not None and group_rows <= MAX_KEY_ROWS:
-        rows = rows.repartition(*keys)
-    return rows.groupBy(*keys).agg(*[F.expr(f"{m.sql} AS {m.name}") for m in measures(spec)])
+    rows = triple_days(cube, spec).repartition(*UCS)
+    unknown = " OR ".join(f"{k} IS NULL" for k in UCS)
+    days = {ORDER_DAYS: f"count_if(n{ORDER} > 0)", HISTORY_DAYS: "count(*)"}
+    return rows.groupBy(*UCS).agg(
+        *[F.expr(f"{m.sql} AS {m.name}") for m in measures(spec)],
+        *[F.expr(f"if({unknown}, 0L, {sql}) AS {name}") for name, sql in days.items()],
+    )
 
 
 def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str) -> DataFrame:
@@ -111,15 +117,43 @@ def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str
     return finer.groupBy(*keys).agg(*merged, *[F.expr(e) for e in extra])
 
 
-def day_counts(log: DataFrame, spec: WindowSpec, keys: Sequence[str], name: str, code: int | None = None) -> DataFrame:
-    """Distinct days up to the window end with an action of the key (of one code), per key, as ``name``.
+def day_words(cube: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Day words of all days of the cube: keys, ``word``, and the days with an order and with any action as bits."""
+    day = "unix_date(action_time)"
+    rows = cube.where("by_product = 0").selectExpr(
+        *keys, f"shiftright({day}, 6) AS word", f"shiftleft(1L, {day} & 63) AS any_bits", f"n{ORDER} > 0 AS ordered"
+    )
+    return rows.groupBy(*keys, "word").agg(
+        F.expr("bit_or(if(ordered, any_bits, 0L)) AS order_bits"), F.expr("bit_or(any_bits) AS any_bits")
+    )
+
+
+def roll_words(finer: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Day words on a subset of their keys."""
+    return finer.groupBy(*keys, "word").agg(F.expr("bit_or(order_bits) AS order_bits"), F.expr("bit_or(any_bits) AS any_bits"))
+
+
+def count_days(words: DataFrame, spec: WindowSpec, keys: Sequence[str]) -> DataFrame:
+    """Distinct days of the window's history per key, as ``order_days`` and ``hist_days``; ``words`` has these keys.
 
-    Two narrow aggregates, both combined on the map side; a hot key is spread over its days first.
+    A key without any such day has no row, or zeros if a word at the edge has other days of it.
     """
-    rows = history_rows(log, spec)
-    if code is not None:
-        rows = rows.where(f"type = {code}")
-    return rows.select(*keys, "action_time").distinct().groupBy(*keys).agg(F.count("*").alias(name))
+    last = (spec.end - _EPOCH).days
+    inside, masks = f"word <= {last >> 6}", [f"if(word = {last >> 6}, {_signed((2 << (last & 63)) - 1)}L, -1L)"]
+    if spec.history_start is not None:
+        first = (spec.history_start - _EPOCH).days
+        inside += f" AND word >= {first >> 6}"
+        masks.append(f"if(word = {first >> 6}, {_signed(-1 << (first & 63))}L, -1L)")
+    return words.where(inside).groupBy(*keys).agg(*[
+        F.expr(f"sum(bigint(bit_count({' & '.join([bits, *masks])}))) AS {name}")
+        for bits, name in (("order_bits", ORDER_DAYS), ("any_bits", HISTORY_DAYS))
+    ])
+
+
+def _signed(bits: int) -> int:
+    """The signed 64-bit integer of the lowest 64 bits."""
+    bits &= (1 << 64) - 1
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def spine(table: DataFrame) -> DataFrame:

@@ -24,11 +24,12 @@ def dense_rank_in_parent(
     ``group_rows`` is a proven upper bound on the rows of one parent, such as the number of (category, shop)
     pairs in the catalogue. Within the limit, one aggregate over the parent and the counts gathers the
     distinct counts of each parent, and a row's rank is its count's place among them: no wide row is sorted.
-    Without a bound, or beyond the limit, the distinct counts of a parent are ranked by a window and joined
-    back: k distinct counts need about k(k-1)/2 actions, so even a parent that holds a third of a
-    10^12-row log has about 10^6 of them.
+    Without a bound, or beyond the limit, the distinct combinations of a parent's counts are ranked by windows, as
+    narrow rows, and joined back once: the join is on parent and counts, so a hot parent is spread over its
+    combinations, and hashes the combinations, so no wide row is sorted. Combinations of a hot parent are few against its
+    actions, as a high count takes as many actions: for a third of a 10^12-row log they are some 10^8 rows of a few numbers
+    at worst, which a task sorts on disk.
     """
-    by = ", ".join(parent)
     if group_rows is not None and group_rows <= MAX_GROUP_ROWS:
         rows = df.selectExpr("*", *named({f"_{name}": count for name, count in counts.items()}))
         levels = rows.groupBy(*parent).agg(*[
@@ -38,13 +39,19 @@ def dense_rank_in_parent(
         return joined.selectExpr(*df.columns, *named({
             name: f"int(coalesce(nullif(array_position(_{name}_levels, _{name}), 0), {ABSENT_RANK}))" for name in counts
         }))
-    for name, count in counts.items():
-        value = f"_{name}_count"
-        df = df.selectExpr("*", f"{count} AS {value}")
-        levels = df.where(f"{value} IS NOT NULL").select(*parent, value).distinct()
-        ranked = levels.selectExpr("*", f"dense_rank() OVER (PARTITION BY {by} ORDER BY {value} DESC) AS {name}")
-        df = df.join(ranked, [*parent, value], "left").fillna({name: ABSENT_RANK}).drop(value)
-    return df
+    values = {f"_{name}": count for name, count in counts.items()}
+    rows = df.selectExpr("*", *named(values))
+    known = " AND ".join(f"{p} IS NOT NULL" for p in parent)
+    levels = rows.where(known).selectExpr(*[f"{c} AS _of{c}" for c in (*parent, *values)]).distinct()
+    by = ", ".join(f"_of{p}" for p in parent)
+    ranked = levels.selectExpr("*", *named({  # nulls stand last and so move no other rank
+        name: f"dense_rank() OVER (PARTITION BY {by} ORDER BY _of_{name} DESC NULLS LAST)" for name in counts
+    }))
+    same = " AND ".join([*(f"{p} = _of{p}" for p in parent), *(f"{v} <=> _of{v}" for v in values)])
+    joined = rows.join(ranked.hint("shuffle_hash"), F.expr(same), "left")
+    return joined.selectExpr(*df.columns, *named({
+        name: f"int(if(_{name} IS NULL, {ABSENT_RANK}, coalesce({name}, {ABSENT_RANK})))" for name in counts
+    }))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str, *carried: str) -> DataFrame:

@@ -13,8 +13,7 @@ RECENT_DAYS = (1, 3, 5, 7, 10)
 class WindowSpec:
     """Everything that follows from the last observed day ``end``.
 
-    ``history_start`` bounds the "whole history" features from below. ``None`` means that
-    :func:`cartwise.operators.log.with_history` must look it up in the log.
+    ``history_start`` bounds the "whole history" features from below; ``None`` leaves them unbounded.
     """
 
     end: dt.date
@@ -38,12 +37,6 @@ class WindowSpec:
         """First day of the n days that end at ``end``."""
         return self.end - dt.timedelta(days=n - 1)
 
-    @property
-    def history_days(self) -> int:
-        if self.history_start is None:
-            raise ValueError("the window has no history_start; use with_history(actions, spec)")
-        return max((self.end - self.history_start).days + 1, 1)
-
 
 # End days of the published window sets: fixed values.
 PUBLISHED_ENDS = {

@@ -13,21 +13,22 @@ from cartwise.functions.scalars import at_least, lit, named, one_hot, total
 from cartwise.operators import blocks as B
 from cartwise.operators import catalog
 from cartwise.operators.joins import left_lookup
-from cartwise.operators.log import counted_log, with_history
+from cartwise.operators.cube import daily_cube
+from cartwise.operators.log import counted_log, history_rows
 from cartwise.operators.measures import (
-    UCS, day_counts, days_in, measure_log, recent_mask, roll_up, seen_in, spine,
+    HISTORY_DAYS, ORDER_DAYS, UCS, count_days, day_words, days_in, measure_triples, recent_mask, roll_up, roll_words,
+    seen_in, spine,
 )
 from cartwise.operators.ranks import dense_rank_in_parent
 from cartwise.operators.windows import WindowSpec
-from cartwise.sources.schemas import ACTION, ACTION_CODES, ORDER
-from cartwise.sources.tables import Tables
+from cartwise.session import new_folder
+from cartwise.sources.tables import Tables, materialize
 
 UC, US, CS = ("user_id", "cate"), ("user_id", "shop_id"), ("cate", "shop_id")
 KEYS = {
     "u": ("user_id",), "ucs": UCS, "c": ("cate",), "s": ("shop_id",), "uc": UC, "us": US, "cs": CS,
 }
 USER_RANGES = {"u": (7,), "c": (3, 5, 7), "s": (3, 5, 7)}
-HISTORY_DAYS = "hist_days"
 SEX_NAMES = {0: "female", 1: "male", -1: "unknown"}  # fixed values
 
 Keep = Callable[[str, DataFrame], DataFrame]
@@ -38,11 +39,12 @@ def _as_is(name: str, df: DataFrame) -> DataFrame:
 
 
 class Inputs:
-    """What every family of one window reads: the counted log, its measure tables and the dimensions.
+    """What every family of one window reads: the daily cube, its measure tables and the dimensions.
 
-    Everything is built on first use. ``keep`` may write each measure table and return the written copy, so
-    that all seven families share one pass over the log; the default leaves everything lazy, which suits a
-    single family. ``cart`` selects the variant with the cart action and without the 10-day range.
+    Everything is built on first use. The cube is always written, so that no family scans the log again; it may be
+    given, and then serves many windows. ``keep`` may write each measure table and return the written copy, so that all
+    seven families share them; the default leaves them lazy, which suits a single family. ``cart`` selects the variant
+    with the cart action and without the 10-day range.
     """
 
     def __init__(
@@ -53,26 +55,32 @@ class Inputs:
         cart: bool = False,
         keep: Keep = _as_is,
         log: DataFrame | None = None,
+        cube: DataFrame | None = None,
     ):
-        self.tables, self.vocabulary, self.cart, self.keep = tables, vocabulary, cart, keep
-        self._window, self._log = window, log
+        self.tables, self.spec, self.vocabulary, self.cart, self.keep = tables, window, vocabulary, cart, keep
+        self._log, self._cube = log, cube
 
     @property
     def ranges(self) -> tuple[int, ...]:
         return (1, 3, 5, 7) if self.cart else (1, 3, 5, 7, 10)
 
-    @cached_property
-    def spec(self) -> WindowSpec:
-        rows = self.tables.actions if self._log is None else self._log
-        return with_history(rows, self._window)
-
     @cached_property
     def log(self) -> DataFrame:
         return counted_log(self.tables.actions, self.tables.products) if self._log is None else self._log
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        if self._cube is not None:
+            return self._cube
+        cube = daily_cube(history_rows(self.log, self.spec))
+        if self.keep is not _as_is:
+            return self.keep("cube", cube)
+        spark = cube.sparkSession
+        return materialize(spark, new_folder(spark, "cube"), lambda: cube)
+
     @cached_property
     def ucs(self) -> DataFrame:
-        return self.keep("measures_ucs", measure_log(self.log, self.spec, group_rows=self.triple_rows))
+        return self.keep("measures_ucs", measure_triples(self.cube, self.spec))
 
     @cached_property
     def uc(self) -> DataFrame:
@@ -82,32 +90,21 @@ class Inputs:
     def us(self) -> DataFrame:
         return self.keep("measures_us", roll_up(self.ucs, self.spec, US))
 
+    @cached_property
+    def words(self) -> dict[str, DataFrame]:
+        """Day words of (user, category), (user, shop) and user, over all days of the cube."""
+        found = {name: self.keep(f"days_{name}", day_words(self.cube, KEYS[name])) for name in ("uc", "us")}
+        return {**found, "u": self.keep("days_u", roll_words(found["uc"], KEYS["u"]))}
+
     @cached_property
     def product_comments(self) -> DataFrame:
         """Weighted comment counts per product, from which the category and the shop family are summed."""
-        return self.keep("product_comments", catalog.product_comments(self.log, self.tables.comments, self.spec))
+        return self.keep("product_comments", catalog.product_comments(self.cube, self.tables.comments, self.spec))
 
     @cached_property
-    def catalogue(self) -> tuple[int, int]:
-        """(category, shop) pairs in the catalogue, and the most products of one pair."""
-        pairs = self.tables.products.groupBy(*CS).agg(F.count("*").alias("products"))
-        row = pairs.agg(F.count("*"), F.max("products")).first()
-        return row[0], row[1] or 0
-
-    @property
     def pairs(self) -> int:
         """Upper bound on the keys one user (or shop) can have: the pairs the catalogue offers."""
-        return self.catalogue[0]
-
-    @property
-    def triple_rows(self) -> int | None:
-        """Upper bound on the counted rows of one triple: products times days times action codes.
-
-        Only with the four declared action columns, which are then the key of a counted row.
-        """
-        if set(self.tables.actions.columns) != set(ACTION.names):
-            return None
-        return self.catalogue[1] * self.spec.history_days * ACTION_CODES
+        return self.tables.products.select(*CS).distinct().count()
 
 
 def fit_vocabulary(users: DataFrame, max_levels: int = 1000) -> dict[str, list]:
@@ -372,10 +369,9 @@ def _build(x: Inputs, name: str, only: list[str] | None) -> DataFrame:
         if only is None or block_name in only:
             columns.update(exprs)
     rows = ROWS[name](x)
-    # Distinct days of the whole history, only where a wanted column uses them.
-    for days, code in ((B.ORDER_DAYS, ORDER), (HISTORY_DAYS, None)):
-        if any(days in expr for expr in columns.values()):
-            rows = left_lookup(rows, day_counts(x.log, x.spec, keys, days, code), keys, {days: 0})
+    # Distinct days of the whole history, only where a wanted column uses them; triples have theirs.
+    if name != "ucs" and any(days in expr for expr in columns.values() for days in (ORDER_DAYS, HISTORY_DAYS)):
+        rows = left_lookup(rows, count_days(x.words[name], x.spec, keys), keys, {ORDER_DAYS: 0, HISTORY_DAYS: 0})
     table = rows.selectExpr(*keys, *named(columns))
     for block_name, lookup in LOOKUPS[name].items():
         if only is None or block_name in only:
@@ -393,7 +389,7 @@ def all_families(x: Inputs, parallel: int = 3) -> dict[str, DataFrame]:
     that follow use that clustering, so their wide rows are neither written nor shuffled again.
     """
     small = ("c", "s", "cs")
-    x.ucs, x.catalogue, x.product_comments  # shared, so they are built before any thread asks for them
+    x.ucs, x.pairs, x.product_comments, x.words  # shared, so they are built before any thread asks for them
     with ThreadPoolExecutor(parallel) as pool:
         list(pool.map(lambda build: build(), (lambda: x.uc, lambda: x.us)))
         kept = dict(zip(small, pool.map(lambda name: x.keep(f"features_{name}", family(x, name)), small)))

@@ -1,4 +1,4 @@
-"""Candidates and labels per window."""
+"""Candidates and labels per window, from the log or from the daily cube: both have a row of every triple and day."""
 
 from __future__ import annotations
 
@@ -17,9 +17,9 @@ def _candidate(spec: WindowSpec) -> Column:
     return F.col("action_time").between(F.lit(spec.start), F.lit(spec.end))
 
 
-def _bought(spec: WindowSpec) -> Column:
+def _bought(log: DataFrame, spec: WindowSpec) -> Column:
     inside = F.col("action_time").between(F.lit(spec.label_start), F.lit(spec.label_end))
-    return inside & (F.col("type") == ORDER)
+    return inside & (F.col(f"n{ORDER}") > 0 if f"n{ORDER}" in log.columns else F.col("type") == ORDER)
 
 
 def train_labels(log: DataFrame, spec: WindowSpec) -> DataFrame:
@@ -29,7 +29,7 @@ def train_labels(log: DataFrame, spec: WindowSpec) -> DataFrame:
     """
     days = F.col("action_time").between(F.lit(spec.start), F.lit(spec.label_end))
     flags = log.where(days).groupBy(*UCS).agg(
-        F.bool_or(_candidate(spec)).alias("_seen"), F.bool_or(_bought(spec)).alias("_bought")
+        F.bool_or(_candidate(spec)).alias("_seen"), F.bool_or(_bought(log, spec)).alias("_bought")
     )
     return flags.where("_seen").select(*UCS, F.col("_bought").cast("int").alias("label"))
 
@@ -41,7 +41,7 @@ def scoring_candidates(log: DataFrame, spec: WindowSpec) -> DataFrame:
 
 def bought_triples(log: DataFrame, spec: WindowSpec) -> DataFrame:
     """Distinct triples ordered in the label days: the truth of a hold-out window."""
-    return log.where(_bought(spec)).select(*UCS).distinct()
+    return log.where(_bought(log, spec)).select(*UCS).distinct()
 
 
 def all_windows(log: DataFrame, training: Mapping[str, WindowSpec], scoring: Mapping[str, WindowSpec]) -> DataFrame:
@@ -56,7 +56,7 @@ def all_windows(log: DataFrame, training: Mapping[str, WindowSpec], scoring: Map
     for name, spec in specs.items():
         flags.append(F.bool_or(_candidate(spec)).alias(f"_seen_{name}"))
         if name in training:
-            flags.append(F.bool_or(_bought(spec)).alias(f"_bought_{name}"))
+            flags.append(F.bool_or(_bought(log, spec)).alias(f"_bought_{name}"))
     per_triple = (
         log.where(F.col("action_time").between(F.lit(first), F.lit(last))).groupBy(*UCS).agg(*flags)
     )

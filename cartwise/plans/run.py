@@ -9,19 +9,20 @@ import argparse
 import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.operators.clean import MARKET_BOUNDS, SHOP_REG_BOUNDS, USER_REG_BOUNDS, clean_tables
+from cartwise.operators.cube import kept_cube
 from cartwise.operators.log import counted_log
 from cartwise.operators.windows import PUBLISHED_ENDS, WindowSpec
 from cartwise.plans import dataset, labels, model, vote
 from cartwise.plans.families import Inputs, all_families, fit_vocabulary
 from cartwise.session import build_session
-from cartwise.sources.tables import Tables, materialize, read_tables, state_of, write_csv
+from cartwise.sources.tables import Tables, materialize, read_tables, state_of, table_path, write_csv
 
 # Window sets and the sets each model is trained on: fixed values.
 CART_SETS = ("a", "a_test")
@@ -44,10 +45,14 @@ class Plan:
 class Run:
     """Tables of one run below a shared folder.
 
-    A table that is already there is read, not rebuilt, if it was made from the same inputs and the same plan.
+    A table that is already there is read, not rebuilt, if it was made from the same inputs, plan and code. The log is
+    scanned once, for the daily cube; ``new_days`` says that since the last run in this folder only those days of the log have
+    changed, and then only they are scanned.
     """
 
-    def __init__(self, spark: SparkSession, raw: Tables, folder: str, plan: Plan = Plan()):
+    def __init__(
+        self, spark: SparkSession, raw: Tables, folder: str, plan: Plan = Plan(), new_days: Sequence[dt.date] | None = None
+    ):
         self.spark, self.folder, self.plan = spark, folder.rstrip("/"), plan
         inputs = {name: state_of(getattr(raw, name)) for name in ("actions", "users", "shops", "products", "comments")}
         self.manifest = json.dumps({"inputs": inputs, "plan": repr(plan)})
@@ -59,32 +64,25 @@ class Run:
             products=self.keep("products", cleaned.products),
             comments=cleaned.comments,
         )
-        # Rebalancing gathers a day's rows, so that a day has few files, and splits a busy day over tasks.
-        self.log = materialize(
-            spark, f"{self.folder}/log",
-            lambda: counted_log(self.tables.actions, self.tables.products).hint("rebalance", "action_time"),
-            partition_by="action_time", manifest=self.manifest,
-        )
+        log = counted_log(self.tables.actions, self.tables.products)
+        state = table_path("cube", json.dumps([inputs["actions"], inputs["products"]]))
+        # Days can be replaced only if the products that give them category and shop are the same.
+        products = table_path(f"{self.folder}/by-products", inputs["products"])
+        self.cube = kept_cube(spark, products, log, state, new_days)
         self.vocabulary = fit_vocabulary(self.tables.users)
         self._inputs: dict[str, Inputs] = {}
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         return materialize(self.spark, f"{self.folder}/{name}", lambda: df, manifest=self.manifest)
 
-    @cached_property
-    def first_day(self) -> dt.date | None:
-        return self.log.agg(F.min("action_time")).first()[0]
-
     def spec(self, name: str) -> WindowSpec:
-        spec = WindowSpec(self.plan.ends["test" if name == "a_test" else name])
-        known = self.first_day is not None and self.first_day <= spec.end
-        return replace(spec, history_start=self.first_day if known else spec.start)
+        return WindowSpec(self.plan.ends["test" if name == "a_test" else name])
 
     @cached_property
     def labels(self) -> DataFrame:
-        """Candidates and labels of every window set, from one pass over the log."""
+        """Candidates and labels of every window set, from one pass over the cube."""
         training = {name: self.spec(name) for name in self.plan.ends if name != "test"}
-        return self.keep("labels", labels.all_windows(self.log, training, {"test": self.spec("test")}))
+        return self.keep("labels", labels.all_windows(self.cube.where("by_product = 0"), training, {"test": self.spec("test")}))
 
     def inputs(self, name: str) -> Inputs:
         """Inputs of a window set; sets that end on the same day share their measure tables."""
@@ -92,11 +90,13 @@ class Run:
             spec = self.spec(name)
 
             def keep(table: str, df: DataFrame) -> DataFrame:
+                if table.startswith("days_"):  # of all days, for every window
+                    return self.keep(table, df)
                 by_end = table.startswith("measures_") or table == "product_comments"
                 part = f"end={spec.end}" if by_end else f"set={name}"
                 return self.keep(f"{part}/{table}", df)
 
-            self._inputs[name] = Inputs(self.tables, spec, self.vocabulary, name in CART_SETS, keep, self.log)
+            self._inputs[name] = Inputs(self.tables, spec, self.vocabulary, name in CART_SETS, keep, cube=self.cube)
         return self._inputs[name]
 
     def assembled(self, name: str) -> DataFrame:

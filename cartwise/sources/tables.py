@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+import cartwise
 from cartwise.sources.schemas import SCHEMAS
 
 
@@ -69,28 +72,43 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, dateFormat="yyyy-MM-dd")
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it lies in, as Spark resolves them."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _finished(spark: SparkSession, path: str) -> bool:
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+    marker, store = hadoop_path(spark, f"{path}/_SUCCESS")
+    return store.exists(marker)
 
 
-def has_table(spark: SparkSession, path: str, manifest: str | None = None) -> bool:
-    """True if a finished table lies at ``path`` (the committer leaves _SUCCESS last) and was built for the manifest."""
-    if not _finished(spark, path):
-        return False
+@cache
+def code_version() -> str:
+    """A hash of the code that makes tables: this package without the training-data operators."""
+    root = Path(cartwise.__file__).parent
+    sources = [p for p in sorted(root.rglob("*.py")) if p.relative_to(root).parts[0] != "llm"]
+    return hashlib.sha256(b"\0".join(p.read_bytes() for p in sources)).hexdigest()
+
+
+def table_path(path: str, manifest: str | None = None) -> str:
+    """Where a table made of ``manifest`` lies: a folder of ``path`` that its hash and the code's name, or ``path`` without one."""
     if manifest is None:
-        return True
-    beside = f"{path}.manifest"
-    return _finished(spark, beside) and [r[0] for r in spark.read.text(beside).collect()] == [manifest]
+        return path
+    return f"{path}/made-of-{hashlib.sha256(f'{code_version()} {manifest}'.encode()).hexdigest()[:24]}"
+
+
+def has_table(spark: SparkSession, path: str, manifest: str | None = None) -> bool:
+    """True if a finished table for the manifest lies at ``path``; the committer leaves _SUCCESS last."""
+    return _finished(spark, table_path(path, manifest))
 
 
 def state_of(df: DataFrame) -> str:
     """What ``df`` reads: its files with sizes and times, or the plan's hash if it reads none."""
-    sc = df.sparkSession.sparkContext
     files = []
     for name in sorted(df.inputFiles()):
-        path = sc._jvm.org.apache.hadoop.fs.Path(name)
-        status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
+        path, store = hadoop_path(df.sparkSession, name)
+        status = store.getFileStatus(path)
         files.append(f"{name} {status.getLen()} {status.getModificationTime()}")
     return hashlib.sha256("\n".join(files).encode()).hexdigest() if files else str(df.semanticHash())
 
@@ -101,17 +119,17 @@ def materialize(
 ) -> DataFrame:
     """Read the table at ``path`` if a finished one is there, else compute and write it first.
 
-    ``manifest`` says what the table is made of (inputs and parameters, one line). It is written beside the table, after
-    it, and a table with another one is built again. The written table cuts the lineage, so a lost
-    executor costs only the running stage.
+    ``manifest`` says what the table is made of (inputs and parameters). Tables of different manifests, or made by
+    different code, lie in different folders, and a folder counts only with the committer's marker: whenever a job is
+    killed, no folder holds the rows of another manifest, and a table once made is there when its inputs come back. The
+    written table cuts the lineage, so a lost executor costs only the running stage.
     """
-    if not has_table(spark, path, manifest):
-        df = compute()
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        if manifest is not None:
-            spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.manifest")
-        return spark.read.schema(df.schema).parquet(path)
-    return spark.read.parquet(path)
+    found = table_path(path, manifest)
+    if _finished(spark, found):
+        return spark.read.parquet(found)
+    df = compute()
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(found)
+    return spark.read.schema(df.schema).parquet(found)

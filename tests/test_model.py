@@ -91,7 +91,7 @@ def test_whole_job(spark):
     voted = run.predictions()
     candidates = run.assembled("test").select(*UCS)
     assert voted.count() > 0 and voted.exceptAll(candidates).count() == 0
-    assert has_table(spark, f"{folder}/scores=23")
+    assert has_table(spark, f"{folder}/scores=23", run.manifest)
     assert "ucs_b5_count_in_1" in run.assembled("a").columns
     assert "ucs_b5_count_in_1" not in run.assembled("3").columns
     again = Run(spark, raw, folder, plan)

@@ -1,16 +1,20 @@
 """Properties that hold for any log, on the test tables and on skewed ones."""
 
 import datetime as dt
+from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import joins, measures, ranks
+from cartwise.operators import cube, joins, measures, ranks
 from cartwise.operators.log import action_log, counted_log
 from cartwise.operators.windows import WindowSpec
 from cartwise.plans import dataset, families, labels
+from cartwise.plans.run import Plan, Run
+from cartwise.session import new_folder
 from cartwise.sources import fixtures as X
-from cartwise.sources.tables import Tables
+from cartwise.sources.tables import Tables, materialize
 from checks import spark_queries
 from tests.conftest import SF
 
@@ -112,28 +116,93 @@ def test_skewed_log_by_brute_force(spark):
     assert ((orders / known.clip(lower=1)) - uc.uc_b2_rate).abs().max() < 1e-12
 
 
-def test_both_ways_to_aggregate_the_log_agree(spark):
+def test_the_cube_adds_up_to_the_log(spark):
+    """Measures and distinct days of a skewed log from its cube, against plain aggregates over the log."""
     actions, products = skewed(spark)
     log = counted_log(actions, products)
-    spec = WindowSpec(dt.date(2018, 3, 25), history_start=dt.date(2018, 3, 1))
-    clustered = measures.measure_log(log, spec, group_rows=10)
-    combined = measures.measure_log(log, spec, group_rows=measures.MAX_KEY_ROWS + 1)
-    assert "REPARTITION_BY_COL" in plan(clustered) and "REPARTITION_BY_COL" not in plan(combined)
-    assert clustered.exceptAll(combined).count() == 0 and combined.exceptAll(clustered).count() == 0
+    spec = WindowSpec(dt.date(2018, 3, 20), history_start=dt.date(2018, 3, 8))
+    found = cube.daily_cube(log)
+    assert found.where("by_product = 0").agg(F.sum("n")).first()[0] == 30_000 == found.where("by_product = 1").agg(F.sum("n")).first()[0]
+    assert found.where("by_product = 0 AND user_id = 1 AND cate = 1 AND shop_id = 1").count() <= 20  # of 10,000 actions
+    rows = log.where(F.col("action_time").between(spec.history_start, spec.end))
+    plain = rows.groupBy(*families.UCS).agg(
+        F.expr("sum(if(type = 2 AND action_time > DATE'2018-03-13', n, 0L)) AS n2_7"),
+        F.expr("count_if(type = 4) AS d4_hist"), F.expr("max(if(type = 2, action_time, NULL)) AS order_last"),
+        F.expr("count(DISTINCT action_time) AS hist_days"),
+        F.expr("count(DISTINCT if(type = 2, action_time, NULL)) AS order_days"),
+    )
+    made = measures.measure_triples(found, spec).select(plain.columns)
+    assert made.exceptAll(plain).count() == 0 and plain.exceptAll(made).count() == 0
+    words = measures.day_words(found, families.UC)
+    for keys, table in ((families.UC, words), (["user_id"], measures.roll_words(words, ["user_id"]))):
+        plain = rows.groupBy(*keys).agg(
+            F.expr("count(DISTINCT if(type = 2, action_time, NULL)) AS order_days"),
+            F.expr("count(DISTINCT action_time) AS hist_days"),
+        )
+        made = measures.count_days(table, spec, keys).where("hist_days > 0")  # other days of a word may be all it has
+        assert made.exceptAll(plain).count() == 0 and plain.exceptAll(made).count() == 0
+
+
+def test_day_words_are_cut_at_any_day(spark):
+    first = dt.date(1969, 10, 1)  # words before 1970 have negative numbers
+    days = [(1, 2, 3, first + dt.timedelta(days=i), 0, 1) for i in range(0, 400, 3)]
+    table = spark.createDataFrame(days, "user_id int, cate int, shop_id int, action_time date, by_product int, n2 long")
+    words = measures.day_words(table, families.UC)
+    assert words.count() == 7  # 400 days touch seven words of 64
+    for low, high in ((None, 70), (5, 64), (63, 127), (92, 93), (91, 92), (0, 399), (300, 200)):
+        start = None if low is None else first + dt.timedelta(days=low)
+        spec = WindowSpec(first + dt.timedelta(days=high), history_start=start)
+        expected = sum((low or 0) <= i <= high for i in range(0, 400, 3))
+        got = measures.count_days(words, spec, families.UC).collect()
+        assert sum(r.order_days for r in got) == sum(r.hist_days for r in got) == expected
+
+
+def test_single_days_of_a_cube_are_replaced(spark):
+    actions, products = skewed(spark, 3000)
+    log = counted_log(actions, products).withColumn("n", F.col("n"))
+    folder, gone, new = new_folder(spark, "cubes"), dt.date(2018, 3, 10), dt.date(2018, 3, 26)
+    cube.kept_cube(spark, folder, log, "first")
 
+    def files():
+        return {str(p) for p in Path(folder, "cube").rglob("part-*")}
 
-def test_extra_action_columns_leave_the_bound_open(spark):
-    actions, products = skewed(spark, 3000)
-    spec = WindowSpec(dt.date(2018, 3, 25))
-    plain = families.Inputs(Tables(actions, None, None, products, None), spec, {})
-    wider = families.Inputs(
-        Tables(actions.withColumn("place", F.pmod(F.xxhash64("sku_id"), F.lit(2))), None, None, products, None),
-        spec, {},
+    old = files()
+    later = log.where(F.col("action_time") != F.lit(gone)).unionByName(
+        log.where("action_time = DATE'2018-03-11'").withColumn("action_time", F.lit(new))
     )
-    assert plain.triple_rows == 14 * 20 * 5 and wider.triple_rows is None
-    for name in ("uc", "cs"):
-        one, two = (families.block(x, name, "conversion") for x in (plain, wider))
-        assert one.exceptAll(two).count() == 0
+    kept = cube.kept_cube(spark, folder, later, "second", [gone, new])
+    whole = cube.daily_cube(later)
+    assert kept.select(whole.columns).exceptAll(whole).count() == 0 and whole.exceptAll(kept.select(whole.columns)).count() == 0
+    lost = old - files()
+    assert lost and all(str(gone) in f for f in lost)  # only that day's files went, and only the new day's came
+    assert files() - old and all(str(new) in f for f in files() - old)
+    assert cube.kept_cube(spark, folder, later.limit(0), "second").count() == kept.count()  # read, not built
+    for marker in Path(folder, "cube-state").iterdir():  # as a job killed on the way leaves it
+        marker.rmdir()
+    assert cube.kept_cube(spark, folder, log, "third", [new]).count() == cube.daily_cube(log).count()  # built in full
+
+
+def test_the_job_scans_the_log_once(spark):
+    raw, scanned = X.raw_tables(spark, SF), spark.sparkContext.accumulator(0)
+    path = new_folder(spark, "actions")
+    raw.actions.write.parquet(path)
+    n = raw.actions.count()
+
+    def seen(user_id):
+        scanned.add(1)
+        return user_id
+
+    count = F.udf(seen, "long").asNondeterministic()
+    stored = spark.read.parquet(path)
+    actions = stored.withColumn("user_id", count("user_id")).select(stored.columns)
+    ends = {"1": dt.date(2024, 1, 9), "2": dt.date(2024, 1, 16), "a": dt.date(2024, 1, 23), "test": dt.date(2024, 1, 30)}
+    plan_ = Plan(ends=ends, user_bounds=X.USER_REG_BOUNDS, shop_bounds=X.SHOP_REG_BOUNDS, market_bounds=X.MARKET_BOUNDS)
+    run = Run(spark, replace(raw, actions=actions), new_folder(spark, "job"), plan_)
+    for name in ("1", "2", "a", "test", "a_test"):
+        assert run.assembled(name).count() > 0
+    assert scanned.value == n
+    one = spark_queries.training_set(spark, SF, WindowSpec(ends["1"]))
+    assert run.assembled("1").select(one.columns).exceptAll(one).count() == 0
 
 
 def test_both_rank_paths_agree(spark):
@@ -142,7 +211,8 @@ def test_both_rank_paths_agree(spark):
         F.count("*").alias("n"), F.count_if(F.col("type") == 2).alias("orders")
     )
     nowhere = counts.limit(30).withColumn("user_id", F.lit(None).cast("long"))
-    counts = counts.unionByName(nowhere)  # null parents: no path ranks them
+    counts_ = counts.unionByName(nowhere)  # null parents: no path ranks them
+    counts = materialize(spark, new_folder(spark, "counts"), lambda: counts_)
     wanted = {"by_rows": "n", "by_orders": "if(orders > 0, orders, NULL)"}
     windowed = ranks.dense_rank_in_parent(counts, ["user_id"], wanted, group_rows=10)
     joined = ranks.dense_rank_in_parent(counts, ["user_id"], wanted, group_rows=ranks.MAX_GROUP_ROWS + 1)
@@ -152,7 +222,17 @@ def test_both_rank_paths_agree(spark):
     assert windowed.exceptAll(joined).count() == 0
     assert windowed.exceptAll(unbounded.select(windowed.columns)).count() == 0
     assert {r.by_rows for r in windowed.where("user_id IS NULL").collect()} == {ranks.ABSENT_RANK}
-    assert "Window" not in plan(windowed)
+    for table in (windowed, unbounded):  # beyond the bound, narrow rows of parent and counts are ranked, and one join follows
+        text = plan(table)
+        assert text.count("Join") == 1
+        assert not [line for line in text.split("\n") if "Sort [" in line and (" n#" in line or " orders#" in line)]
+
+
+def test_a_parent_of_a_million_keys(spark):
+    keys = spark.range(1_000_000).selectExpr("7L AS user_id", "id AS cate", "id DIV 3 AS n", "if(id % 2 = 0, id DIV 5, NULL) AS m")
+    ranked = ranks.dense_rank_in_parent(keys, ["user_id"], {"by_n": "n", "by_m": "m"})
+    wrong = ranked.where("by_n != 333334 - n OR by_m != if(m IS NULL, 1000, 200000 - m)")
+    assert ranked.count() == 1_000_000 and wrong.count() == 0
 
 
 def test_large_lookups_are_not_broadcast(spark):
@@ -210,10 +290,11 @@ def test_a_block_reads_only_its_measures(spark):
     assert text.count("bit_or(") == 1 and "count_if" not in text and "Window" not in text
 
 
-def test_one_scan_of_the_log_per_family(spark):
+def test_families_read_the_cube_and_not_the_log(spark):
     x = spark_queries.inputs(spark, SF)
-    text = plan(families.block(x, "uc", "counts"))
-    assert text.count("events.parquet") <= 1
+    for name in families.KEYS:
+        text = plan(families.family(x, name))
+        assert "action_time" in text and text.count("ReadSchema: struct<ts") == (name in ("c", "s"))  # the comment table
 
 
 def test_no_python_in_any_plan(spark):

@@ -59,6 +59,31 @@ def test_materialize_builds_again_for_another_manifest(spark):
     for n, manifest in ((3, "a"), (4, "a"), (5, "b"), (6, "b")):
         table = tables.materialize(spark, path, lambda: build(n), manifest=manifest)
     assert calls == [3, 5] and table.count() == 5
+    assert tables.materialize(spark, path, lambda: build(7), manifest="a").count() == 3  # still there
+
+
+def test_a_killed_rebuild_mixes_no_plans(spark):
+    path = new_folder(spark, "killed")
+    tables.materialize(spark, path, lambda: spark.range(3), manifest="a")
+
+    @F.udf("long")
+    def fail(i):
+        if i > 90:
+            raise RuntimeError("killed")
+        return i
+
+    with pytest.raises(Exception, match="killed"):
+        tables.materialize(spark, path, lambda: spark.range(0, 99, 1, 9).select(fail("id").alias("id")), manifest="b")
+    assert not tables.has_table(spark, path, "b")
+    assert tables.materialize(spark, path, lambda: spark.range(5), manifest="a").count() == 3
+    assert tables.materialize(spark, path, lambda: spark.range(99), manifest="b").count() == 99
+
+
+def test_other_code_makes_other_tables(spark, monkeypatch):
+    here = tables.table_path("t", "a")
+    assert here == tables.table_path("t", "a") != tables.table_path("t", "b")
+    monkeypatch.setattr(tables, "code_version", lambda: "next")
+    assert tables.table_path("t", "a") != here
 
 
 def test_the_state_of_a_table_follows_its_files(spark):
