@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import BROADCAST_ROWS, ascii_lower, broadcast_if_small, quoted, without, written
+from cartwise.llm.shared import BROADCAST_ROWS, ascii_lower, broadcast_if_small, carried, written
 
 #: Characters between words: ASCII other than digits and lower-case letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -118,7 +118,7 @@ def _verified(docs: DataFrame, candidates: DataFrame, texts: DataFrame) -> DataF
     ids = candidates.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own"))
     if ids.count() <= BROADCAST_ROWS:  # few: only their texts are split and moved
         docs = docs.join(
-            F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own")), "left_semi"
+            F.broadcast(ids), docs["doc_id"].eqNullSafe(ids["__id"]) & (F.xxhash64(docs["text"]) == ids["__own"]), "left_semi"
         )
     rows = _documents(docs).alias("d").join(
         candidates.alias("c"),
@@ -170,15 +170,15 @@ def mark(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 2
     """``docs`` with n_words, n_hit, n_items, item_ids and contaminated (``share`` x n_hit >= n_words, n_hit > 0)."""
     found = written(hits(docs, benchmark, window), "hits")
     rows = docs.select(
-        *(quoted(c) for c in without(docs, *RESULTS)), F.xxhash64("text").alias("__hash"),
+        carried(docs, *RESULTS), "doc_id", F.xxhash64("text").alias("hash"),
         F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
     )
-    right = found.drop("n_words").withColumnsRenamed({"doc_id": "__id", "text_hash": "__own"})
-    joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__own")), "left")
+    right = found.drop("n_words").withColumnsRenamed({"doc_id": "hit_id"})
+    joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("text_hash")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(
-        *(quoted(c) for c in without(docs, *RESULTS)), "n_words", n_hit.alias("n_hit"),
+        "row.*", "n_words", n_hit.alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
@@ -189,7 +189,6 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
     dirty = hits(docs, benchmark, window).where(share * F.col("n_hit") >= F.col("n_words")).select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__own")
     )
-    return docs.join(
-        broadcast_if_small(written(dirty, "contaminated")),
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own")), "left_anti",
-    )
+    dirty = written(dirty, "contaminated")
+    same = docs["doc_id"].eqNullSafe(dirty["__id"]) & (F.xxhash64(docs["text"]) == dirty["__own"])
+    return docs.join(broadcast_if_small(dirty), same, "left_anti")

@@ -6,6 +6,10 @@ nearest and its rank there. A query fetches the files of its own nearest pivots,
 footrule distance of the two orders (a pivot that one side lacks counts as standing just after its last). The best
 ``share`` of a block is reranked by the exact inner product in double precision.
 
+A pivot's place in an order says nothing about a vector's length, but the inner product does. So for the pivots all vectors
+are evened: one more component brings each to the length of the longest, and queries get a zero there, which leaves
+their products as they are. Then the largest product is the smallest angle, which the orders of pivots follow.
+
 The stated queries meet the index in blocks: a task holds one block of vectors and one of queries, both of
 bounded size; block numbers grow with the tables. Hashed ids keep blocks even, so equal vectors make no hot block.
 
@@ -13,8 +17,8 @@ The share is a fraction of every block at any size, all that tie with its last a
 order of pivots), and no candidate list is capped by a number. Vectors that
 share no pivot with a query are not found; if fewer than ``k`` of a block share one, the whole block is reranked.
 
-Defined results: a null id or vector, a zero vector, null or non-finite components, and another length than that of the
-smallest id's vector take no part. Of rows that repeat an id, the smallest vector stands. Equal scores go to the
+Defined results: a null id or vector, a zero vector, null or non-finite components, and another number of components than
+the most frequent one (the largest of several) take no part. Of rows that repeat an id, the smallest vector stands. Equal scores go to the
 smaller id. Extra columns are not read; an empty table gives no rows.
 """
 
@@ -44,15 +48,29 @@ def usable(vectors: DataFrame) -> DataFrame:
     rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).select("vec_id", v.alias("embedding"))
     rows = rows.where(fine).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = written(rows, "vectors")
-    first = rows.agg(F.min(F.struct("vec_id", F.size("embedding").alias("n")))["n"]).first()[0]
-    return rows.where(F.size("embedding") == (first or 0))
+    common = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
+    return rows.where(F.size("embedding") == (common[0]["n"] if common else 0))
+
+
+def longest_of(rows: DataFrame) -> float:
+    """Length of the longest vector."""
+    length = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x))
+    return rows.agg(F.max(length)).first()[0] or 0.0
+
+
+def evened(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors with one more component that brings all of them to the length of the longest."""
+    rest = np.maximum(longest * longest - np.einsum("ij,ij->i", vectors, vectors), 0)
+    return np.concatenate([vectors, np.sqrt(rest)[:, None]], axis=1)
 
 
-def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray:
-    """``n`` vectors of the smallest hash of their id, at length one: a sample of fixed size."""
+def choose_pivots(rows: DataFrame, n: int = PIVOTS, longest: float | None = None) -> np.ndarray:
+    """``n`` vectors of the smallest hash of their id, evened and at length one: a sample of fixed size."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).select("embedding").collect()
-    pivots = np.array([r[0] for r in sample], np.float64)
-    return pivots / np.linalg.norm(pivots, axis=1, keepdims=True) if len(pivots) else pivots
+    if not sample:
+        return np.empty((0, 0))
+    pivots = evened(np.array([r[0] for r in sample], np.float64), longest_of(rows) if longest is None else longest)
+    return pivots / np.linalg.norm(pivots, axis=1, keepdims=True)
 
 
 def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
@@ -62,18 +80,18 @@ def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, nearest: int) -> np.
 
 def search_block(
     ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, pivots: np.ndarray,
-    nearest: int, share: float, k: int,
+    nearest: int, share: float, k: int, longest: float,
 ) -> pd.DataFrame:
     """The best ``k`` of one block for each query, by the method above."""
     nearest = min(nearest, len(pivots))
-    ranks = nearest_pivots(vectors, pivots, nearest)
+    ranks = nearest_pivots(evened(vectors, longest), pivots, nearest)
     files = []  # per pivot: the vectors posted there, and their ranks
     for p in range(len(pivots)):
         rows, rank = np.nonzero(ranks == p)
         files.append((rows, rank.astype(np.int16)))
     budget = max(k + 1, int(np.ceil(share * len(ids))))
     out = []
-    for q, vector, own in zip(query_ids, queries, nearest_pivots(queries, pivots, nearest)):
+    for q, vector, own in zip(query_ids, queries, nearest_pivots(np.pad(queries, ((0, 0), (0, 1))), pivots, nearest)):
         # Footrule less its largest value: a shared pivot saves both absences and costs the difference of ranks.
         saved = np.zeros(len(ids), np.int16)
         for mine, p in enumerate(own):
@@ -86,7 +104,11 @@ def search_block(
             cut = -np.partition(-saved[found], budget - 1)[budget - 1]
             found = found[saved[found] >= cut]
         found = found[ids[found] != q]
-        scores = vectors[found] @ vector
+        rough = vectors[found] @ vector
+        if len(found) > k:  # what the last bits of a matrix product cannot bring among the best
+            found = found[rough >= -np.partition(-rough, k - 1)[k - 1] - 1e-9 * np.abs(rough).max()]
+        # Row by row in one order, so that equal vectors have equal scores wherever they stand.
+        scores = np.einsum("ij,j->i", vectors[found], vector)
         best = np.lexsort((ids[found], -scores))[:k]
         out.append((np.full(len(best), q), ids[found[best]], scores[best]))
     columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)]
@@ -100,7 +122,8 @@ def search(
     """The ``k`` nearest found for every id divisible by ``every``: query_id, rank, vec_id, score."""
     ship(vectors.sparkSession)
     rows = usable(vectors)
-    chosen = choose_pivots(rows, pivots)
+    longest = longest_of(rows)
+    chosen = choose_pivots(rows, pivots, longest)
     queries = rows.where(F.col("vec_id") % every == 0)
     n, m = (max(1, -(-t.count() // size)) for t, size in ((rows, block), (queries, query_block)))
 
@@ -118,7 +141,7 @@ def search(
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         return search_block(
             left["vec_id"].to_numpy(), np.stack(left["embedding"]), right["vec_id"].to_numpy(), np.stack(right["embedding"]),
-            chosen, nearest, share, k,
+            chosen, nearest, share, k, longest,
         )
 
     found = index.groupBy("block", "queries").cogroup(asked.groupBy("block", "queries")).applyInPandas(cell, FOUND)

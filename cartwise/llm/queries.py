@@ -37,8 +37,8 @@ def sha256(text: Column) -> Column:
 
 
 def held_out() -> Column:
-    """Documents whose labels are not learned from."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    """Documents whose labels are not learned from; a null id, which no label can be joined to, is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def learned_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

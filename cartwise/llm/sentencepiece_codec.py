@@ -31,7 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import quoted, ship, without
+from cartwise.llm.shared import carried, quoted, ship, without
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -323,9 +323,8 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", differing: bool
             )
 
     more = ["n_differing"] if differing else []
-    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", *more)]
-    return docs.select(*columns, of(quoted(text)).alias("__coded")).select(
-        *columns, "__coded.token_ids", F.size("__coded.token_ids").cast("long").alias("n_tokens"), *(f"__coded.{c}" for c in more)
+    return docs.select(carried(docs, "token_ids", "n_tokens", *more), of(quoted(text)).alias("coded")).select(
+        "row.*", "coded.token_ids", F.size("coded.token_ids").cast("long").alias("n_tokens"), *(f"coded.{c}" for c in more)
     )
 
 
@@ -364,8 +363,7 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text", differing:
             )
 
     more = ["n_differing"] if differing else []
-    columns = [quoted(c) for c in without(docs, "token_ids", "n_tokens", "same_text", *more)]
-    return docs.select(*columns, of(quoted(text)).alias("__coded")).select(
-        *columns, "__coded.token_ids", F.size("__coded.token_ids").cast("long").alias("n_tokens"), "__coded.same_text",
-        *(f"__coded.{c}" for c in more),
+    return docs.select(carried(docs, "token_ids", "n_tokens", "same_text", *more), of(quoted(text)).alias("coded")).select(
+        "row.*", "coded.token_ids", F.size("coded.token_ids").cast("long").alias("n_tokens"), "coded.same_text",
+        *(f"coded.{c}" for c in more),
     )

@@ -63,6 +63,11 @@ def without(df: DataFrame, *names: str) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def carried(df: DataFrame, *replaced: str) -> Column:
+    """The columns of ``df`` but for those replaced, as one struct ``row``, so that no helper column can clash with them."""
+    return F.struct(*(quoted(c) for c in without(df, *replaced))).alias("row")
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

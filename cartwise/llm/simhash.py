@@ -15,7 +15,7 @@ flipped value only if they are within the radius, a value gathers 65 at most, an
 Components come from alternating star contractions, whose edge tables are written in every round.
 
 Defined results: a null text has no words; no words give fingerprint zero, linked like any other. Rows that repeat a
-``doc_id`` each come back with the fingerprint of their own text. Null ids take no part in ``component_id``, which is null
+``doc_id`` each come back with the fingerprint of their own text; ``one_per_group`` keeps one row of a component whatever repeats. Null ids take no part in ``component_id``, which is null
 if all ids of a component are. Extra columns are not read; an empty table gives an empty one.
 """
 
@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import ship, written
+from cartwise.llm.shared import carried, ship, written
 
 BITS = 64
 BUCKET = 4_096
@@ -184,11 +184,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataF
 
 
 def one_per_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document of the smallest doc_id (a null one is the largest)."""
-    stays = _marked(docs, shingle, radius).groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("x")
-    ).select(F.col("x.doc_id").alias("__id"), F.col("x.text_hash").alias("__own"))
-    return docs.join(
-        written(stays, "kept_documents"),
-        F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__own")), "left_semi",
-    )
+    """The one row of each component that stays: that of the smallest doc_id (a null one is the largest).
+
+    Of rows that share this doc_id the one of the smaller text hash stays, and of rows that share the text as well the
+    smallest in order of its columns. Such repeated rows are reduced on the map side, so a row that is repeated very often
+    makes no hot task.
+    """
+    places = _marked(docs, shingle, radius).groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    stays = written(places.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows")).alias("x")
+    ).select("x.doc_id", "x.text_hash", "x.rows"), "kept_documents")
+
+    def of(these: DataFrame):
+        return docs["doc_id"].eqNullSafe(these["doc_id"]) & (F.xxhash64(docs["text"]) == these["text_hash"])
+
+    single, repeated = stays.where("rows = 1"), stays.where("rows > 1")
+    kept = docs.join(single, of(single), "left_semi")
+    if repeated.isEmpty():
+        return kept
+    copies = docs.join(repeated, of(repeated), "left_semi").select("doc_id", F.xxhash64("text").alias("hash"), carried(docs))
+    return kept.unionByName(copies.groupBy("doc_id", "hash").agg(F.min("row").alias("row")).select("row.*"))

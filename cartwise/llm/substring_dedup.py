@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwise.llm.shared import quoted, ship, without, written
+from cartwise.llm.shared import carried, ship, written
 
 GRAM = 4
 HOT_SHARE = 20_000
@@ -194,10 +194,12 @@ def _packer(window: int, buckets: int, hot: np.ndarray) -> Callable:
             id_of, own_of, start_of = ids[row], own[row], start
             for k, (a, b) in enumerate(zip(begin, end)):
                 string = data[a:b]
-                k0 = seen.setdefault(string, k)
-                if k0 != k and (id_of[k0], start_of[k0]) != (id_of[k], start_of[k]):
+                k0 = seen.get(string)
+                if k0 is not None and (id_of[k0], start_of[k0]) < (id_of[k], start_of[k]):
                     sent[k] = False  # an earlier copy covers all its windows
                 else:
+                    # Rows that share an id come in any order of their starts: what was sent before may start later.
+                    seen[string] = k
                     packed.append(string)
             strings = np.empty(len(packed), object)
             strings[:] = packed
@@ -379,12 +381,11 @@ def dedup_substrings(docs: DataFrame, window: int = 20, bucket_bytes: int = BUCK
 
     ``docs`` has ``doc_id`` (integer), ``text`` and any other columns.
     """
-    runs = covered_runs(docs, window, bucket_bytes).groupBy(F.col("doc_id").alias("__id"), F.col("own").alias("__text")).agg(
-        F.collect_list(F.struct("start", "count")).alias("__runs")
+    runs = covered_runs(docs, window, bucket_bytes).groupBy(F.col("doc_id").alias("id"), "own").agg(
+        F.collect_list(F.struct("start", "count")).alias("runs")
     )
-    columns = [quoted(c) for c in without(docs, *RESULTS)]
     rows = docs.select(
-        *columns, F.coalesce("doc_id", F.lit(_NULL_ID)).alias("__id"), F.hash("text").alias("__text")
-    ).join(runs, ["__id", "__text"], "left")
+        carried(docs, *RESULTS), F.coalesce("doc_id", F.lit(_NULL_ID)).alias("id"), F.hash("text").alias("own")
+    ).join(runs, ["id", "own"], "left")
     cut = F.pandas_udf(_cutter(window), "kept_text string, n_words bigint, n_removed bigint")
-    return rows.withColumn("__cut", cut("text", F.col("__runs.start"), F.col("__runs.count"))).select(*columns, "__cut.*")
+    return rows.select("row", cut("row.text", "runs.start", "runs.count").alias("cut")).select("row.*", "cut.*")

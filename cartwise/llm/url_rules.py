@@ -10,7 +10,7 @@ Equal (host, path) are judged once and joined back to the pages, where AQE split
 is broadcast only within a counted bound; beyond it tokens join it by shuffle.
 
 Defined results: a null url, or one without ``://``, has an empty host and path. Of fitting rules of one length, block
-wins, then the larger rule text. A rule's null host or path is an empty one; a rule with a null verdict is left out.
+wins, then the larger rule text. A rule's null host or path is an empty one, and its host has no case; a rule with a null verdict is left out.
 Repeated pages each come back. Columns named like the results are replaced; an empty table gives an empty one.
 """
 
@@ -49,10 +49,11 @@ def _url_tokens(host: Column, path: Column) -> Column:
 
 def _rule_rows(rules: DataFrame) -> DataFrame:
     """Rules with their text, regular expressions of host and path, and literal tokens."""
-    host, path = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
+    given, path = F.coalesce("host", F.lit("")), F.coalesce("path", F.lit(""))
+    host = ascii_lower(given)  # as that of a url
     pieces = F.split(path, "/", -1)
     rows = rules.where(F.col("verdict").isNotNull()).select(
-        F.concat(host, path).alias("rule"), "verdict",
+        F.concat(given, path).alias("rule"), "verdict",
         F.struct(
             F.concat(F.lit(r"(?s)^(?:.*\.)?"), _literal(host), F.lit(r"\z")).alias("host"),
             F.concat(F.lit("^"), _literal(path)).alias("path"),

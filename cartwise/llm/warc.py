@@ -12,7 +12,7 @@ breaks a rule raises. A task holds one record and the rows of its current batch.
 Defined results: a null html is an empty payload; a null url leaves the target header out. Control characters and spaces
 in urls are percent-encoded in the header and decoded when read. Rows with a null page_id have a record id without a
 number, and count as the smallest; rows that repeat page and payload are all of the same type. Extra columns are not
-archived; an empty table gives no records.
+archived; an empty table gives no records. The folder lies in the store in which Spark resolves it.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from cartwise.llm.shared import ship, written
 from cartwise.session import new_folder
+from cartwise.sources.tables import hadoop_path
 
 FILE_BYTES = 128_000_000
 CHUNK = 1 << 18
@@ -75,7 +76,7 @@ def make_record(page_id, url, payload: bytes, record_type: str, refers_to) -> by
 
 def _headers(data: bytes) -> tuple[str, dict[str, str]]:
     first, *lines = data.decode().split("\r\n")
-    return first, {k.lower(): v.strip() for k, v in (line.split(":", 1) for line in lines)}
+    return first, {k.lower(): v.strip(" \t") for k, v in (line.split(":", 1) for line in lines)}
 
 
 def parse_record(data: bytes) -> dict:
@@ -170,9 +171,24 @@ def _writer(folder: str):
     return write
 
 
+def store_uri(spark: SparkSession, folder: str) -> str:
+    """``folder`` as Spark resolves it, in the spelling of pyarrow, so that driver and executors mean the same store.
+
+    A path without a scheme lies in the cluster's default store, not on an executor's disk. A store that pyarrow does not know
+    is an error here and not in a task.
+    """
+    path, store = hadoop_path(spark, folder)
+    uri = path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString()
+    scheme, rest = uri.split(":", 1)
+    uri = f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme)}:{rest if rest.startswith('//') else '//' + rest}"
+    fs.FileSystem.from_uri(uri)
+    return uri
+
+
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
     """Write a record per row of ``pages`` below ``folder`` (any store that pyarrow knows); the manifest of the files."""
     ship(pages.sparkSession)
+    folder = store_uri(pages.sparkSession, folder)
     rows = classify(pages, min_bytes).select("page_id", "url", "payload", "record_type", "refers_to")
     return written(rows.mapInArrow(_writer(folder), "path string, records bigint, bytes bigint"), "warc_manifest")
 
@@ -205,6 +221,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, payload
                 yield flush(rows)
 
     ship(spark)
+    folder = store_uri(spark, folder)
     # A task for every few files: without a number the few manifest rows would end up in one task.
     return manifest.select("path", "records").repartition(max(1, min(manifest.count(), 20_000))).mapInArrow(read, RECORDS)
 
