@@ -84,7 +84,7 @@ def test_one_row_of_a_group_stays_whatever_repeats(spark):
 
 
 def test_urls_keep_their_white_space(spark, tmp_path):
-    urls = ["http://x/ ", "　http://y/", " http://z/ \t", " ", ""]
+    urls = ["http://x/\u00a0", "\u3000http://y/", " http://z/ \t", " ", ""]
     pages = spark.createDataFrame([(i, u, f"<{i}>") for i, u in enumerate(urls)], "page_id long, url string, html string")
     assert {r.page_id: r.url for r in warc.round_trip(pages, str(tmp_path / "a")).collect()} == dict(enumerate(urls))
 
