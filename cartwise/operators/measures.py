@@ -95,14 +95,17 @@ def measures(spec: WindowSpec) -> tuple[Measure, ...]:
     return tuple(found)
 
 
-def measure_triples(cube: DataFrame, spec: WindowSpec) -> DataFrame:
+def measure_triples(cube: DataFrame, spec: WindowSpec, by_user: int | None = None) -> DataFrame:
     """All measures per (user, category, shop) over the days up to the window end, and its distinct days.
 
     The rows of a triple are at most its days, so the narrow rows are clustered and aggregated where they land: measured at
     half the time, because partial results are several times wider than the rows they stand for. A triple has one row a
     day, so its distinct days are counts; one with a null key has none, as in the coarser keys, which find days by key.
+
+    ``by_user`` clusters by user into so many partitions instead, where the rows of a user are known to be few.
     """
-    rows = triple_days(cube, spec).repartition(*UCS)
+    rows = triple_days(cube, spec)
+    rows = rows.repartition(*UCS) if by_user is None else rows.repartition(by_user, "user_id")
     unknown = " OR ".join(f"{k} IS NULL" for k in UCS)
     days = {ORDER_DAYS: f"count_if(n{ORDER} > 0)", HISTORY_DAYS: "count(*)"}
     return rows.groupBy(*UCS).agg(
@@ -117,12 +120,16 @@ def roll_up(finer: DataFrame, spec: WindowSpec, keys: Sequence[str], *extra: str
     return finer.groupBy(*keys).agg(*merged, *[F.expr(e) for e in extra])
 
 
-def day_words(cube: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Day words of all days of the cube: keys, ``word``, and the days with an order and with any action as bits."""
+def day_words(cube: DataFrame, keys: Sequence[str], by_user: int | None = None) -> DataFrame:
+    """Day words of all days of the cube: keys, ``word``, and the days with an order and with any action as bits.
+
+    ``by_user`` as in :func:`measure_triples`.
+    """
     day = "unix_date(action_time)"
     rows = cube.where("by_product = 0").selectExpr(
         *keys, f"shiftright({day}, 6) AS word", f"shiftleft(1L, {day} & 63) AS any_bits", f"n{ORDER} > 0 AS ordered"
     )
+    rows = rows if by_user is None else rows.repartition(by_user, "user_id")
     return rows.groupBy(*keys, "word").agg(
         F.expr("bit_or(if(ordered, any_bits, 0L)) AS order_bits"), F.expr("bit_or(any_bits) AS any_bits")
     )

@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from cartwise.functions.scalars import named
 from cartwise.operators.joins import broadcast_if_small
 from cartwise.operators.measures import UCS
-from cartwise.plans.families import KEYS
-
-MAX_USER_ROWS = 200_000  # assembled rows of one user, about 2 KB each, that a single task may hold
+from cartwise.plans.families import KEYS, MAX_USER_ROWS
 
 # Order of the families in an assembled set.
 FAMILY_ORDER = ("u", "ucs", "c", "s", "uc", "us", "cs")
@@ -48,17 +46,18 @@ WEAK_COLUMNS = (
 
 
 def assemble(
-    candidates: DataFrame, families: Mapping[str, DataFrame], rows_per_user: int | None = None
+    candidates: DataFrame, families: Mapping[str, DataFrame], rows_per_user: int | None = None, by_user: int | None = None
 ) -> DataFrame:
     """Left join of every family onto the candidates, in the given order of columns.
 
     ``rows_per_user`` is a proven bound on the candidates of one user (the catalogue's pairs). Within the
     limit, the candidates and the four user-keyed families are clustered by user_id and stay so through their
-    joins (see ``session.PLAN_CONF``); a family that already is clustered that way is not shuffled. Otherwise every join shuffles on its own keys and AQE splits
-    hot users. The category and shop families are broadcast if their measured size allows; if not, they
+    joins (see ``session.PLAN_CONF``). ``by_user`` says that all of them already are, in as many partitions
+    (:attr:`Inputs.by_user`), and then none of them is shuffled. Without a bound every join shuffles on its own keys
+    and AQE splits hot users. The category and shop families are broadcast if their measured size allows; if not, they
     shuffle, and AQE splits hot categories and shops.
     """
-    clustered = rows_per_user is not None and rows_per_user <= MAX_USER_ROWS
+    clustered = by_user is None and rows_per_user is not None and rows_per_user <= MAX_USER_ROWS
     by_user = (lambda df: df.repartition("user_id")) if clustered else (lambda df: df)
     table = by_user(candidates)
     for name in ("u", "uc", "us", "ucs"):

@@ -14,7 +14,7 @@ from cartwise.operators import blocks as B
 from cartwise.operators import catalog
 from cartwise.operators.joins import left_lookup
 from cartwise.operators.cube import daily_cube
-from cartwise.operators.log import counted_log, history_rows
+from cartwise.operators.log import counted_log
 from cartwise.operators.measures import (
     HISTORY_DAYS, ORDER_DAYS, UCS, count_days, day_words, days_in, measure_triples, recent_mask, roll_up, roll_words,
     seen_in, spine,
@@ -31,10 +31,13 @@ KEYS = {
 USER_RANGES = {"u": (7,), "c": (3, 5, 7), "s": (3, 5, 7)}
 SEX_NAMES = {0: "female", 1: "male", -1: "unknown"}  # fixed values
 
-Keep = Callable[[str, DataFrame], DataFrame]
+MAX_USER_ROWS = 200_000  # rows of one user in a wide table, about 2 KB each, that a single task may hold
 
+#: Writes a table and returns the written copy; with a number, in so many buckets by user_id.
+Keep = Callable[[str, DataFrame, int | None], DataFrame]
 
-def _as_is(name: str, df: DataFrame) -> DataFrame:
+
+def _as_is(name: str, df: DataFrame, by_user: int | None = None) -> DataFrame:
     return df
 
 
@@ -45,6 +48,9 @@ class Inputs:
     given, and then serves many windows. ``keep`` may write each measure table and return the written copy, so that all
     seven families share them; the default leaves them lazy, which suits a single family. ``cart`` selects the variant
     with the cart action and without the 10-day range.
+
+    Kept tables with a user in their key are bucketed by user, if the catalogue bounds a user's rows: their roll-ups, ranks and
+    joins, and the assembly of a data set from them, shuffle nothing.
     """
 
     def __init__(
@@ -72,34 +78,57 @@ class Inputs:
     def cube(self) -> DataFrame:
         if self._cube is not None:
             return self._cube
-        cube = daily_cube(history_rows(self.log, self.spec))
+        # The days of the labels are included; features stop at the window's end.
+        cube = daily_cube(self.log.where(f"action_time <= {lit(self.spec.label_end)}"))
         if self.keep is not _as_is:
-            return self.keep("cube", cube)
+            return self.keep("cube", cube, None)
         spark = cube.sparkSession
         return materialize(spark, new_folder(spark, "cube"), lambda: cube)
 
+    @property
+    def triples(self) -> DataFrame:
+        """The cube's rows per triple and day, from which candidates and labels are made; clustered as the kept tables are."""
+        rows = self.cube.where("by_product = 0")
+        return rows if self.by_user is None else rows.repartition(self.by_user, "user_id")
+
+    @cached_property
+    def by_user(self) -> int | None:
+        """Number of buckets of the tables with a user in their key, or None if they are not bucketed."""
+        if self.keep is _as_is or self.pairs > MAX_USER_ROWS:
+            return None
+        return int(self.tables.products.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    @cached_property
+    def users(self) -> DataFrame:
+        """The user table, clustered as the kept tables are."""
+        if self.by_user is None:
+            return self.tables.users
+        return self.keep("users_bucketed", self.tables.users.repartition(self.by_user, "user_id"), self.by_user)
+
     @cached_property
     def ucs(self) -> DataFrame:
-        return self.keep("measures_ucs", measure_triples(self.cube, self.spec))
+        return self.keep("measures_ucs", measure_triples(self.cube, self.spec, self.by_user), self.by_user)
 
     @cached_property
     def uc(self) -> DataFrame:
-        return self.keep("measures_uc", roll_up(self.ucs, self.spec, UC))
+        return self.keep("measures_uc", roll_up(self.ucs, self.spec, UC), self.by_user)
 
     @cached_property
     def us(self) -> DataFrame:
-        return self.keep("measures_us", roll_up(self.ucs, self.spec, US))
+        return self.keep("measures_us", roll_up(self.ucs, self.spec, US), self.by_user)
 
     @cached_property
     def words(self) -> dict[str, DataFrame]:
         """Day words of (user, category), (user, shop) and user, over all days of the cube."""
-        found = {name: self.keep(f"days_{name}", day_words(self.cube, KEYS[name])) for name in ("uc", "us")}
-        return {**found, "u": self.keep("days_u", roll_words(found["uc"], KEYS["u"]))}
+        found = {
+            name: self.keep(f"days_{name}", day_words(self.cube, KEYS[name], self.by_user), self.by_user) for name in ("uc", "us")
+        }
+        return {**found, "u": self.keep("days_u", roll_words(found["uc"], KEYS["u"]), self.by_user)}
 
     @cached_property
     def product_comments(self) -> DataFrame:
         """Weighted comment counts per product, from which the category and the shop family are summed."""
-        return self.keep("product_comments", catalog.product_comments(self.cube, self.tables.comments, self.spec))
+        return self.keep("product_comments", catalog.product_comments(self.cube, self.tables.comments, self.spec), None)
 
     @cached_property
     def pairs(self) -> int:
@@ -296,7 +325,7 @@ def user_profile(x: Inputs) -> DataFrame:
         first, end = lit(spec.recent(7)), lit(spec.end)
         columns["reg_tm_last_day"] = f"int(user_reg_tm <=> {end})"
         columns["reg_tm_7_day"] = f"int(coalesce(user_reg_tm BETWEEN {first} AND {end}, false))"
-    return x.tables.users.selectExpr("user_id", *named(columns))
+    return x.users.selectExpr("user_id", *named(columns))
 
 
 def shop_profile(x: Inputs) -> DataFrame:
@@ -385,12 +414,13 @@ def all_families(x: Inputs, parallel: int = 3) -> dict[str, DataFrame]:
     """All seven families, ready to be joined onto candidates.
 
     The category and shop families are small and go through ``keep``, side by side, so that their size can
-    be measured. The user families stay lazy: their ranks leave them clustered by user_id, and the joins
+    be measured. The user families stay lazy: their measure tables are clustered by user_id, and their ranks and the joins
     that follow use that clustering, so their wide rows are neither written nor shuffled again.
     """
     small = ("c", "s", "cs")
-    x.ucs, x.pairs, x.product_comments, x.words  # shared, so they are built before any thread asks for them
+    x.by_user, x.cube  # shared, so they are built before any thread asks for them
     with ThreadPoolExecutor(parallel) as pool:
+        list(pool.map(lambda build: build(), (lambda: x.ucs, lambda: x.words, lambda: x.users, lambda: x.product_comments)))
         list(pool.map(lambda build: build(), (lambda: x.uc, lambda: x.us)))
-        kept = dict(zip(small, pool.map(lambda name: x.keep(f"features_{name}", family(x, name)), small)))
+        kept = dict(zip(small, pool.map(lambda name: x.keep(f"features_{name}", family(x, name), None), small)))
     return {name: kept[name] if name in small else family(x, name) for name in KEYS}

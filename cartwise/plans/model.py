@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwise.operators.measures import UCS
+from cartwise.plans import trees
 from cartwise.plans.dataset import feature_columns
 from cartwise.session import shared_dir
 
@@ -24,8 +25,8 @@ class TreeParams:
 
     Leaves hold at least ``min_rows`` rows, where a learner with second-order gradients would bound their
     hessian. A split must gain at least ``min_gain`` (per row, where a learner with second-order gradients
-    would bound the sum). Training stops once the hold-out loss has not fallen for ``patience`` rounds, and
-    the model ends at its best round.
+    would bound the sum; off by default). Training stops once what it watches on the hold-out, ``auc`` or ``loss``, has not
+    become better for ``patience`` rounds, and the model ends at its best round.
     """
 
     rounds: int = 500
@@ -39,6 +40,7 @@ class TreeParams:
     max_bins: int = 64
     first_rounds: int = 20
     hold_out: float = 0.1
+    watch: str = "auc"
     seed: int = 7
 
 
@@ -51,7 +53,7 @@ def hold_out(df: DataFrame, share: float) -> DataFrame:
 
 
 def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Number of rounds up to the smallest loss before ``patience`` rounds without a smaller one, and whether that came."""
+    """Number of rounds up to the smallest value before ``patience`` rounds without a smaller one, and whether that came."""
     best = 0
     for k, loss in enumerate(losses):
         if loss < losses[best]:
@@ -65,9 +67,11 @@ def train(train_set: DataFrame, params: TreeParams = TreeParams()) -> PipelineMo
     """Fit on a labelled set; every column but the keys and the label is a feature.
 
     The learner stops at the first flat round, if at all, so it is run without: for ``first_rounds`` rounds, then
-    for twice as many, until the hold-out loss has been flat for ``patience`` rounds or all rounds are used.
-    The same seed gives the same first trees every time, so the model is fitted again up to its best round.
+    for twice as many, until the hold-out has been flat for ``patience`` rounds or all rounds are used. One pass over the
+    hold-out gives its quality after every round, and the fitted ensemble is cut at its best round, not fitted again.
     """
+    if params.watch not in ("auc", "loss"):
+        raise ValueError("the hold-out is watched by auc or by loss")
     spark = train_set.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/boosting")
@@ -87,12 +91,15 @@ def train(train_set: DataFrame, params: TreeParams = TreeParams()) -> PipelineMo
 
     while True:
         fitted = fit(rounds)
-        best, flat = best_round(fitted.evaluateEachIteration(held), params.patience) if watched else (rounds, True)
+        best, flat = rounds, True
+        if watched:
+            found = trees.by_round(fitted, held, features.getInputCols())[params.watch]
+            best, flat = best_round([-x for x in found] if params.watch == "auc" else found, params.patience)
         if flat or rounds >= params.rounds:
             break
         rounds = min(2 * rounds, params.rounds)
     if best < rounds:
-        fitted = fit(best)
+        fitted = trees.cut(fitted, best)
     rows.unpersist()
     held.unpersist()
     return PipelineModel([features, fitted])
@@ -109,10 +116,19 @@ def auc(model: PipelineModel, rows: DataFrame) -> float:
     return evaluator.evaluate(model.transform(rows))
 
 
-def importance(model: PipelineModel) -> DataFrame:
-    """Share of each used feature in the total gain, one row per feature."""
-    assembler, trees = model.stages
-    gain = trees.featureImportances.toArray()
+def nodes(model: PipelineModel) -> DataFrame:
+    """The nodes of all trees (see :func:`cartwise.plans.trees.nodes`)."""
+    return trees.nodes(model.stages[1], model_features(model))
+
+
+def importance(model: PipelineModel, kind: str = "splits") -> DataFrame:
+    """Share of each used feature in all splits, or in the total ``gain``, one row per feature."""
+    if kind not in ("splits", "gain"):
+        raise ValueError("importance is a share of the splits or of the gain")
+    if kind == "splits":
+        return shares(trees.split_counts(nodes(model)))
+    assembler, fitted = model.stages
+    gain = fitted.featureImportances.toArray()
     rows = [(name, float(v)) for name, v in zip(assembler.getInputCols(), gain) if v > 0]
     return shares(SparkSession.active().createDataFrame(rows, "feature string, gain double"))
 

@@ -22,7 +22,7 @@ from cartwise.operators.windows import PUBLISHED_ENDS, WindowSpec
 from cartwise.plans import dataset, labels, model, vote
 from cartwise.plans.families import Inputs, all_families, fit_vocabulary
 from cartwise.session import build_session
-from cartwise.sources.tables import Tables, materialize, read_tables, state_of, table_path, write_csv
+from cartwise.sources.tables import Tables, materialize, materialize_bucketed, read_tables, state_of, table_path, write_csv
 
 # Window sets and the sets each model is trained on: fixed values.
 CART_SETS = ("a", "a_test")
@@ -72,8 +72,11 @@ class Run:
         self.vocabulary = fit_vocabulary(self.tables.users)
         self._inputs: dict[str, Inputs] = {}
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        return materialize(self.spark, f"{self.folder}/{name}", lambda: df, manifest=self.manifest)
+    def keep(self, name: str, df: DataFrame, by_user: int | None = None) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        if by_user is None:
+            return materialize(self.spark, path, lambda: df, manifest=self.manifest)
+        return materialize_bucketed(self.spark, path, lambda: df, "user_id", by_user, self.manifest)
 
     def spec(self, name: str) -> WindowSpec:
         return WindowSpec(self.plan.ends["test" if name == "a_test" else name])
@@ -89,12 +92,12 @@ class Run:
         if name not in self._inputs:
             spec = self.spec(name)
 
-            def keep(table: str, df: DataFrame) -> DataFrame:
-                if table.startswith("days_"):  # of all days, for every window
-                    return self.keep(table, df)
+            def keep(table: str, df: DataFrame, by_user: int | None = None) -> DataFrame:
+                if table.startswith(("days_", "users_")):  # the same for every window
+                    return self.keep(table, df, by_user)
                 by_end = table.startswith("measures_") or table == "product_comments"
                 part = f"end={spec.end}" if by_end else f"set={name}"
-                return self.keep(f"{part}/{table}", df)
+                return self.keep(f"{part}/{table}", df, by_user)
 
             self._inputs[name] = Inputs(self.tables, spec, self.vocabulary, name in CART_SETS, keep, cube=self.cube)
         return self._inputs[name]
@@ -106,7 +109,9 @@ class Run:
             scoring = name in ("test", "a_test")
             rows = self.labels.where(F.col("window") == ("test" if scoring else name)).drop("window")
             rows = rows.drop("label") if scoring else rows
-            return dataset.assemble(rows, all_families(x), x.pairs)
+            if x.by_user is not None:
+                rows = rows.repartition(x.by_user, "user_id")
+            return dataset.assemble(rows, all_families(x), x.pairs, x.by_user)
 
         return materialize(self.spark, f"{self.folder}/set={name}/assembled", build, manifest=self.manifest)
 

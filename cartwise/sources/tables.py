@@ -133,3 +133,23 @@ def materialize(
         writer = writer.partitionBy(partition_by)
     writer.parquet(found)
     return spark.read.schema(df.schema).parquet(found)
+
+
+def materialize_bucketed(
+    spark: SparkSession, path: str, compute: Callable[[], DataFrame], by: str, buckets: int, manifest: str | None = None
+) -> DataFrame:
+    """As :func:`materialize`, in ``buckets`` buckets of the hash of ``by``: what follows groups and joins on it without a shuffle.
+
+    ``compute`` gives rows that are clustered by ``by`` into as many partitions, so that a task writes one bucket. The
+    table is named in the session's catalog, as Spark knows buckets from there only; the files lie in the folder, and another
+    session names them again.
+    """
+    found = f"{table_path(path, manifest)}-{buckets}-by-{by}"
+    name = f"cartwise_{hashlib.sha256(found.encode()).hexdigest()[:24]}"
+    if not _finished(spark, found):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        compute().write.mode("overwrite").bucketBy(buckets, by).option("path", found).saveAsTable(name)
+    elif not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(found).schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{found}'")
+    return spark.table(name)

@@ -563,9 +563,10 @@ def plain() -> dict[str, str]:
       SELECT user_id, sku_id, action_time, CAST({w3.label_start} - action_time AS INTEGER) AS days FROM action""")
     out["label_train_set"] = query(w3.labelled())
     out["label_test_set"] = query(f"SELECT * FROM {test.spine('ucs')}")
-    out["model_train"] = query(f"SELECT label, count(*) AS triples, true AS scored FROM ({w3.labelled()}) GROUP BY label")
-    out["model_score"] = query(f"SELECT {UCS}, true AS scored FROM {test.spine('ucs')}")
-    out["model_importance"] = "SELECT true AS few, true AS in_order, true AS shares"
+    out["model_train"] = query(f"SELECT label, count(*) AS triples, true AS scored, true AS learned FROM ({w3.labelled()}) GROUP BY label")
+    out["model_score"] = query(f"SELECT {UCS}, true AS scored, true AS differ, true AS learned FROM {test.spine('ucs')}")
+    out["model_reload"] = query(f"SELECT {UCS}, true AS same FROM {test.spine('ucs')}")
+    out["model_importance"] = "SELECT true AS few, true AS in_order, true AS shares, true AS whole, true AS learned"
     out["model_gain_shares"] = """
       SELECT p_brand || ' ' || p_type AS feature,
              round(sum(l_quantity) / (SELECT sum(l_quantity) FROM lineitem JOIN part ON p_partkey = l_partkey), 9) AS fscore

@@ -12,7 +12,7 @@ from cartwise.functions import scalars as S
 from cartwise.operators import clean, ranks
 from cartwise.operators.log import action_log, candidate_rows, counted_log
 from cartwise.operators.joins import left_lookup
-from cartwise.plans import dataset, evaluate, families, labels, model, vote
+from cartwise.plans import dataset, evaluate, families, labels, model, trees, vote
 from cartwise.session import new_folder
 from cartwise.sources import fixtures as X
 from cartwise.sources import schemas, tables
@@ -84,8 +84,10 @@ def writer(spark: SparkSession):
     """A ``keep`` that writes each table below a new folder and reads it back."""
     folder = new_folder(spark, "tables")
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        return tables.materialize(spark, f"{folder}/{name}", lambda: df)
+    def keep(name: str, df: DataFrame, by_user: int | None = None) -> DataFrame:
+        if by_user is None:
+            return tables.materialize(spark, f"{folder}/{name}", lambda: df)
+        return tables.materialize_bucketed(spark, f"{folder}/{name}", lambda: df, "user_id", by_user)
 
     return keep
 
@@ -283,12 +285,14 @@ def _families(spark, sf_dir, spec, cart=False):
 
 def training_set(spark, sf_dir, spec=SPEC, cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.train_labels(x.log, spec), built, x.pairs)
+    rows = x.keep("candidates", labels.train_labels(x.triples, spec), x.by_user)
+    return dataset.assemble(rows, built, x.pairs, x.by_user)
 
 
 def scoring_set(spark, sf_dir, spec=X.WINDOWS["test"], cart=False):
     x, built = _families(spark, sf_dir, spec, cart)
-    return dataset.assemble(labels.scoring_candidates(x.log, spec), built, x.pairs)
+    rows = x.keep("candidates", labels.scoring_candidates(x.triples, spec), x.by_user)
+    return dataset.assemble(rows, built, x.pairs, x.by_user)
 
 
 def feat_window_diffs(spark, sf_dir):
@@ -357,29 +361,60 @@ def _model_input(spark, sf_dir, spec, labelled: bool) -> DataFrame:
 
 
 PROBABILITY = "prob BETWEEN 0 AND 1"
+#: Area under the curve on the training rows, fixed beforehand: a constant, or a model of shuffled labels, has about a half.
+LEAST_AUC = 0.75
+
+
+def _learned(fitted, rows) -> "F.Column":
+    return F.lit(model.auc(fitted, rows) >= LEAST_AUC).alias("learned")
 
 
 def model_train(spark, sf_dir):
-    """Triples of the window after the training window by true label, and whether all were scored."""
-    fitted = model.train(_model_input(spark, sf_dir, X.WINDOWS["w2"], True))
+    """Triples of the window after the training window by true label, whether all were scored, and whether the model learned."""
+    trained_on = _model_input(spark, sf_dir, X.WINDOWS["w2"], True)
+    fitted = model.train(trained_on)
     held_out = _model_input(spark, sf_dir, X.WINDOWS["w3"], True)
     scored = model.score(fitted, held_out).join(held_out.select(*UCS, "label"), list(UCS))
-    return scored.groupBy("label").agg(F.count("*").alias("triples"), F.expr(f"bool_and({PROBABILITY})").alias("scored"))
+    return scored.groupBy("label").agg(F.count("*").alias("triples"), F.expr(f"bool_and({PROBABILITY})").alias("scored")).withColumn(
+        "learned", _learned(fitted, trained_on)
+    )
 
 
 def model_score(spark, sf_dir):
-    fitted = model.train(_model_input(spark, sf_dir, SPEC, True))
-    scored = model.score(fitted, _model_input(spark, sf_dir, X.WINDOWS["test"], False))
-    return scored.selectExpr(*UCS, f"{PROBABILITY} AS scored")
+    """Whether each triple's score is what the persisted tree nodes give, and whether scores differ and are those of a model that learned."""
+    trained_on = _model_input(spark, sf_dir, SPEC, True)
+    fitted, rows = model.train(trained_on), _model_input(spark, sf_dir, X.WINDOWS["test"], False)
+    by_nodes = trees.probabilities(model.nodes(fitted), rows, model.model_features(fitted)).select(*UCS, "node_prob")
+    scored = model.score(fitted, rows)
+    differ = F.lit(scored.select("prob").distinct().count() > 1).alias("differ")
+    return scored.join(by_nodes, list(UCS)).select(
+        *UCS, F.expr(f"{PROBABILITY} AND abs(prob - node_prob) < 1e-9").alias("scored"), differ, _learned(fitted, trained_on)
+    )
+
+
+def model_reload(spark, sf_dir):
+    """Whether a saved and loaded model gives each triple the same score."""
+    fitted, rows = model.train(_model_input(spark, sf_dir, SPEC, True)), _model_input(spark, sf_dir, X.WINDOWS["test"], False)
+    path = new_folder(spark, "model")
+    model.save(fitted, path)
+    again = model.score(model.load(path), rows).withColumnRenamed("prob", "again")
+    return model.score(fitted, rows).join(again, list(UCS)).selectExpr(*UCS, "prob = again AS same")
 
 
 def model_importance(spark, sf_dir):
-    """Whether the shares of the best features are at most 20, in order, and between 0 and 1."""
-    best = model.top_features(model.train(_model_input(spark, sf_dir, SPEC, True)))
+    """Whether the shares of the best features are at most 20, in order and of all splits, and the model learned."""
+    trained_on = _model_input(spark, sf_dir, SPEC, True)
+    fitted = model.train(trained_on)
+    best, ensemble = model.top_features(fitted), fitted.stages[1]
+    splits = (ensemble.totalNumNodes - ensemble.getNumTrees) // 2  # every split has two children
+    counted = F.sum(F.col("fscore") * splits)
     order = F.sort_array(F.collect_list("fscore"), asc=False)
     return best.agg(
         (F.count("*") <= 20).alias("few"), (F.collect_list("fscore") == order).alias("in_order"),
         F.expr("bool_and(fscore > 0 AND fscore <= 1)").alias("shares"),
+        # Shares of split counts are whole numbers of splits.
+        ((F.abs(counted - F.round(counted)) < 1e-6) & (counted >= 1) & (counted <= splits + 1e-6)).alias("whole"),
+        _learned(fitted, trained_on),
     )
 
 
@@ -432,7 +467,7 @@ PLAIN = [
     win_order_gap_lag, win_latest_per_key, sc_log_ratio, sc_safe_rate, sc_day_diff, pivot_action_type,
     label_train_set, label_test_set, label_all_windows, feat_u_reg_recency, feat_window_diffs,
     ds_feature_select, ds_union_windows, vote_threshold, vote_majority, eval_two_level, eval_threshold_sweep,
-    order_log_labels, model_train, model_score, model_importance, model_gain_shares,
+    order_log_labels, model_train, model_score, model_importance, model_gain_shares, model_reload,
 ]
 
 

@@ -2,11 +2,14 @@
 
 import datetime as dt
 from dataclasses import replace
+from functools import cache
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from cartwise.plans import dataset, model
+from cartwise.plans import dataset, model, trees
 from cartwise.plans.families import UCS
 from cartwise.plans.run import Plan, Run
 from cartwise.session import new_folder
@@ -47,13 +50,70 @@ def test_one_flat_round_does_not_stop_training():
     assert model.best_round([5, 6, 7, 8], 10) == (1, False)
 
 
-def test_training_ends_at_the_best_round(spark, train_set):
-    params = model.TreeParams(rounds=12, depth=2, first_rounds=3, patience=2, step=1.0)
+@pytest.mark.parametrize("watch", ["loss", "auc"])
+def test_training_ends_at_the_best_round(spark, train_set, watch, monkeypatch):
+    fits, fit = [], model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, rows: fits.append(self.getMaxIter()) or fit(self, rows))
+    params = model.TreeParams(rounds=12, depth=2, first_rounds=3, patience=2, step=1.0, watch=watch)
     fitted = model.train(train_set, params)
-    held = model.hold_out(train_set, params.hold_out).where("_held_out")
-    trees = fitted.stages[1]
-    losses = trees.evaluateEachIteration(fitted.stages[0].transform(held))
-    assert 1 <= trees.getNumTrees <= 12 and losses.index(min(losses)) == trees.getNumTrees - 1
+    assert fits == [3, 6, 12][:len(fits)]  # one fit per doubling, none after the best round is known
+    ensemble, names = fitted.stages[1], model.model_features(fitted)
+    held = fitted.stages[0].transform(model.hold_out(train_set, params.hold_out).where("_held_out"))
+    found = trees.by_round(ensemble, held, names)[watch]
+    best = found.index(min(found) if watch == "loss" else max(found))
+    assert 1 <= ensemble.getNumTrees <= 12 and best == ensemble.getNumTrees - 1
+    same = GBTClassifier(maxIter=ensemble.getNumTrees, maxDepth=2, stepSize=1.0, subsamplingRate=0.9, featureSubsetStrategy="0.8",
+                         minInstancesPerNode=3, maxBins=64, checkpointInterval=10, seed=7, featuresCol="features", labelCol="label")
+    learned = fitted.stages[0].transform(model.hold_out(train_set, params.hold_out).where("NOT _held_out")).select("features", "label")
+    assert ensemble.toDebugString.split("\n", 1)[1] == fit(same, learned).toDebugString.split("\n", 1)[1]  # as if fitted that long
+
+
+def test_quality_after_every_round(spark, train_set):
+    fitted = model.train(train_set, model.TreeParams(rounds=6, depth=3, hold_out=0.0))
+    rows = fitted.stages[0].transform(train_set.withColumn("label", F.expr("if(shop_id % 9 = 0, 1 - label, label)")))
+    found = trees.by_round(fitted.stages[1], rows, model.model_features(fitted))
+    assert found["loss"] == pytest.approx(fitted.stages[1].evaluateEachIteration(rows))
+    for n in (1, 3, 6):
+        short = trees.cut(fitted.stages[1], n)
+        assert short.getNumTrees == n
+        exact = BinaryClassificationEvaluator(labelCol="label").evaluate(short.transform(rows))
+        assert found["auc"][n - 1] == pytest.approx(exact, abs=2e-3)
+    by_nodes = trees.probabilities(model.nodes(fitted), train_set, model.model_features(fitted))
+    scored = model.score(fitted, train_set).join(by_nodes.select(*UCS, "node_prob"), list(UCS))
+    assert scored.where("abs(prob - node_prob) < 1e-9").count() == 2000
+
+
+def test_importance_of_a_tree_made_by_hand(spark):
+    rows = [(0, 0, "a"), (0, 1, "b"), (0, 2, None), (0, 3, None), (0, 4, None), (1, 0, "a"), (1, 1, None), (1, 2, None), (2, 0, None)]
+    table = spark.createDataFrame(rows, "tree int, node int, feature string")
+    got = {r.feature: r.fscore for r in model.shares(trees.split_counts(table)).collect()}
+    assert got == pytest.approx({"a": 2 / 3, "b": 1 / 3})
+
+
+def test_both_kinds_of_importance(spark, train_set):
+    fitted = model.train(train_set, model.TreeParams(rounds=4, depth=3))
+    table = model.nodes(fitted)
+    assert table.where("feature IS NOT NULL").count() == (fitted.stages[1].totalNumNodes - fitted.stages[1].getNumTrees) // 2
+    by_gain = {r.feature: r.fscore for r in model.importance(fitted, "gain").collect()}
+    by_splits = {r.feature: r.fscore for r in model.importance(fitted).collect()}
+    assert set(by_gain) == set(by_splits) and sum(by_gain.values()) == pytest.approx(1) == sum(by_splits.values())
+    assert by_gain["signal"] > by_splits["signal"]  # the noise splits often and gains little
+
+
+def test_checks_turn_red_for_a_model_that_learned_nothing(spark, monkeypatch):
+    monkeypatch.setattr(spark_queries, "_model_input", cache(spark_queries._model_input))
+    duck, train = compare.connect(SF), model.train
+
+    def constant(rows):
+        return train(rows, model.TreeParams(rounds=2, min_gain=10.0))
+
+    def of_shuffled_labels(rows):
+        return train(rows.withColumn("label", F.expr("int(pmod(xxhash64(user_id, cate, shop_id), 10) = 0)")), model.TreeParams(rounds=20))
+
+    for bad in (constant, of_shuffled_labels):
+        monkeypatch.setattr(model, "train", bad)
+        for name in ("model_train", "model_score", "model_importance"):
+            assert compare.compare(spark_queries.registry()[name](spark, SF), duck, oracle.statements()[name]) is not None
 
 
 def test_splits_need_their_gain(spark, train_set):
@@ -63,7 +123,7 @@ def test_splits_need_their_gain(spark, train_set):
 
 def test_model_queries_agree_with_their_sql(spark):
     duck = compare.connect(SF)
-    for name in ("model_score", "model_importance"):
+    for name in ("model_train", "model_score", "model_importance", "model_reload"):
         assert compare.compare(spark_queries.registry()[name](spark, SF), duck, oracle.statements()[name]) is None
 
 

@@ -14,7 +14,7 @@ from cartwise.plans import dataset, families, labels
 from cartwise.plans.run import Plan, Run
 from cartwise.session import new_folder
 from cartwise.sources import fixtures as X
-from cartwise.sources.tables import Tables, materialize
+from cartwise.sources.tables import Tables, materialize, materialize_bucketed
 from checks import spark_queries
 from tests.conftest import SF
 
@@ -60,6 +60,30 @@ def test_assembling_without_a_bound_gives_the_same_set(built):
     assert one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
 
 
+def test_kept_tables_are_joined_without_a_shuffle(built):
+    """Above the written tables nothing but broadcasts moves, and a session that knows no bucketed table names it again."""
+    x, tables = built
+    rows = x.keep("candidates", labels.train_labels(x.triples, x.spec), x.by_user)
+    wide = dataset.assemble(rows, tables, x.pairs, x.by_user)
+    text = plan(wide)
+    assert "Bucketed: true" in text and "Exchange hashpartitioning" not in text and "Exchange REPARTITION" not in text
+    plain = dataset.assemble(labels.train_labels(x.log, x.spec), tables, None)
+    assert wide.exceptAll(plain).count() == 0 and plain.exceptAll(wide).count() == 0
+
+
+def test_buckets_are_found_again(spark):
+    path = new_folder(spark, "buckets")
+    rows = spark.range(1000).selectExpr("id % 37 AS user_id", "id", "named_struct('a', id) AS s")
+    first = materialize_bucketed(spark, path, lambda: rows.repartition(4, "user_id"), "user_id", 4, "m")
+    name = next(t.name for t in spark.catalog.listTables() if t.name.startswith("cartwise_") and first.inputFiles()[0].split("/")[-1]
+                in {f.split("/")[-1] for f in spark.table(t.name).inputFiles()})
+    spark.sql(f"DROP TABLE {name}")  # as in another session; the files stay
+    again = materialize_bucketed(spark, path, lambda: 1 / 0, "user_id", 4, "m")
+    assert again.exceptAll(rows).count() == 0 and again.count() == 1000
+    assert "Exchange" not in plan(again.groupBy("user_id").count())
+    assert len({f.rsplit("_", 1)[1] for f in again.inputFiles()}) <= 4
+
+
 def test_later_rows_change_no_feature(spark, built):
     x, tables = built
     cut = spark_queries.TestTables(spark, SF)
