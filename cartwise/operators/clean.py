@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import date_bucket
+from cartwise.operators.running import exact_median, exact_mode
 from cartwise.sources.tables import Tables
 
 # Year boundaries of the published data: fixed values.
@@ -28,14 +29,20 @@ def truncate_to_day(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.to_date(c) for c in columns})
 
 
-def impute(df: DataFrame, mode: Sequence[str] = (), median: Sequence[str] = ()) -> DataFrame:
+def impute(
+    df: DataFrame, mode: Sequence[str] = (), median: Sequence[str] = (), many_values: bool = False
+) -> DataFrame:
     """Replace nulls by the column's mode (smallest on a tie) or median; the column keeps its type.
 
     The fill values are one scalar subquery: a single scan finds them all, and nothing runs before the result
-    is asked for. Both aggregates keep one count per distinct value, so they are meant for the coded columns
-    of a dimension table (days, codes, levels), whose values are few at any row count.
+    is asked for. Both aggregates keep one count per distinct value in one task, which suits the coded columns
+    of a dimension table (days, codes, levels), whose values are few at any row count. ``many_values`` is for any other
+    column: the counts per value stay distributed, and the values are found at once, by a job or two each.
     """
     types = dict(df.dtypes)
+    if many_values:
+        exact = {c: exact_mode(df, c) for c in mode} | {c: exact_median(df, c) for c in median}
+        return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in exact.items()})
     found = [F.mode(c, True).alias(c) for c in mode] + [F.median(c).alias(c) for c in median]
     fills = df.agg(F.struct(*found).alias("fills")).scalar()
     return df.withColumns({

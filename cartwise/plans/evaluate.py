@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cartwise.functions.scalars import f1, named, safe_rate
 from cartwise.operators.measures import UCS
+from cartwise.operators.running import running_totals
 
 
 def two_level(
@@ -55,7 +56,31 @@ def threshold_sweep(scored: DataFrame, thresholds: Sequence[float]) -> DataFrame
             f"struct({float(bound)}D AS threshold, _size_{i} AS predicted, _hits_{i} AS hits, _actual AS actual)"
         )
     swept = scored.agg(*[F.expr(a) for a in aggs]).selectExpr(f"inline(array({', '.join(rows)}))")
-    rated = swept.selectExpr("*", *named({
+    return _rated(swept)
+
+
+def _rated(counts: DataFrame) -> DataFrame:
+    rated = counts.selectExpr("*", *named({
         "precision": safe_rate("hits", "predicted"), "recall": safe_rate("hits", "actual"),
     }))
     return rated.selectExpr("*", *named({"f1": f1("precision", "recall")}))
+
+
+def exact_curve(scored: DataFrame) -> DataFrame:
+    """The sweep at every distinct score: what a submission of all rows of at least this ``prob`` gets. Null scores are out.
+
+    Rows are counted per score, and running totals go from the highest score down.
+    """
+    hit = "count_if(label = 1)"
+    known = scored.where("prob IS NOT NULL")
+    by_score = known.groupBy(F.col("prob").alias("threshold")).agg(F.expr("count(*) AS _n"), F.expr(f"{hit} AS _hits"))
+    actual = known.agg(F.expr(f"{hit} AS actual")).scalar()
+    running = running_totals(by_score, [F.desc("threshold")], {"predicted": "_n", "hits": "_hits"})
+    return _rated(running.select("threshold", "predicted", "hits", actual.alias("actual")))
+
+
+def best_submission(scored: DataFrame) -> DataFrame:
+    """The row of :func:`exact_curve` with the best F1, of several the smallest submission: best threshold and best size."""
+    curve = exact_curve(scored)
+    best = F.max(F.struct(F.col("f1"), (-F.col("predicted")).alias("less"), *[c for c in curve.columns if c != "f1"]))
+    return curve.agg(best.alias("best")).where("best IS NOT NULL").select(*[F.col(f"best.{c}").alias(c) for c in curve.columns])

@@ -611,6 +611,24 @@ def plain() -> dict[str, str]:
         scores + f",\nlabelled AS (SELECT prob, label FROM score_3 JOIN ({w3.labelled()}) USING ({UCS})),\n"
         f"bounds AS (SELECT threshold FROM (VALUES {bounds}) AS b(threshold))",
     )
+    steady = (
+        scores + f",\nlabelled AS (SELECT round(prob, 9) AS threshold, label FROM score_3 JOIN ({w3.labelled()}) USING ({UCS})),\n"
+        """curve AS (SELECT DISTINCT threshold, count(*) OVER up AS predicted, count(*) FILTER (WHERE label = 1) OVER up AS hits,
+                    count(*) FILTER (WHERE label = 1) OVER () AS actual
+             FROM labelled WINDOW up AS (ORDER BY threshold DESC RANGE UNBOUNDED PRECEDING)),
+        rates AS (SELECT *, hits / greatest(predicted, 1) AS p, hits / greatest(actual, 1) AS r FROM curve),
+        rated AS (SELECT threshold, predicted, hits, actual, round(p, 9) AS "precision", round(r, 9) AS recall,
+                    round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 9) AS f1 FROM rates)"""
+    )
+    out["eval_exact_curve"] = query("SELECT * FROM rated", steady)
+    out["eval_best_submission"] = query("SELECT * FROM rated ORDER BY f1 DESC, predicted LIMIT 1", steady)
+    out["clean_impute_many_values"] = """
+      WITH known AS (SELECT o_totalprice AS x FROM orders WHERE o_orderkey % 7 <> 0)
+      SELECT o_orderkey,
+        round(CASE WHEN o_orderkey % 7 = 0 THEN (SELECT median(x) FROM known) ELSE o_totalprice END, 9) AS by_median,
+        round(CASE WHEN o_orderkey % 7 = 0 THEN (SELECT x FROM known GROUP BY x ORDER BY count(*) DESC, x LIMIT 1)
+          ELSE o_totalprice END, 9) AS by_mode
+      FROM orders"""
     return out
 
 

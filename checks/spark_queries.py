@@ -347,9 +347,33 @@ SWEEP = [i / 50 for i in range(1, 26)]
 
 
 def eval_threshold_sweep(spark, sf_dir):
+    return evaluate.threshold_sweep(_labelled_scores(spark, sf_dir), SWEEP)
+
+
+def _labelled_scores(spark, sf_dir):
     scored = score_sets(spark, sf_dir)["3"]
-    labelled = scored.join(labels.train_labels(log(spark, sf_dir), SPEC), list(UCS))
-    return evaluate.threshold_sweep(labelled, SWEEP)
+    return scored.join(labels.train_labels(log(spark, sf_dir), SPEC), list(UCS))
+
+
+def _steady(labelled):
+    """Scores as text of nine digits and back, so that equal ones are equal in both engines."""
+    return labelled.withColumn("prob", F.round("prob", 9))
+
+
+def eval_exact_curve(spark, sf_dir):
+    return evaluate.exact_curve(_steady(_labelled_scores(spark, sf_dir)))
+
+
+def eval_best_submission(spark, sf_dir):
+    return evaluate.best_submission(_steady(_labelled_scores(spark, sf_dir)))
+
+
+def clean_impute_many_values(spark, sf_dir):
+    """Prices of orders, nearly all distinct, with some made null and filled by mode and by median."""
+    prices = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey", "if(o_orderkey % 7 = 0, NULL, o_totalprice) AS by_median", "if(o_orderkey % 7 = 0, NULL, o_totalprice) AS by_mode",
+    )
+    return clean.impute(prices, mode=["by_mode"], median=["by_median"], many_values=True)
 
 
 # ---- models ----------------------------------------------------------------------------------------
@@ -467,7 +491,7 @@ PLAIN = [
     win_order_gap_lag, win_latest_per_key, sc_log_ratio, sc_safe_rate, sc_day_diff, pivot_action_type,
     label_train_set, label_test_set, label_all_windows, feat_u_reg_recency, feat_window_diffs,
     ds_feature_select, ds_union_windows, vote_threshold, vote_majority, eval_two_level, eval_threshold_sweep,
-    order_log_labels, model_train, model_score, model_importance, model_gain_shares, model_reload,
+    eval_exact_curve, eval_best_submission, clean_impute_many_values, order_log_labels, model_train, model_score, model_importance, model_gain_shares, model_reload,
 ]
 
 
