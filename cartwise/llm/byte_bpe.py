@@ -4,7 +4,7 @@ The vocabulary file is that of the tokenizers library (merges in order of rank,
 library's ``encode(text, add_special_tokens=False)`` gives, strings of added tokens in a text included.
 
 * A text is cut at added tokens, then into chunks before spaces that no word reaches over, and a chunk by the pre-tokenizer's
-  pattern into words. Distinct chunks and words are encoded once and kept, up to a bound.
+  pattern into words. Distinct chunks and words are encoded once and kept, up to a length and a number.
 * Propose: for all new words at once, a trie is walked from the first byte to the longest token, and from its end to the next.
 * Verify: a sequence of tokens is what BPE makes of a word if and only if every two neighbours are what BPE makes of the two
   alone. For a pair, the tokens along the right edge of the left one and the left edge of the right one are taken apart in the order in
@@ -49,7 +49,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 PRINTED = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
 
 PIECE_CHARS = 500_000
-KEPT_WORDS = 200_000
+KEPT_WORDS, KEPT_CHARS = 200_000, 64
 GROUP_ROWS = 512
 _END = 256  # stands after every word; no token goes on over it
 _NEVER = np.int64(2**62)
@@ -331,10 +331,14 @@ class Codec:
         find = self._young.__getitem__
         new = self._new(set().union(*cut))
         parts = list(map(self._split, new))
-        if words := self._new({w for words in parts for w in words}):
-            self._learn(words)
+        if learned := self._new({w for words in parts for w in words}):
+            self._learn(learned)
         self._young.update((c, b"".join(map(find, words))) for c, words in zip(new, parts) if len(words) != 1)
-        return [b"".join(map(find, chunks)) for chunks in cut]
+        out = [b"".join(map(find, chunks)) for chunks in cut]
+        for key in (*new, *learned):  # long ones seldom come again, and the store is bounded by their number
+            if len(key) > KEPT_CHARS:
+                self._young.pop(key, None)
+        return out
 
     def _pieces(self, text: str) -> Iterator[str]:
         at = 0

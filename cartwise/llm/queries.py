@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,11 +22,11 @@ URL_RULES = [
 ]
 
 
-#: The model of op10; a parameter of the operator.
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Where the public vocabulary files lie.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
-#: The vocabulary of op11; a parameter of the operator.
-BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+#: The model of op10 and the vocabulary of op11; parameters of the operators.
+PIECE_MODEL, BYTE_VOCABULARY = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -64,6 +64,13 @@ def test_small_pieces_and_stores_change_nothing(codec, monkeypatch):
         assert byte_bpe.Codec(f.read()).encode(texts) == expected
 
 
+def test_long_words_are_not_kept(codec, library):
+    texts = ["的é" * 300 + str(i) for i in range(50)] + ["line\n" * 200] * 2 + ["x" * 100 + " short"] + ["長い文" * 100 + "\n" + "別の文" * 100]
+    for _ in range(2):
+        assert [_ids(x) for x in codec.encode(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert max(map(len, codec._young)) <= byte_bpe.KEPT_CHARS and " short" in codec._young
+
+
 def _small_file(merges, **model):
     """A vocabulary file of the bytes and these merges."""
     letters = sorted(byte_bpe._byte_of(), key=byte_bpe._byte_of().get)
