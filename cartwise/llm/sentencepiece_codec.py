@@ -232,6 +232,10 @@ class Codec:
                 data = ids.tobytes()
                 self._words.update((w, data[a:b]) for w, a, b in zip(line, cuts[:-1].tolist(), cuts[1:].tolist()))
 
+    def forget(self) -> None:
+        """Drop the kept words: the worker lives on, and what it runs next needs the memory."""
+        self._words, self._differ = dict(self._space), set()
+
     def encode_counted(self, texts: list[str]) -> tuple[list[np.ndarray], list[int]]:
         """Ids of every text, without special tokens, and the number of its words whose two encodings differed."""
         if not self.by_word:
@@ -321,6 +325,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", differing: bool
             yield pa.StructArray.from_arrays(
                 [_joined(lists, pa.list_(pa.int32())), pa.array(counts, pa.int64())], ["token_ids", "n_differing"]
             )
+        codec.forget()
 
     more = ["n_differing"] if differing else []
     return docs.select(carried(docs, "token_ids", "n_tokens", *more), of(quoted(text)).alias("coded")).select(
@@ -361,6 +366,7 @@ def round_trip(docs: DataFrame, model_path: str, text: str = "text", differing:
                 [_joined(lists, pa.list_(pa.int32())), pa.array(same, pa.bool_()), pa.array(counts, pa.int64())],
                 ["token_ids", "same_text", "n_differing"],
             )
+        codec.forget()
 
     more = ["n_differing"] if differing else []
     return docs.select(carried(docs, "token_ids", "n_tokens", "same_text", *more), of(quoted(text)).alias("coded")).select(
