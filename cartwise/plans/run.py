@@ -21,7 +21,7 @@ from cartwise.operators.log import counted_log
 from cartwise.operators.windows import PUBLISHED_ENDS, WindowSpec
 from cartwise.plans import dataset, labels, model, vote
 from cartwise.plans.families import Inputs, all_families, fit_vocabulary
-from cartwise.session import build_session
+from cartwise.session import build_session, set_plan_conf
 from cartwise.sources.tables import Tables, materialize, materialize_bucketed, read_tables, state_of, table_path, write_csv
 
 # Window sets and the sets each model is trained on: fixed values.
@@ -53,6 +53,7 @@ class Run:
     def __init__(
         self, spark: SparkSession, raw: Tables, folder: str, plan: Plan = Plan(), new_days: Sequence[dt.date] | None = None
     ):
+        set_plan_conf(spark)
         self.spark, self.folder, self.plan = spark, folder.rstrip("/"), plan
         inputs = {name: state_of(getattr(raw, name)) for name in ("actions", "users", "shops", "products", "comments")}
         self.manifest = json.dumps({"inputs": inputs, "plan": repr(plan)})
@@ -111,7 +112,7 @@ class Run:
             rows = rows.drop("label") if scoring else rows
             if x.by_user is not None:
                 rows = rows.repartition(x.by_user, "user_id")
-            return dataset.assemble(rows, all_families(x), x.pairs, x.by_user)
+            return dataset.assemble(rows, all_families(x), x.rows_per_user, x.by_user)
 
         return materialize(self.spark, f"{self.folder}/set={name}/assembled", build, manifest=self.manifest)
 
