@@ -1,6 +1,7 @@
 """Properties that hold for any log, on the test tables and on skewed ones."""
 
 import datetime as dt
+import re
 from dataclasses import replace
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from cartwise.operators.log import action_log, counted_log
 from cartwise.operators.windows import WindowSpec
 from cartwise.plans import dataset, families, labels
 from cartwise.plans.run import Plan, Run
-from cartwise.session import new_folder
+from cartwise.session import PLAN_CONF, new_folder
 from cartwise.sources import fixtures as X
 from cartwise.sources.tables import Tables, materialize, materialize_bucketed
 from checks import spark_queries
@@ -325,3 +326,45 @@ def test_no_python_in_any_plan(spark):
     x = spark_queries.inputs(spark, SF)
     for name in families.KEYS:
         assert "Python" not in plan(families.family(x, name))
+
+
+def same_rows(one, other):
+    return one.columns == other.columns and one.exceptAll(other).count() == 0 and other.exceptAll(one).count() == 0
+
+
+@pytest.mark.parametrize("family", ["u", "ucs", "uc", "us"])
+def test_a_large_catalogue_does_not_hide_that_users_have_few_rows(spark, monkeypatch, family):
+    """Tables are clustered by user if no user has many rows, in as many tasks as the rows need, and else by their own keys."""
+    monkeypatch.setattr(families, "TASK_ROWS", 100)
+    x = spark_queries.inputs(spark, SF)
+    x.pairs = 10**9
+    rows = x.cube.where("by_product = 0").count()
+    assert x.by_user == x.tasks == -(-rows // 100) > spark.sparkContext.defaultParallelism
+    clustered = families.family(x, family)
+    assert f"hashpartitioning(user_id#{{}}L, {x.tasks}), REPARTITION_BY_NUM" in re.sub(r"#\d+L", "#{}L", plan(clustered))
+    monkeypatch.setattr(families, "MAX_USER_ROWS", 1)
+    y = spark_queries.inputs(spark, SF)
+    assert y.by_user is None and y.rows_per_user <= y.pairs
+    assert same_rows(clustered, families.family(y, family))
+
+
+def test_windows_of_one_job_share_their_tables_and_cube(spark):
+    specs = X.WINDOWS["w2"], X.WINDOWS["w3"]
+    shared = spark_queries.Windows(spark, SF, *specs)
+    first, second = (shared.inputs(spec) for spec in specs)
+    assert first.cube is second.cube and first.tables is second.tables
+    assert first.by_user == second.by_user is not None
+    for table in (shared.tables.products, shared.tables.shops, shared.tables.users):  # written, not summed up again by each reader
+        assert not any("lineitem" in f or "orders" in f for f in table.inputFiles())
+    alone = spark_queries.Windows(spark, SF, specs[0]).inputs(specs[0])
+    for name in ("u", "s", "us"):
+        assert same_rows(families.family(first, name), families.family(alone, name))
+
+
+def test_a_foreign_session_gets_the_plan_settings(spark):
+    for build in (spark_queries.inputs, spark_queries.order_inputs, lambda *at: spark_queries.Windows(*at, spark_queries.SPEC)):
+        for key in PLAN_CONF:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.codegen.maxFields", "100")
+        build(spark, SF)
+        assert all(spark.conf.get(key) == value for key, value in PLAN_CONF.items())
