@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from cartwise.functions import scalars as S
 from cartwise.operators import cube, joins, measures, ranks
 from cartwise.operators.log import action_log, counted_log
 from cartwise.operators.windows import WindowSpec
@@ -72,6 +73,31 @@ def test_kept_tables_are_joined_without_a_shuffle(built):
     assert wide.exceptAll(plain).count() == 0 and plain.exceptAll(wide).count() == 0
 
 
+def test_sets_are_sorted_and_joined_as_few_columns(spark):
+    """Features of a family travel as one struct, also where some are dropped; a query of few features reads only those."""
+    def columns(df, operator):
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        return [int(n) for n in re.findall(rf"\) {operator}.*\n(?:Input|Output) \[(\d+)\]", text)]
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert 0 < max(columns(spark_queries.ds_feature_select(spark, SF), "Sort")) <= 60
+        assert 0 < max(columns(spark_queries.feat_window_diffs(spark, SF), "Scan parquet")) <= 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("digits", [3, 9])
+def test_doubles_are_rounded_as_by_round(spark, digits):
+    unit = 10.0 ** -digits
+    odd = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 5e-324, -unit / 4, 1 / 3, -2 / 3, 60.0, 999.9999999995, 1000.0, -1e12 / 7, 1e300]
+    ties = [sign * (k + 0.5) * unit for k in range(300) for sign in (1, -1)]
+    df = spark.createDataFrame([(x,) for x in [*odd, *ties, *[k / 7 - 90 for k in range(1300)]]], "x double")
+    wanted = df.selectExpr(f"string(round(x, {digits})) AS x")  # text tells -0.0 from 0.0
+    got = S.round_doubles(df, digits).selectExpr("string(x) AS x")
+    assert got.exceptAll(wanted).count() == 0 and wanted.exceptAll(got).count() == 0
+
+
 def test_buckets_are_found_again(spark):
     path = new_folder(spark, "buckets")
     rows = spark.range(1000).selectExpr("id % 37 AS user_id", "id", "named_struct('a', id) AS s")
