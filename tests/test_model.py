@@ -127,6 +127,36 @@ def test_model_queries_agree_with_their_sql(spark):
         assert compare.compare(spark_queries.registry()[name](spark, SF), duck, oracle.statements()[name]) is None
 
 
+def test_scoring_shares_tables_and_reads_wide_rows_once(spark, monkeypatch):
+    kept, writer, train = [], spark_queries.writer, model.train
+
+    def recording(session):
+        keep = writer(session)
+        return lambda name, *rest: kept.append(name) or keep(name, *rest)
+
+    monkeypatch.setattr(spark_queries, "writer", recording)
+    monkeypatch.setattr(model, "train", lambda rows: train(rows, model.TreeParams(rounds=2)))
+    found = spark_queries.registry()["model_score"](spark, SF)
+    assert kept.count("cube") == kept.count("users_raw") == 1 and kept.count("model_input") == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "/model_input" not in plan  # both scores were found in the pass that wrote them
+    assert found.where("scored").count() == found.count() > 0
+
+
+def test_rows_of_the_learner_leave_memory_to_its_binned_rows(train_set, monkeypatch):
+    levels, fit = [], model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, rows: levels.append(rows.storageLevel) or fit(self, rows))
+    model.train(train_set, model.TreeParams(rounds=2, depth=2))
+    assert levels and all(level.useDisk and not level.useMemory for level in levels)
+
+
+def test_columns_travel_with_the_scores(train_set):
+    fitted = model.train(train_set, model.TreeParams(rounds=2, depth=2))
+    scored = model.score(fitted, train_set, "noise")
+    assert scored.columns == [*UCS, "noise", "prob"]
+    assert scored.select(*UCS, "noise").exceptAll(train_set.select(*UCS, "noise")).count() == 0
+
+
 def test_hold_out_keeps_users_together(train_set):
     marked = model.hold_out(train_set, 0.1)
     sides = marked.groupBy("user_id").agg(F.count_distinct("_held_out").alias("n"))
